@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -98,3 +99,39 @@ def token_count(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
+
+
+_SLOT = re.compile(r"\{(\w+)\}")
+
+
+def fmt(template: str, **vals) -> Column:
+    """``template.format(**vals)`` as a column: literal pieces and values concatenated."""
+    parts = _SLOT.split(template)
+    cols = []
+    for i, p in enumerate(parts):
+        if i % 2 == 0:
+            if p:
+                cols.append(F.lit(p))
+        else:
+            v = vals[p]
+            cols.append(v.cast("string") if isinstance(v, Column) else F.lit(str(v)))
+    return F.concat(*cols)
+
+
+def sql_fmt(template: str, **vals: str) -> str:
+    """The DuckDB form of :func:`fmt`; ``vals`` are SQL expressions."""
+    parts = _SLOT.split(template)
+    out = []
+    for i, p in enumerate(parts):
+        if i % 2 == 0:
+            if p:
+                out.append(sql_str(p))
+        else:
+            out.append(f"CAST({vals[p]} AS VARCHAR)")
+    return "(" + " || ".join(out) + ")"
+
+
+def py_list_text(stack: Column) -> Column:
+    """A string of single characters printed as a Python list: ``[')', ']']``."""
+    return F.when(F.length(stack) == 0, F.lit("[]")).otherwise(
+        F.concat(F.lit("['"), F.array_join(F.split(stack, ""), "', '"), F.lit("']")))
