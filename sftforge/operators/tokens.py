@@ -79,14 +79,17 @@ def encode(df: DataFrame, vocab: DataFrame, max_length: int | None = None, id_co
     it is within the size bound) and regrouped by ``id_col`` (one shuffle).
     ``carry`` columns are passed through."""
     toks = _tokens_col(text_col, max_length)
-    n_vocab = vocab.count()
-    if method == "lookup" and n_vocab <= MAX_SHIPPED_VOCAB:
-        rows = vocab.select("token", "id").collect()
+    rows = None
+    if method == "lookup":
+        # one bounded job: at most MAX_SHIPPED_VOCAB + 1 rows reach the driver
+        rows = vocab.select("token", "id").limit(MAX_SHIPPED_VOCAB + 1).collect()
+    if rows is not None and len(rows) <= MAX_SHIPPED_VOCAB:
         base = df.select(id_col, *carry, toks.alias("_toks"))
         schema = T.StructType([base.schema[c] for c in [id_col, *carry]]
                               + [T.StructField(out, T.ArrayType(T.IntegerType()))])
         fn = _make_lookup([r.token for r in rows], [int(r.id) for r in rows], unk_id, "_toks", out)
         return base.mapInArrow(fn, schema)
+    n_vocab = len(rows) if rows is not None else vocab.limit(MAX_SHIPPED_VOCAB + 1).count()
     x = df.select(id_col, *carry, F.posexplode_outer(toks).alias("_pos", "token"))
     v = F.broadcast(vocab) if n_vocab <= MAX_SHIPPED_VOCAB else vocab
     j = x.join(v.withColumnRenamed("id", "_vid"), "token", "left")
