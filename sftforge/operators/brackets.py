@@ -128,37 +128,44 @@ def complete_brackets(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq
     return g.select("seq_id", comp.alias("completion"), F.concat(seq, comp).alias("completed"))
 
 
-def _make_stack_states_udf():
-    """Vectorised UDF: per sequence, the stack string after every step (one
-    string copy per step, so the work equals the output size). Built from a
-    closure so workers need nothing but pandas."""
+def _make_stack_states_fn(max_chars: int = 32 << 20):
+    """mapInArrow function: (seq_id, seq) batches -> (seq_id, pos, stack) rows,
+    one string copy per step (work = output size), emitted in batches of at
+    most ``max_chars`` stack characters so a batch never outgrows memory or
+    Arrow's 2 GB string limit. Closure only: workers need just pyarrow."""
     opener_to_closer = dict(zip(K.OPENERS, K.CLOSERS))
     closers = frozenset(K.CLOSERS)
 
-    def states(seqs: pd.Series) -> pd.Series:
-        out = []
-        for seq in seqs:
-            st, acc = "", []
-            for ch in seq:
-                c = opener_to_closer.get(ch)
-                if c is not None:
-                    st = st + c
-                elif ch in closers and st:
-                    st = st[:-1]
-                acc.append(st)
-            out.append(acc)
-        return pd.Series(out)
-
-    return F.pandas_udf(states, "array<string>")
-
-
-_UDFS: dict = {}
-
-
-def _stack_states_udf(col: Column) -> Column:
-    if "stack_states" not in _UDFS:
-        _UDFS["stack_states"] = _make_stack_states_udf()
-    return _UDFS["stack_states"](col)
+    def fn(batches):
+        import pyarrow as pa
+
+        ids, poss, states, size = [], [], [], 0
+
+        def flush():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(poss, pa.int64()), pa.array(states, pa.string())],
+                names=["seq_id", "pos", "stack"])
+
+        for b in batches:
+            for sid, seq in zip(b.column("seq_id").to_pylist(), b.column("seq").to_pylist()):
+                st = ""
+                for i, ch in enumerate(seq):
+                    c = opener_to_closer.get(ch)
+                    if c is not None:
+                        st = st + c
+                    elif ch in closers and st:
+                        st = st[:-1]
+                    ids.append(sid)
+                    poss.append(i)
+                    states.append(st)
+                    size += len(st) + 1
+                    if size >= max_chars:
+                        yield flush()
+                        ids, poss, states, size = [], [], [], 0
+        if ids:
+            yield flush()
+
+    return fn
 
 
 def stack_states(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
@@ -168,8 +175,8 @@ def stack_states(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
     The output holds sum(depth) characters, which for deep sequences is far
     more than the input, so the method matters:
 
-    - ``arrow`` (default): a vectorised pandas UDF runs the stack per row and
-      posexplode emits the states; narrow (no shuffle), work = output size.
+    - ``arrow`` (default): ``mapInArrow`` runs the stack per row and emits the
+      states in size-bounded batches; narrow (no shuffle), work = output size.
     - ``relational``: each open covers the steps from its position to the one
       before its partner (or the end); exploding the intervals emits one row
       per stack entry, regrouped by (seq_id, pos) on the existing partitioning.
@@ -179,9 +186,8 @@ def stack_states(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
     if method == "fold":
         return stack_states_fold(df, id_col, seq_col)
     if method == "arrow":
-        b = _base(df, id_col, seq_col)
-        return (b.select("seq_id", F.posexplode(_stack_states_udf(F.col("seq"))).alias("pos", "stack"))
-                 .withColumn("pos", F.col("pos").cast("bigint")))
+        b = _base(df, id_col, seq_col).select(F.col("seq_id").cast("bigint").alias("seq_id"), "seq")
+        return b.mapInArrow(_make_stack_states_fn(), "seq_id bigint, pos bigint, stack string")
     if method != "relational":
         raise ValueError(f"unknown method {method!r}")
     e = bracket_events(df, id_col, seq_col)

@@ -57,13 +57,22 @@ def _make_lookup(vocab_tokens: list[str], vocab_ids: list[int], unk_id: int, in_
         import pyarrow.compute as pc
         vt = pa.array(vocab_tokens, pa.string())
         vi = pa.array(vocab_ids, pa.int32())
+        def whole(x):
+            return x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x
+
         for b in batches:
-            col = b.column(in_col)
-            idx = pc.index_in(col.values, value_set=vt)
-            ids = pc.fill_null(pc.take(vi, idx), pa.scalar(unk_id, pa.int32()))
-            out = pa.ListArray.from_arrays(col.offsets, ids, mask=col.is_null())
+            col = whole(b.column(in_col))
+            idx = whole(pc.index_in(col.values, value_set=vt))
+            ids = whole(pc.fill_null(pc.take(vi, idx), pa.scalar(unk_id, pa.int32())))
+            offsets = whole(col.offsets)
+            if pa.types.is_int64(offsets.type):
+                out = pa.LargeListArray.from_arrays(offsets, ids, mask=whole(col.is_null()))
+                out = out.cast(pa.list_(pa.int32()))
+            else:
+                out = pa.ListArray.from_arrays(offsets, ids, mask=whole(col.is_null()))
             names = [n for n in b.schema.names if n != in_col]
-            yield pa.RecordBatch.from_arrays([b.column(n) for n in names] + [out], names=names + [out_col])
+            yield pa.RecordBatch.from_arrays([whole(b.column(n)) for n in names] + [whole(out)],
+                                             names=names + [out_col])
     return fn
 
 
