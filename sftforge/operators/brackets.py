@@ -15,7 +15,6 @@ sequence, i.e. one input row, so its size is bounded by the row.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

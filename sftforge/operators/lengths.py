@@ -28,7 +28,7 @@ def _rank_value(k):
     return F.min(F.when(F.col("_cum") > k, F.col("_len")))
 
 
-def length_stats(df: DataFrame, length_col: str = "length", skipped: DataFrame | int | None = None
+def length_stats(df: DataFrame, length_col: str = "length", skipped: DataFrame | int | str | None = None
                  ) -> DataFrame:
     """L3: n, n_skipped, min, max, mean, p50, p95, p99.
 
@@ -36,9 +36,16 @@ def length_stats(df: DataFrame, length_col: str = "length", skipped: DataFrame |
     the sorted list, p95 = max if n < 20, p99 = max if n < 100. Computed from a
     histogram (one row per distinct length, partial aggregation), so no global
     sort of the rows; the running count is a window over the histogram only.
-    An empty input gives zero rows.
+    ``skipped``: ``"nulls"`` = rows with a null length are the skipped ones
+    (one pass over a classified table), a DataFrame of rejected rows, an int,
+    or None. An empty input gives zero rows.
     """
     hist = df.groupBy(F.col(length_col).alias("_len")).agg(F.count(F.lit(1)).alias("_cnt"))
+    sk_col = None
+    if skipped == "nulls":
+        sk_col = F.sum(F.when(F.col("_len").isNull(), F.col("_cnt")).otherwise(F.lit(0))).cast("bigint")
+        full_hist = hist
+        hist = hist.filter(F.col("_len").isNotNull())
     w = Window.orderBy("_len").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = hist.withColumn("_cum", F.sum("_cnt").over(w))
     tot = hist.agg(F.sum("_cnt").alias("_n"))
@@ -54,9 +61,10 @@ def length_stats(df: DataFrame, length_col: str = "length", skipped: DataFrame |
                   _rank_value(k95).cast("bigint").alias("p95"),
                   _rank_value(k99).cast("bigint").alias("p99"))
              .filter(F.col("n") > 0))
-    if skipped is None:
-        sk = F.lit(0).cast("bigint")
-        stats = stats.withColumn("n_skipped", sk)
+    if sk_col is not None:
+        stats = stats.crossJoin(F.broadcast(full_hist.agg(sk_col.alias("n_skipped"))))
+    elif skipped is None:
+        stats = stats.withColumn("n_skipped", F.lit(0).cast("bigint"))
     elif isinstance(skipped, int):
         stats = stats.withColumn("n_skipped", F.lit(skipped).cast("bigint"))
     else:
@@ -65,6 +73,19 @@ def length_stats(df: DataFrame, length_col: str = "length", skipped: DataFrame |
     return stats.select("n", "n_skipped", "min", "max", "mean", "p50", "p95", "p99")
 
 
+def audit_lengths(df: DataFrame, id_col: str = "conv_id", template=None) -> DataFrame:
+    """The audit in one pass: (id, reason, length) for every conversation --
+    ``length`` is the token count of the rendered full text, null for rows
+    the audit skips (``reason`` says why). Feed to
+    ``length_stats(..., skipped="nulls")``."""
+    from sftforge.functions.text import DEFAULT_TEMPLATE
+    from sftforge.operators import chat
+    c = chat.reject_reason(chat.last_messages(df, id_col))
+    t = chat.render_chat(chat.compose_assistant(c), template or DEFAULT_TEMPLATE)
+    length = F.when(F.col("reason").isNull(), token_count(F.col("full_text"))).cast("bigint")
+    return t.select(id_col, "reason", length.alias("length"))
+
+
 def max_length_advice(stats: DataFrame, configured: int = K.MAX_LENGTH_TRAIN,
                       lengths: DataFrame | None = None, length_col: str = "length") -> DataFrame:
     """L4: is the configured max length enough; if not, suggest max + 64.

@@ -150,21 +150,19 @@ SELECT count(*)::BIGINT AS n, any_value(sk.n_skipped) AS n_skipped,
 FROM s, sk HAVING count(*) > 0"""
 
 
-def audit_lengths(spark, d):
-    texts, rejected = usable_texts(spark, d)
-    return lengths.sequence_lengths(texts), rejected
+def audit_table(spark, d):
+    """One classified pass: every conversation with its length (null = skipped)."""
+    return lengths.audit_lengths(turns(spark, d), "conv_id", TPL)
 
 
 @register("sequence_lengths", LENGTHS_SQL)
 def q_sequence_lengths(spark, d):
-    lens, _ = audit_lengths(spark, d)
-    return lens.select("conv_id", "length")
+    return audit_table(spark, d).filter(F.col("reason").isNull()).select("conv_id", "length")
 
 
 @register("length_stats", STATS_SQL)
 def q_length_stats(spark, d):
-    lens, rejected = audit_lengths(spark, d)
-    return lengths.length_stats(lens, skipped=rejected)
+    return lengths.length_stats(audit_table(spark, d), skipped="nulls")
 
 
 @register("max_length_advice", f"""
@@ -174,6 +172,6 @@ SELECT st.max, {K.MAX_LENGTH_TRAIN}::BIGINT AS configured, st.max <= {K.MAX_LENG
        (SELECT count(*) FROM t WHERE length > {K.MAX_LENGTH_TRAIN})::BIGINT AS n_truncated
 FROM st""")
 def q_max_length_advice(spark, d):
-    lens, rejected = audit_lengths(spark, d)
-    st = lengths.length_stats(lens, skipped=rejected)
-    return lengths.max_length_advice(st, K.MAX_LENGTH_TRAIN, lens)
+    a = audit_table(spark, d)
+    st = lengths.length_stats(a, skipped="nulls")
+    return lengths.max_length_advice(st, K.MAX_LENGTH_TRAIN, a.filter(F.col("length").isNotNull()))

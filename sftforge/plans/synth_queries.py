@@ -5,7 +5,7 @@ Tasks come from the ``orders`` table: one task per order row, task_row =
 o_orderkey, seed drawn from it (G1). The oracle recomputes every draw with
 DuckDB's md5 and folds attempts with ``list_reduce``, wave by wave with an
 anti-join of solved tasks, so it is written differently from the Spark plan
-(one ``coalesce`` over waves inside a projection).
+(a per-row attempt loop in an Arrow-batched UDF, no shuffle).
 """
 
 from __future__ import annotations
@@ -14,17 +14,16 @@ from pyspark.sql import functions as F
 
 from sftforge.functions import constants as K
 from sftforge.functions.hashing import draw_sql
-from sftforge.functions.text import sql_fmt, sql_str
+from sftforge.functions.text import py_strip, sql_fmt, sql_str
 from sftforge.operators import chat, synth
 from sftforge.operators.lengths import cap_lines
 from sftforge.plans.registry import register
 from sftforge.session import scratch_path
 from sftforge.sources.conversations import (
-    fold_turns, number_lines, parse_conversation, read_conversations, read_lines, write_conversations,
+    fold_turns, parse_conversation, read_conversations, read_lines, write_conversations,
 )
 from sftforge.sources.tables import table
 from sftforge.sources.tasks import read_tasks, write_tasks
-from sftforge.functions.text import py_strip
 
 CORPUS_SEED = 0
 N = len(K.BRACKET_PAIRS)
