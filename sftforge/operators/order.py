@@ -70,7 +70,8 @@ def split_train_eval(df: DataFrame, id_col: str, eval_fraction: float = K.EVAL_F
 def map_examples(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
     """Apply a user function ``pandas.DataFrame -> pandas.DataFrame`` per
     Arrow batch (e.g. a subword tokenizer); input columns are dropped unless the
-    function returns them. Parallelism = partitions."""
+    function returns them. Parallelism = partitions. The function must be
+    importable on the workers or defined locally (closures ship by value)."""
     def run(batches):
         for pdf in batches:
             yield fn(pdf)

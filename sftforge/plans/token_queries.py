@@ -254,15 +254,15 @@ def q_train_eval_split(spark, d):
     return a.join(b, "conv_id")
 
 
-def _char_count(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"conv_id": pdf["conv_id"], "turn": pdf["turn"],
-                         "n_chars": pdf["text"].str.len().astype("int64")})
-
-
 @register("dataset_map", "SELECT conv_id, turn, length(text)::BIGINT AS n_chars FROM conversations")
 def q_dataset_map(spark, d):
+    # a user function (defined here so it ships by value to the workers)
+    def char_count(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"conv_id": pdf["conv_id"], "turn": pdf["turn"],
+                             "n_chars": pdf["text"].str.len().astype("int64")})
+
     t = table(spark, d, "conversations").select("conv_id", "turn", "text")
-    return O.map_examples(t, _char_count, "conv_id long, turn long, n_chars long")
+    return O.map_examples(t, char_count, "conv_id long, turn long, n_chars long")
 
 
 @register("batch_collate", f"""
