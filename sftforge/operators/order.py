@@ -78,13 +78,21 @@ def map_examples(df: DataFrame, fn: Callable, schema: T.StructType | str) -> Dat
     return df.mapInPandas(run, schema)
 
 
-def collate(ex: DataFrame, batch_size: int, shards: int, id_col: str = "conv_id",
-            seed: int = K.SHUFFLE_SEED) -> DataFrame:
+ROWS_PER_SHARD = 1_000_000
+
+
+def collate(ex: DataFrame, batch_size: int, shards: int | None = None, id_col: str = "conv_id",
+            seed: int = K.SHUFFLE_SEED, rows_per_shard: int = ROWS_PER_SHARD) -> DataFrame:
     """Group examples into batches of ``batch_size`` -> one row per batch
     with stacked arrays. Batch = (shard, floor(rank / k)), shard by hash of the
     id, rank by the P6 key inside the shard: no global window; a group holds at
     most ``batch_size`` examples. Weights are padded (0.0) or cut to the batch
-    width (longest ``input_ids``); missing weights count as 1.0."""
+    width (longest ``input_ids``); missing weights count as 1.0.
+
+    A shard is one window partition, so ``shards`` must grow with the data;
+    when it is None it is ``ceil(rows / rows_per_shard)`` (one count job)."""
+    if shards is None:
+        shards = max(1, math.ceil(ex.count() / rows_per_shard))
     key = shuffle_key(id_col, seed)
     shard = F.pmod(draw("shard", seed, F.col(id_col)), F.lit(shards))
     ex = ex.withColumn("shard", shard.cast("int")).withColumn("_key", key)

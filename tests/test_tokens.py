@@ -107,6 +107,8 @@ def test_collate(spark):
     ex = X.build_examples(texts, TK.build_vocabulary(texts, 20, "full_text"), 16)
     b = O.collate(ex, 4, 2).collect()
     assert sum(len(x.example_ids) for x in b) == 23
+    auto = O.collate(ex, 4, rows_per_shard=10).collect()
+    assert {x.shard for x in auto} <= {0, 1, 2} and sum(len(x.example_ids) for x in auto) == 23
     assert all(len(x.example_ids) <= 4 for x in b)
     assert all(len(w) == 16 for x in b for w in x.label_weights)
     audit = X.audit_examples(ex).first()
