@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sftforge.functions import constants as K
+from sftforge.operators.layout import spread
 
 OPEN, CLOSE, OTHER = "open", "close", "other"
 
@@ -103,15 +104,48 @@ def _fold_stack(seq: Column) -> Column:
     return F.aggregate(F.split(seq, ""), F.lit(""), step)
 
 
+def _make_completion_fn():
+    """mapInArrow function: (seq_id, seq) -> (seq_id, completion, completed)
+    with an O(1) push/pop list per character. Closure only."""
+    opener_to_closer = dict(zip(K.OPENERS, K.CLOSERS))
+    closers = frozenset(K.CLOSERS)
+
+    def fn(batches):
+        import pyarrow as pa
+        for b in batches:
+            comps, fulls = [], []
+            for seq in b.column("seq").to_pylist():
+                st = []
+                for ch in seq:
+                    c = opener_to_closer.get(ch)
+                    if c is not None:
+                        st.append(c)
+                    elif ch in closers and st:
+                        st.pop()
+                comp = "".join(reversed(st))
+                comps.append(comp)
+                fulls.append(seq + comp)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("seq_id"), pa.array(comps, pa.string()), pa.array(fulls, pa.string())],
+                names=["seq_id", "completion", "completed"])
+    return fn
+
+
 def complete_brackets(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
                       method: str = "fold") -> DataFrame:
     """Minimal closers for a prefix (closers of the unpartnered opens, last
     first) and the completed word.
 
-    ``fold``: per-row stack fold, narrow (no shuffle). ``relational``: from
+    ``fold``: per-row stack fold as a higher-order expression, narrow (no
+    shuffle); it copies the stack string per step. ``arrow``: the same per-row
+    loop with an O(1) push/pop in ``mapInArrow``, narrow. ``relational``: from
     :func:`bracket_events`, opens without partner collected per sequence."""
+    if method == "arrow":
+        b = spread(_base(df, id_col, seq_col).select(F.col("seq_id").cast("bigint").alias("seq_id"), "seq"),
+                   "seq_id")
+        return b.mapInArrow(_make_completion_fn(), "seq_id bigint, completion string, completed string")
     if method == "fold":
-        b = _base(df, id_col, seq_col)
+        b = spread(_base(df, id_col, seq_col), "seq_id")
         comp = F.reverse(_fold_stack(F.col("seq")))
         return b.select("seq_id", comp.alias("completion"), F.concat("seq", comp).alias("completed"))
     if method != "relational":
@@ -185,7 +219,8 @@ def stack_states(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
     if method == "fold":
         return stack_states_fold(df, id_col, seq_col)
     if method == "arrow":
-        b = _base(df, id_col, seq_col).select(F.col("seq_id").cast("bigint").alias("seq_id"), "seq")
+        b = spread(_base(df, id_col, seq_col).select(F.col("seq_id").cast("bigint").alias("seq_id"), "seq"),
+                   "seq_id")
         return b.mapInArrow(_make_stack_states_fn(), "seq_id bigint, pos bigint, stack string")
     if method != "relational":
         raise ValueError(f"unknown method {method!r}")

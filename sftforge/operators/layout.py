@@ -18,3 +18,12 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFr
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, F.col(key))
+
+
+def spread_any(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """:func:`spread` for rows without a key (the order of the output does not
+    matter to the caller, e.g. before a partial aggregation)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sftforge.functions import constants as K
 from sftforge.functions.text import DEFAULT_TEMPLATE, ChatTemplate, infer_prompt, py_strip, token_count, tokens
 from sftforge.operators.brackets import _fold_stack
+from sftforge.operators.layout import spread_any
 
 THOUGHT_RE = r"(?m)^# Thought \d+:"
 STEP_RE = r"# Step \d+: add '(.)'\."
@@ -19,6 +20,7 @@ def inference_requests(df: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE,
                        max_length: int = K.MAX_LENGTH_INFER, seq_col: str = "sequence") -> DataFrame:
     """Sequence -> chat text with generation prompt, head-truncated to
     ``max_length`` tokens (arrays are built only for rows that exceed it)."""
+    df = spread_any(df)
     text = template.request_text(infer_prompt(F.col(seq_col)))
     n = token_count(text)
     cut = F.array_join(F.slice(tokens(text), 1, max_length), "")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sftforge.functions.text import DEFAULT_TEMPLATE, ChatTemplate, tokens
+from sftforge.operators.layout import spread, spread_any
 
 PAD_ID, UNK_ID = 0, 1
 # A vocabulary up to this size is shipped to tasks (lookup) or broadcast (join):
@@ -29,7 +30,7 @@ def build_vocabulary(df: DataFrame, size: int, text_col: str = "text",
     token asc). Counting is a partial aggregation; the top-k keeps ``size``
     rows per task before the merge, so the ranking window runs on ``size`` rows."""
     markers = template.markers
-    toks = df.select(F.explode(tokens(F.col(text_col))).alias("token"))
+    toks = spread_any(df).select(F.explode(tokens(F.col(text_col))).alias("token"))
     if markers:
         toks = toks.filter(~F.col("token").isin(*markers))
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
@@ -93,7 +94,7 @@ def encode(df: DataFrame, vocab: DataFrame, max_length: int | None = None, id_co
         # one bounded job: at most MAX_SHIPPED_VOCAB + 1 rows reach the driver
         rows = vocab.select("token", "id").limit(MAX_SHIPPED_VOCAB + 1).collect()
     if rows is not None and len(rows) <= MAX_SHIPPED_VOCAB:
-        base = df.select(id_col, *carry, toks.alias("_toks"))
+        base = spread(df, id_col).select(id_col, *carry, toks.alias("_toks"))
         schema = T.StructType([base.schema[c] for c in [id_col, *carry]]
                               + [T.StructField(out, T.ArrayType(T.IntegerType()))])
         fn = _make_lookup([r.token for r in rows], [int(r.id) for r in rows], unk_id, "_toks", out)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sftforge.operators import brackets as B
+from sftforge.operators.layout import spread
 from sftforge.plans.registry import register
 from sftforge.sources.tables import table
 
@@ -21,7 +22,8 @@ KEEP_CLASS = r"[^()\[\]{}<>⟨]"
 
 
 def doc_sequences(spark, d):
-    docs = table(spark, d, "documents")
+    # spread: the text mapping is the heavy part; a single-split file would run it on one core
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     seq = F.regexp_replace(F.translate("text", MAP_FROM, MAP_TO), KEEP_CLASS, "")
     return docs.select(F.col("doc_id").alias("seq_id"), seq.alias("seq"))
 
