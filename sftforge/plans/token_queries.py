@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from sftforge.functions import constants as K
+from sftforge.functions.hashing import draw_sql
 from sftforge.functions.text import DEFAULT_TEMPLATE as TPL
 from sftforge.functions.text import sql_str
 from sftforge.operators import examples as X
@@ -28,6 +29,8 @@ CONV_VOCAB = 2000
 TRUNC_AT = 256
 BATCH, SHARDS = 8, 4
 MARKERS = TPL.markers
+SPLIT_DRAW_SQL = draw_sql("split", str(K.SHUFFLE_SEED), "conv_id")
+SPLIT_THRESHOLD = int(round(K.EVAL_FRACTION * (1 << 32)))
 
 
 def _csv(col):
@@ -199,11 +202,16 @@ def q_pad_and_mask(spark, d):
 
 @register("sft_examples", f"""
 WITH {examples_sql(K.MAX_LENGTH_TRAIN)}
-SELECT conv_id, ids_text, labels_text, weights_text, mask_text FROM ex""")
+SELECT conv_id, ids_text, labels_text, weights_text, mask_text,
+       CASE WHEN {SPLIT_DRAW_SQL} < {SPLIT_THRESHOLD} THEN 'eval' ELSE 'train' END AS split
+FROM ex""")
 def q_sft_examples(spark, d):
-    e = conv_examples(spark, d)
+    """Both branches of the split in one plan, marked by a ``split`` column."""
+    texts = O.split_train_eval(conv_texts(spark, d), "conv_id", exact=False)
+    e = X.build_examples(texts, conv_vocab(spark, d), K.MAX_LENGTH_TRAIN, K.ANSWER_LOSS_WEIGHT, "answer",
+                         "conv_id", keep=("split",))
     return e.select("conv_id", _csv("input_ids").alias("ids_text"), _csv("labels").alias("labels_text"),
-                    _weights_text().alias("weights_text"), _csv("attention_mask").alias("mask_text"))
+                    _weights_text().alias("weights_text"), _csv("attention_mask").alias("mask_text"), "split")
 
 
 @register("example_audit", f"""
@@ -235,16 +243,11 @@ def q_dataset_shuffle(spark, d):
     return s.select("conv_id", "shuffle_key", "shard", rk.cast("int").alias("rank_in_shard"))
 
 
-def _split_draw_sql():
-    from sftforge.functions.hashing import draw_sql
-    return draw_sql("split", str(K.SHUFFLE_SEED), "conv_id")
-
-
 @register("train_eval_split", f"""
-WITH s AS (SELECT conv_id, {_split_draw_sql()} AS h FROM ({COMPOSED_SQL})),
+WITH s AS (SELECT conv_id, {SPLIT_DRAW_SQL} AS h FROM ({COMPOSED_SQL})),
 r AS (SELECT *, row_number() OVER (ORDER BY h, conv_id) AS rk, count(*) OVER () AS n FROM s)
 SELECT conv_id,
-       CASE WHEN h < {int(round(K.EVAL_FRACTION * (1 << 32)))} THEN 'eval' ELSE 'train' END AS split_hash,
+       CASE WHEN h < {SPLIT_THRESHOLD} THEN 'eval' ELSE 'train' END AS split_hash,
        CASE WHEN rk <= ceil(n * {K.EVAL_FRACTION}) THEN 'eval' ELSE 'train' END AS split_exact
 FROM r""")
 def q_train_eval_split(spark, d):
@@ -268,8 +271,7 @@ def q_dataset_map(spark, d):
 @register("batch_collate", f"""
 WITH {examples_sql(K.MAX_LENGTH_TRAIN)},
 b AS (SELECT ex.conv_id, ex.n,
-             ({__import__('sftforge.functions.hashing', fromlist=['draw_sql']).draw_sql('shard', str(K.SHUFFLE_SEED), 'ex.conv_id')}
-              % {SHARDS})::INTEGER AS shard,
+             ({draw_sql('shard', str(K.SHUFFLE_SEED), 'ex.conv_id')} % {SHARDS})::INTEGER AS shard,
              {KEY_SQL.replace('conv_id', 'ex.conv_id')} AS k FROM ex),
 r AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY k, conv_id) - 1) AS rk FROM b)
 SELECT shard, (rk // {BATCH})::INTEGER AS batch_no, count(*)::INTEGER AS n_examples,
