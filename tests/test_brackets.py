@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from sftforge.operators import brackets as B
 
 GOLDEN = [(0, "([{<", ">}])", False), (1, "([]", ")", False), (2, "()[]", "", True), (3, "(]", "", False),
@@ -60,3 +62,11 @@ def test_partition_invariance(spark):
     base = spark.createDataFrame(rows, "seq_id long, seq string")
     outs = [sorted(tuple(r) for r in B.bracket_events(base.repartition(n)).collect()) for n in (1, 4, 17)]
     assert outs[0] == outs[1] == outs[2]
+
+
+def test_completion_of_valid_word_is_empty(spark):
+    rows = _random_rows(200, seed=11)
+    df = spark.createDataFrame(rows, "seq_id long, seq string")
+    completed = B.complete_brackets(df).select("seq_id", F.col("completed").alias("seq"))
+    twice = {r.seq_id: r.completion for r in B.complete_brackets(completed).collect()}
+    assert set(twice.values()) == {""}
