@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sftforge.llm import op4_quality_classifier as op4
+from sftforge.llm import op5_minhash_dedup as op5
 from sftforge.llm import op7_quality_rules as op7
+from sftforge.llm import op9_best_fit_packing as op9
 from sftforge.llm.common import documents
 from sftforge.sources.tables import table
 
@@ -26,3 +29,13 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7.measure_and_judge(documents(spark, sf_dir))
+
+
+@query
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5.classes(documents(spark, sf_dir)).select("doc_id", "class_id")
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
