@@ -55,3 +55,9 @@ def words(text: str | None) -> list[bytes]:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def held(docs: DataFrame) -> DataFrame:
+    """One column ``row`` with all of ``docs``' columns, so that helper columns
+    beside it clash with none; ``select("row.*")`` gives them back."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))

@@ -180,8 +180,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents predicted to be of label 1, with their own columns."""
     stats = stage(statistics(slim(docs, "doc_id", "text")), "op4-stats")
     model = fit(stats, labels)
-    cols = docs.columns
-    return docs.filter(calibrated(model)(_stats_of(docs["text"])) >= 0.5).select(*[docs[c] for c in cols])
+    return docs.filter(calibrated(model)(_stats_of(docs["text"])) >= 0.5)
 
 
 def _stats_of(text: Column) -> Column:

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sftforge.llm.common import WHITE, slim, stage, text_or_empty
+from sftforge.llm.common import WHITE, held, slim, stage, text_or_empty
 from sftforge.llm.components import components
 from sftforge.llm.wordhash import Words, chunks, mix, shingles
 
@@ -185,9 +185,8 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = stage(classes(docs, threshold), "op5-classes")
     keep = (found.filter("doc_id <=> class_id").select("node", "doc_id", "class_id").groupBy("class_id")
             .agg(F.min("node").alias("_node")).select("_node", F.col("class_id").alias("_id")))
-    cols = docs.columns
-    marked = docs.withColumn("_node", F.md5(text_or_empty(docs["text"])))
-    some = text_or_empty(docs["text"]).rlike(HAS_WORD)
-    kept = marked.filter(some).join(keep, (marked["_node"] == keep["_node"]) & docs["doc_id"].eqNullSafe(keep["_id"]))
-    kept = kept.select(marked["_node"].alias("_key"), *[docs[c] for c in cols]).dropDuplicates(["_key"]).drop("_key")
-    return kept.union(docs.filter(~some))
+    text = F.col("row.text")
+    rows = held(docs).withColumn("some", text_or_empty(text).rlike(HAS_WORD))
+    kept = (rows.filter("some").withColumn("_node", F.md5(text_or_empty(text))).join(keep, "_node")
+            .filter(F.col("row.doc_id").eqNullSafe(F.col("_id"))).dropDuplicates(["_node"]))
+    return kept.select("row.*").union(rows.filter("not some").select("row.*"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sftforge.llm import op4_quality_classifier as op4
 from sftforge.llm import op5_minhash_dedup as op5
+from sftforge.llm import op6_substring_dedup as op6
 from sftforge.llm import op7_quality_rules as op7
 from sftforge.llm import op9_best_fit_packing as op9
 from sftforge.llm.common import documents
@@ -39,3 +41,9 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6.remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
