@@ -115,7 +115,7 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality",
             total += z.T @ np.hstack([z, b.column(1).to_numpy()[:, None]])
         yield pa.RecordBatch.from_pydict({"m": [total.tobytes()]})
 
-    parts = (train.filter(F.col("draw") % 5 != 0).select("stats", "y").repartition(FIT_PARTS, "stats")
+    parts = (train.filter(F.col("draw") % 5 != 0).select("stats", "y").repartition(FIT_PARTS)
              .mapInArrow(normal_equations, "m binary").collect())  # FIT_PARTS matrices
     total = sum(np.frombuffer(x.m).reshape(width, width + 1) for x in parts)
     penalty = np.eye(width) * RIDGE * max(total[-1, width - 1], 1.0)
