@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,9 @@ from sftforge.llm import op4_quality_classifier as op4
 from sftforge.llm import op5_minhash_dedup as op5
 from sftforge.llm import op6_substring_dedup as op6
 from sftforge.llm import op7_quality_rules as op7
+from sftforge.llm import op8_sharding as op8
 from sftforge.llm import op9_best_fit_packing as op9
+from sftforge.llm import op10_sentencepiece as op10
 from sftforge.llm.common import documents
 from sftforge.sources.tables import table
 
@@ -47,3 +51,19 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.remove_repeats(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = op10.encode(documents(spark, sf_dir), model)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(op10.decode(coded, model)("ids"), 256).alias("decoded_sha256"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).alias("covered_bytes"))
+
+
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8.digest(op8.shard_table(spark, os.path.join(sf_dir, "documents.parquet")))
