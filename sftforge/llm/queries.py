@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sftforge.llm import op3_warc as op3
 from sftforge.llm import op4_quality_classifier as op4
 from sftforge.llm import op5_minhash_dedup as op5
 from sftforge.llm import op6_substring_dedup as op6
@@ -67,3 +68,26 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.digest(op8.shard_table(spark, os.path.join(sf_dir, "documents.parquet")))
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+# The digest in base 32: five hexadecimal digits make four of its digits.
+ORACLE["op3_warc"] = """
+WITH h AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS x FROM pages),
+d AS (
+  SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+      (CAST('0x' || substr(x, 1 + 5 * (i // 4), 5) AS BIGINT) >> (5 * (3 - i % 4))) & 31 AS BIGINT), 1)
+      FOR i IN range(0, 32)], '') AS payload_digest
+  FROM h),
+o AS (SELECT payload_digest, min(page_id) AS original FROM d GROUP BY payload_digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to
+FROM d JOIN o USING (payload_digest)
+"""
