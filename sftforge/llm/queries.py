@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sftforge.llm import op2_hilbert_ann as op2
 from sftforge.llm import op3_warc as op3
 from sftforge.llm import op4_quality_classifier as op4
 from sftforge.llm import op5_minhash_dedup as op5
@@ -91,3 +92,8 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN page_id <> original THEN original END AS refers_to
 FROM d JOIN o USING (payload_digest)
 """
+
+
+@query
+def op2_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
