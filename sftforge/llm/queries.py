@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sftforge.llm import op1_license_scan as op1
 from sftforge.llm import op2_hilbert_ann as op2
 from sftforge.llm import op3_warc as op3
 from sftforge.llm import op4_quality_classifier as op4
@@ -97,3 +98,8 @@ FROM d JOIN o USING (payload_digest)
 @query
 def op2_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1.scan(documents(spark, sf_dir))

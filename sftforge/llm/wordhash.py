@@ -10,6 +10,9 @@ CHUNK_BYTES = 1 << 20
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: For folded words: runs of ASCII letters and digits and of other characters, upper case as lower.
+_LETTER = np.array([chr(b).isalnum() or b > 127 for b in range(256)])
+_FOLDED = _BYTE[np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)])]
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 
 
@@ -36,10 +39,10 @@ class Words:
     """Words of a chunk: byte range, document and hash of each; first word and
     number of words of each document."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, tables: tuple | None = None):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, tables: tuple | None = None, folded: bool = False):
         self.n_docs = len(offsets) - 1
         self.data, self.offsets = data, offsets
-        ink = ~_WHITE[data]
+        ink = _LETTER[data] if folded else ~_WHITE[data]
         before, after = np.zeros(len(ink), bool), np.zeros(len(ink), bool)
         before[1:], after[:-1] = ink[:-1], ink[1:]
         inner = offsets[(offsets > 0) & (offsets < len(ink))]
@@ -52,7 +55,7 @@ class Words:
         self.count = np.diff(np.append(self.first, len(self.doc)))
         power, inverse = tables or powers(len(data))
         total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * power[:len(data)], out=total[1:])
+        np.cumsum((_FOLDED if folded else _BYTE)[data] * power[:len(data)], out=total[1:])
         self.hash = mix((total[self.end] - total[self.start]) * inverse[self.start])
 
 
@@ -79,7 +82,7 @@ def shingles(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(doc)
 
 
-def chunks(texts):
+def chunks(texts, folded: bool = False):
     """(first row, number of rows, Words) over an Arrow column of texts; null counts as empty."""
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -97,5 +100,5 @@ def chunks(texts):
         size = int(offsets[to] - offsets[at])
         if size > len(tables[0]):
             tables = powers(max(size, CHUNK_BYTES))
-        yield at, to - at, Words(data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at], tables)
+        yield at, to - at, Words(data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at], tables, folded)
         at = to
