@@ -26,13 +26,16 @@ STRIP_PATTERN = f"\\A{WS_CLASS}+|{WS_CLASS}+\\z"
 
 # Covering token pattern: chat markers, whitespace runs, letter runs, digit runs,
 # any other single code point. Tokens cover the text, so offsets are prefix sums.
-TOKEN_PATTERN = r"<\|[a-z_]+\|>|[ \t\r\n]+|\p{L}+|\p{N}+|(?s:.)"
+MARKER_PATTERN = r"<\|[a-z_]+\|>"
+TOKEN_PATTERN = MARKER_PATTERN + r"|[ \t\r\n]+|\p{L}+|\p{N}+|(?s:.)"
+# How a marker's beginning is written inside a text.
+MARKER_START, ESCAPED_START = "<|", "< |"
 
 
 def py_strip(col: Column | str) -> Column:
-    """``str.strip()`` as a JVM expression."""
+    """``str.strip()`` as a JVM expression, linear in the text."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, STRIP_PATTERN, "")
+    return F.btrim(c, F.lit(K.PY_WHITESPACE))
 
 
 def sql_str(s: str) -> str:
@@ -40,16 +43,34 @@ def sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def escaped(text: Column) -> Column:
+    """``text`` without anything that reads as a chat marker."""
+    return F.replace(text, F.lit(MARKER_START), F.lit(ESCAPED_START))
+
+
+def sql_escaped(x: str) -> str:
+    """The DuckDB form of :func:`escaped`."""
+    return f"replace({x}, {sql_str(MARKER_START)}, {sql_str(ESCAPED_START)})"
+
+
 @dataclass(frozen=True)
 class ChatTemplate:
     """Named chat template. The model's own template is not available, so the
-    markers are parameters; the default reproduces the audit's token counts."""
+    markers are parameters; the default reproduces the audit's token counts.
+    A marker must be one token, or the user part's tokens would not be a prefix
+    of the whole text's. Texts cannot forge a marker: ``<|`` in them is written
+    ``< |``."""
 
     user_prefix: str = "<|user|>"
     user_suffix: str = ""
     assistant_prefix: str = "<|assistant|>"
     assistant_suffix: str = "<|end|>"
 
+    def __post_init__(self):
+        for m in self.markers:
+            if not re.fullmatch(MARKER_PATTERN, m):
+                raise ValueError(f"the marker {m!r} is not one token ({MARKER_PATTERN})")
+
     @property
     def markers(self) -> list[str]:
         seen = []
@@ -60,25 +81,27 @@ class ChatTemplate:
 
     def user_text(self, user: Column) -> Column:
         """User turn only, without generation prompt."""
-        return F.concat(F.lit(self.user_prefix), user, F.lit(self.user_suffix))
+        return F.concat(F.lit(self.user_prefix), escaped(user), F.lit(self.user_suffix))
 
     def request_text(self, user: Column) -> Column:
         """User turn plus generation prompt (inference)."""
-        return F.concat(F.lit(self.user_prefix), user, F.lit(self.user_suffix), F.lit(self.assistant_prefix))
+        return F.concat(F.lit(self.user_prefix), escaped(user), F.lit(self.user_suffix),
+                        F.lit(self.assistant_prefix))
 
     def full_text(self, user: Column, assistant: Column) -> Column:
-        return F.concat(F.lit(self.user_prefix), user, F.lit(self.user_suffix),
-                        F.lit(self.assistant_prefix), assistant, F.lit(self.assistant_suffix))
+        return F.concat(F.lit(self.user_prefix), escaped(user), F.lit(self.user_suffix),
+                        F.lit(self.assistant_prefix), escaped(assistant), F.lit(self.assistant_suffix))
 
     def sql_full(self, u: str, a: str) -> str:
-        return (f"{sql_str(self.user_prefix)} || {u} || {sql_str(self.user_suffix)} || "
-                f"{sql_str(self.assistant_prefix)} || {a} || {sql_str(self.assistant_suffix)}")
+        return (f"{sql_str(self.user_prefix)} || {sql_escaped(u)} || {sql_str(self.user_suffix)} || "
+                f"{sql_str(self.assistant_prefix)} || {sql_escaped(a)} || {sql_str(self.assistant_suffix)}")
 
     def sql_user(self, u: str) -> str:
-        return f"{sql_str(self.user_prefix)} || {u} || {sql_str(self.user_suffix)}"
+        return f"{sql_str(self.user_prefix)} || {sql_escaped(u)} || {sql_str(self.user_suffix)}"
 
     def sql_request(self, u: str) -> str:
-        return f"{sql_str(self.user_prefix)} || {u} || {sql_str(self.user_suffix)} || {sql_str(self.assistant_prefix)}"
+        return (f"{sql_str(self.user_prefix)} || {sql_escaped(u)} || {sql_str(self.user_suffix)} || "
+                f"{sql_str(self.assistant_prefix)}")
 
 
 DEFAULT_TEMPLATE = ChatTemplate()

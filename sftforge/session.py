@@ -40,8 +40,10 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
-    dir). Only when neither is set (tests, local runs) a fresh local folder is
-    created and registered as the checkpoint dir.
+    dir). Only a local master may do without (tests): there one process sees
+    every file, and a fresh local folder is registered. On a cluster an unset
+    folder is an error, as executors would each write to their own disk.
+    Callers own what they write below it.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -49,6 +51,8 @@ def scratch_dir(spark: SparkSession) -> str:
         return d
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="sftforge-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

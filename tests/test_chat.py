@@ -33,6 +33,15 @@ LINES = [
     json.dumps([{"role": "user", "content": "u"},
                 {"role": "assistant", "content": " c ", "reasoning_content": "think\n\t"}]),
 ]
+BAD = [
+    json.dumps([{"role": "user", "content": "u"}]) + " trailing",
+    "[{'role': 'user', 'content': 'single quotes'}]",
+    '[{"role": "user"}], [{"role": "user"}]',
+    '[{"role": "user"}]], [[{"role": "user"}]',
+    '[{"role": "user"}], "d": 1',
+    "[1, 2]",
+    "[null]",
+]
 
 
 def test_read_and_classify(spark, tmp_out):
@@ -48,6 +57,53 @@ def test_read_and_classify(spark, tmp_out):
     assert reasons == sorted(["malformed"] * 3 + ["missing_assistant", "missing_user", "null_text"])
 
 
+def test_reader_is_strict_and_numbers_lines(spark, tmp_out):
+    p = f"{tmp_out}/bad.jsonl"
+    _write(p, BAD + ["", LINES[0], LINES[0]])
+    rows = read_conversations(spark, p, numbered=True).collect()
+    assert {r.value for r in rows if r.malformed} == set(BAD)
+    assert sorted(r.line_no for r in rows) == [*range(len(BAD)), len(BAD) + 1, len(BAD) + 2]
+
+
+def test_strip_is_linear(spark):
+    import time
+    df = spark.createDataFrame([(" a" + " " * 100_000 + "b \t",)], "v string")
+    began = time.time()
+    assert df.select(F.length(py_strip(F.col("v")))).first()[0] == 100_002
+    assert time.time() - began < 5
+
+
+def test_previous_assistant_forms_agree(spark):
+    t = spark.createDataFrame(
+        [(1, 0, "user", "u1"), (1, 1, "assistant", "a1"), (1, 2, "user", "u2"), (1, 3, "assistant", "a2"),
+         (2, 0, "user", "u"), (2, 1, "assistant", "a"), (3, 0, "system", "s"), (4, 1, "assistant", "x")],
+        "conv_id long, turn long, role string, text string")
+    cols = ["conv_id", "user", "assistant", "reasoning", "user_after_assistant"]
+    direct = {r.conv_id: tuple(r) for r in chat.last_messages(t, reasoning="previous_assistant").select(*cols).collect()}
+    folded = chat.last_messages(fold_turns(t, "previous_assistant")).select(*cols).collect()
+    assert direct[1] == (1, "u2", "a2", "a1", False)
+    usable = {r.conv_id: tuple(r) for r in folded if r.user is not None and r.assistant is not None}
+    assert {i: direct[i] for i in usable} == usable and set(direct) == {1, 2, 3, 4}
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    import pytest
+    from sftforge.session import scratch_dir
+
+    class Cluster:  # stands in for a session on a cluster
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+            getConf = staticmethod(lambda: {})
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError):
+        scratch_dir(Cluster)
+    assert scratch_dir(spark)
+
+
 def test_last_wins_pairs_later_user_with_earlier_assistant(spark):
     t = spark.createDataFrame([(1, 0, "user", "u1"), (1, 1, "assistant", "a1"), (1, 2, "user", "u2"),
                                (2, 0, "system", "s"), (2, 1, "user", "u"), (2, 2, "assistant", "a")],
