@@ -3,20 +3,24 @@ P4 chat render, P5 inference prompt."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sftforge.functions import constants as K
 from sftforge.functions.text import DEFAULT_TEMPLATE, ChatTemplate, infer_prompt, py_strip
 
 
-def last_messages(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
+def last_messages(df: DataFrame, id_col: str = "conv_id", reasoning: str = "none") -> DataFrame:
     """Last user and last assistant message per conversation, chosen
     independently (last wins per role); other roles are dropped.
 
     Input is either a turn table (id, turn, role, text) -- one aggregation with
     ``max_by`` (partial aggregation, so a huge conversation does not land whole
     in one task) -- or an array column ``conversation`` (no shuffle at all).
+    From a turn table, ``reasoning='previous_assistant'`` takes the assistant
+    message before the last as its reasoning: the last two messages of each role
+    are picked by a rank that Spark also applies before the shuffle, so here too
+    a huge conversation sends two rows from each task.
     Output: id, user, user_turn, assistant, reasoning, assistant_turn,
     user_after_assistant (+ malformed when the input has it).
     """
@@ -31,6 +35,18 @@ def last_messages(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
             a["m"]["content"].alias("assistant"),
             a["m"]["reasoning_content"].alias("reasoning"),
             a["i"].cast("bigint").alias("assistant_turn"))
+    elif reasoning == "previous_assistant":
+        late = Window.partitionBy(id_col, "role").orderBy(F.desc("turn"))
+        two = (df.filter(F.col("role").isin("user", "assistant")).select(id_col, "role", "turn", "text")
+               .withColumn("_r", F.row_number().over(late)).filter(F.col("_r") <= 2))
+        pick = lambda role, r, c: F.max(F.when((F.col("role") == role) & (F.col("_r") == r), F.col(c)))
+        # conversations without either role keep their row
+        out = (df.select(id_col).distinct().join(two, id_col, "left").groupBy(id_col).agg(
+            pick("user", 1, "text").alias("user"), pick("user", 1, "turn").alias("user_turn"),
+            pick("assistant", 1, "text").alias("assistant"), pick("assistant", 1, "turn").alias("assistant_turn"),
+            F.coalesce(pick("assistant", 2, "text"), F.lit("")).alias("reasoning")))
+    elif reasoning != "none":
+        raise ValueError(f"unknown reasoning mode {reasoning!r}")
     else:
         role, turn = F.col("role"), F.col("turn")
         ut = F.when(role == "user", turn)
@@ -88,8 +104,8 @@ def render_infer_prompt(df: DataFrame, sequence_col: str = "sequence", out: str
     return df.withColumn(out, infer_prompt(F.col(sequence_col)))
 
 
-def prepare_texts(df: DataFrame, id_col: str = "conv_id",
-                  template: ChatTemplate = DEFAULT_TEMPLATE) -> tuple[DataFrame, DataFrame]:
+def prepare_texts(df: DataFrame, id_col: str = "conv_id", template: ChatTemplate = DEFAULT_TEMPLATE,
+                  reasoning: str = "none") -> tuple[DataFrame, DataFrame]:
     """P1 -> P2 -> P3 -> P4 in one plan: (usable rows with texts, rejected rows)."""
-    usable, rejected = split_rejects(last_messages(df, id_col))
+    usable, rejected = split_rejects(last_messages(df, id_col, reasoning))
     return render_chat(compose_assistant(usable), template), rejected

@@ -21,11 +21,6 @@ MESSAGE_TYPE = T.StructType([
 ])
 CONVERSATION_TYPE = T.ArrayType(MESSAGE_TYPE)
 
-# Broadcast the per-block line table only below this many blocks (one row per
-# file block: a bounded, proven size). Above it the join shuffles.
-MAX_BROADCAST_BLOCKS = 200_000
-
-
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Physical lines of UTF-8 text files, with their file-order keys.
 
@@ -39,43 +34,36 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
                     F.monotonically_increasing_id().alias("_mid")))
 
 
-def _block_offsets(lines: DataFrame) -> DataFrame:
-    """One row per (file, block): first line number of the block.
-
-    A window over this table is bounded by the number of file blocks."""
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Add ``line_no`` (0-based, physical order: files by path, blank lines
+    counted). Lines are counted by file block; running totals are taken inside
+    each file and over one row a file."""
     blocks = lines.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first_mid"))
-    w = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-
-
-def number_lines(lines: DataFrame, max_lines: int | None = None) -> DataFrame:
-    """Add ``line_no`` (0-based, physical order, blank lines counted).
-
-    With ``max_lines`` only the first ``max_lines`` lines are kept. The block
-    table then holds at most ``max_lines`` rows, so it is always broadcast.
-    """
-    offs = _block_offsets(lines)
-    if max_lines is not None:
-        offs = offs.filter(F.col("_offset") < max_lines)
-        joined = lines.join(F.broadcast(offs), ["_file", "_block"])
-    else:
-        n_blocks = offs.count()
-        right = F.broadcast(offs) if n_blocks <= MAX_BROADCAST_BLOCKS else offs
-        joined = lines.join(right, ["_file", "_block"])
-    out = joined.withColumn("line_no", F.col("_offset") + F.col("_mid") - F.col("_first_mid"))
-    if max_lines is not None:
-        out = out.filter(F.col("line_no") < max_lines)
-    return out.drop("_n", "_first_mid", "_offset")
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = blocks.groupBy("_file").agg(F.sum("_n").alias("_n"))
+    files = files.select("_file", before(Window.orderBy("_file")).alias("_base"))
+    offsets = (blocks.withColumn("_own", before(Window.partitionBy("_file").orderBy("_block")))
+               .join(files, "_file").select("_file", "_block", "_first_mid",
+                                            (F.col("_base") + F.col("_own")).alias("_offset")))
+    return (lines.join(offsets, ["_file", "_block"])
+            .withColumn("line_no", F.col("_offset") + F.col("_mid") - F.col("_first_mid"))
+            .drop("_first_mid", "_offset"))
 
 
 def parse_conversation(value: Column) -> tuple[Column, Column]:
     """(conversation, malformed) from one stripped text line.
 
-    A line must hold a JSON *array* of objects; a bare object, an array of
-    non-objects, a null element or bad JSON is malformed.
+    A line must hold one JSON *array* of objects and nothing else; a bare
+    object, an array of non-objects, a null element, single quotes, text after
+    the array or bad JSON is malformed. The line is parsed as the one element
+    of an array and as the one field of an object: both succeed only if the line
+    is a JSON value of its own.
     """
-    maps = F.from_json(value, "array<map<string,string>>")
+    strict = {"allowSingleQuotes": "false"}
+    whole = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<array<map<string,string>>>", strict)
+    alone = F.from_json(F.concat(F.lit('{"c":'), value, F.lit("}")), "c array<map<string,string>>", strict)["c"]
+    maps = F.when((F.size(whole) == 1) & alone.isNotNull(), whole[0])
 
     def field(m, k):
         return F.when(F.map_contains_key(m, k), m[k]).otherwise(F.lit(""))
@@ -89,16 +77,20 @@ def parse_conversation(value: Column) -> tuple[Column, Column]:
     return conv, malformed
 
 
-def read_conversations(spark: SparkSession, path: str, max_lines: int | None = None) -> DataFrame:
+def read_conversations(spark: SparkSession, path: str, max_lines: int | None = None,
+                       numbered: bool = False) -> DataFrame:
     """JSONL conversations -> DF(line_no?, value, conversation, malformed).
 
-    Lines are stripped; blank lines are dropped (after the optional physical
-    line cap, which counts them, as the audit does). Bad lines are kept with
-    ``malformed = true`` instead of failing the job.
+    Lines are stripped; blank lines are dropped. Bad lines are kept with
+    ``malformed = true`` instead of failing the job. ``line_no`` (asked for with
+    ``numbered``, or by the physical line cap ``max_lines``, which counts blank
+    lines as the audit does) tells every line apart, equal ones too.
     """
     lines = read_lines(spark, path)
+    if numbered or max_lines is not None:
+        lines = number_lines(lines)
     if max_lines is not None:
-        lines = number_lines(lines, max_lines)
+        lines = lines.filter(F.col("line_no") < max_lines)
     v = py_strip(F.col("value"))
     conv, malformed = parse_conversation(v)
     keep = [c for c in ("line_no",) if c in lines.columns]
@@ -130,18 +122,17 @@ def fold_turns(turns: DataFrame, reasoning: str = "none") -> DataFrame:
     the test tables get a reasoning part); ``'none'`` leaves it ``""``.
     One row per conversation: the group is one conversation, which is bounded.
     """
-    g = turns.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("_t"))
     if reasoning == "previous_assistant":
-        def msg(x, i):
-            prev = F.try_element_at(
-                F.filter(F.slice(F.col("_t"), 1, i), lambda y: y["role"] == "assistant"), F.lit(-1))
-            r = F.when(x["role"] == "assistant", F.coalesce(prev["text"], F.lit(""))).otherwise(F.lit(""))
-            return F.struct(x["role"].alias("role"), x["text"].alias("content"), r.alias("reasoning_content"))
-        conv = F.transform("_t", msg)
+        # one shuffle: the window and the grouping share the partitioning
+        same = Window.partitionBy("conv_id", "role").orderBy("turn")
+        before = F.when(F.col("role") == "assistant", F.coalesce(F.lag("text").over(same), F.lit("")))
+        turns = turns.repartition("conv_id").withColumn("reasoning", F.coalesce(before, F.lit("")))
     elif reasoning == "none":
-        conv = F.transform("_t", lambda x: F.struct(
-            x["role"].alias("role"), x["text"].alias("content"), F.lit("").alias("reasoning_content")))
+        turns = turns.withColumn("reasoning", F.lit(""))
     else:
         raise ValueError(f"unknown reasoning mode {reasoning!r}")
+    g = turns.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "role", "text", "reasoning"))).alias("_t"))
+    conv = F.transform("_t", lambda x: F.struct(
+        x["role"].alias("role"), x["text"].alias("content"), x["reasoning"].alias("reasoning_content")))
     return g.select("conv_id", conv.cast(CONVERSATION_TYPE).alias("conversation"))

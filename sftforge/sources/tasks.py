@@ -35,27 +35,37 @@ def empty_metadata() -> Column:
 
 def parse_task(value: Column) -> Column:
     """JSON text -> task struct with defaults question "", answer "",
-    difficulty 1, metadata {} (all fields null), gpt_response ""."""
-    t = F.from_json(value, TASK_TYPE)
+    difficulty 1, metadata {} (all fields null), gpt_response "", and
+    ``metadata_json``, the metadata object's own text with all its keys. Null
+    unless the text is one JSON object and nothing else."""
+    strict = {"allowSingleQuotes": "false"}
+    whole = F.from_json(F.concat(F.lit("["), value, F.lit("]")), T.ArrayType(TASK_TYPE), strict)
+    alone = F.from_json(F.concat(F.lit('{"c":'), value, F.lit("}")), T.StructType([T.StructField("c", TASK_TYPE)]),
+                        strict)["c"]
+    t = F.when(value.startswith("{") & (F.size(whole) == 1) & alone.isNotNull(), whole[0])
     return F.when(t.isNotNull(), F.struct(
         F.coalesce(t["question"], F.lit("")).alias("question"),
         F.coalesce(t["answer"], F.lit("")).alias("answer"),
         F.coalesce(t["difficulty"], F.lit(1)).alias("difficulty"),
         F.coalesce(t["metadata"], empty_metadata()).alias("metadata"),
-        F.coalesce(t["gpt_response"], F.lit("")).alias("gpt_response")))
+        F.coalesce(t["gpt_response"], F.lit("")).alias("gpt_response"),
+        F.coalesce(F.get_json_object(value, "$.metadata"), F.lit("{}")).alias("metadata_json")))
 
 
 def task_json(df: DataFrame) -> Column:
     """Task columns -> JSON text (key order question, answer, difficulty,
-    metadata, gpt_response)."""
+    metadata, gpt_response). A ``metadata_json`` column is written as it is, so
+    keys of the caller's own survive; else the ``metadata`` struct is."""
     def get(name, default):
         return F.col(name) if name in df.columns else default
-    return F.to_json(F.struct(
-        get("question", F.lit("")).alias("question"),
-        get("answer", F.lit("")).alias("answer"),
-        get("difficulty", F.lit(1)).alias("difficulty"),
-        get("metadata", empty_metadata()).alias("metadata"),
-        get("gpt_response", F.lit("")).alias("gpt_response")))
+
+    head = F.to_json(F.struct(get("question", F.lit("")).alias("question"), get("answer", F.lit("")).alias("answer"),
+                              get("difficulty", F.lit(1)).alias("difficulty")))
+    tail = F.to_json(F.struct(get("gpt_response", F.lit("")).alias("gpt_response")))
+    metadata = F.coalesce(get("metadata_json", F.lit(None).cast("string")),
+                          F.to_json(get("metadata", empty_metadata())), F.lit("{}"))
+    return F.concat(F.left(head, F.length(head) - 1), F.lit(',"metadata":'), metadata, F.lit(","),
+                    F.substring(tail, 2, F.length(tail)))
 
 
 def write_tasks(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -63,9 +73,10 @@ def write_tasks(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_tasks(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines -> task table; unparsable lines get ``malformed = true``."""
+    """JSON lines -> task table; unparsable lines get ``malformed = true`` (and
+    keep their text in ``value``)."""
     lines = spark.read.text(path).select(py_strip(F.col("value")).alias("value"))
     t = parse_task(F.col("value"))
     return (lines.filter(F.col("value") != "")
-            .select(t.alias("_t"))
-            .select(F.col("_t.*"), F.col("_t").isNull().alias("malformed")))
+            .select("value", t.alias("_t"))
+            .select("value", F.col("_t.*"), F.col("_t").isNull().alias("malformed")))
