@@ -9,12 +9,14 @@ vocabulary, where pad is reserved).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftforge.functions import constants as K
 from sftforge.functions.text import token_count
-from sftforge.operators.tokens import PAD_ID, UNK_ID, encode
+from sftforge.operators.tokens import PAD_ID, UNK_ID, encode, encode_with
 
 IGN = K.IGNORE_INDEX
 
@@ -78,24 +80,43 @@ def pad(df: DataFrame, max_length: int = K.MAX_LENGTH_TRAIN, pad_id: int = PAD_I
               .drop("_n"))
 
 
-def build_examples(texts: DataFrame, vocab: DataFrame, max_length: int = K.MAX_LENGTH_TRAIN,
+def anchors(texts: DataFrame, max_length: int = K.MAX_LENGTH_TRAIN, modes: tuple = ("answer",)) -> DataFrame:
+    """T6 on token counts alone, no ids needed: adds ``n_user`` and, for each
+    mode, ``anchor_<mode>`` (null: no marker, or cut away)."""
+    full, user = F.col("full_text"), F.col("user_text")
+    n = F.least(token_count(full), F.lit(max_length))
+    out = texts.withColumn("n_user", F.least(token_count(user), n).cast("int"))
+    for mode in modes:
+        c = answer_anchor_char(full, user, mode)
+        at = F.greatest(F.col("n_user"), token_count(F.substring(full, 1, c)))
+        out = out.withColumn(f"anchor_{mode}", F.when(c.isNotNull() & (at < n), at).cast("int"))
+    return out
+
+
+def build_examples(texts: DataFrame, vocab: DataFrame | Callable, max_length: int = K.MAX_LENGTH_TRAIN,
                    answer_weight: float = K.ANSWER_LOSS_WEIGHT, anchor: str = "answer",
                    id_col: str = "conv_id", pad_id: int = PAD_ID, unk_id: int = UNK_ID,
-                   method: str = "lookup", keep: tuple = ()) -> DataFrame:
+                   keep: tuple = ()) -> DataFrame:
     """Texts (``full_text``, ``user_text`` from P4) -> one row per example
     with ``input_ids``, ``labels``, ``attention_mask``, ``label_weights`` (all
     ``max_length`` long) plus ``n_tokens``, ``n_user``, ``anchor``.
 
-    The user-token count and the anchor come from regex match counts on the
-    texts (no offsets needed): tokens with start >= the marker position are
-    exactly those after the first ``count(tokens of text[:pos])``."""
-    c = answer_anchor_char(F.col("full_text"), F.col("user_text"), anchor)
-    pre = texts.select(
-        id_col, "full_text", *keep,
-        F.least(token_count(F.col("user_text")), F.lit(max_length)).cast("int").alias("n_user"),
-        F.when(c.isNotNull(), token_count(F.substring(F.col("full_text"), 1, c))).cast("int").alias("_k"))
-    enc = encode(pre, vocab, max_length, id_col=id_col, text_col="full_text", unk_id=unk_id, method=method,
-                 carry=["n_user", "_k", *keep])
+    ``vocab`` is a vocabulary table (T1) or the caller's tokenizer, a function
+    as :func:`sftforge.operators.tokens.encode_with` takes. With a table, the
+    user-token count and the anchor are token counts of the texts' heads; with
+    a function, they are counted from the tokens' first characters."""
+    if callable(vocab):
+        c = answer_anchor_char(F.col("full_text"), F.col("user_text"), anchor)
+        at = texts.select(id_col, "full_text", *keep, F.length("user_text").alias("_u"), c.alias("_c"))
+        enc = encode_with(at, vocab, max_length, "full_text")
+        before = lambda col: F.size(F.filter("token_starts", lambda s: s < F.col(col)))
+        enc = enc.withColumn("n_user", before("_u").cast("int")).withColumn(
+            "_k", F.when(F.col("_c").isNotNull(), before("_c")).cast("int"))
+    else:
+        a = anchors(texts, max_length, (anchor,))
+        pre = a.select(id_col, "full_text", *keep, "n_user", F.col(f"anchor_{anchor}").alias("_k"))
+        enc = encode(pre, vocab, max_length, id_col=id_col, text_col="full_text", unk_id=unk_id,
+                     carry=["n_user", "_k", *keep])
     n = F.size("input_ids")
     start = F.least(F.col("n_user"), n)
     anc = F.greatest(start, F.col("_k"))
@@ -103,7 +124,9 @@ def build_examples(texts: DataFrame, vocab: DataFrame, max_length: int = K.MAX_L
              .withColumn("anchor", F.when(F.col("_k").isNotNull() & (anc < n), anc).cast("int"))
              .withColumn("labels", label_mask(F.col("input_ids"), start, pad_id)))
     ex = ex.withColumn("label_weights", label_weights(F.col("labels"), F.col("anchor"), answer_weight))
-    return pad(ex, max_length, pad_id).drop("_k")
+    ex = pad(ex, max_length, pad_id)
+    return ex.select(id_col, *keep, "n_user", "n_tokens", "anchor", "input_ids", "labels", "attention_mask",
+                     "label_weights")
 
 
 def audit_examples(ex: DataFrame) -> DataFrame:

@@ -1,29 +1,32 @@
-"""Partition layout helpers."""
+"""Partition layout helpers. None of them runs a job."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Hash buckets of :func:`hash_rank`: a bounded table of counts.
+RANK_BUCKETS = 1 << 16
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread compact rows over at least ``min_partitions`` partitions
-    (default: the cluster's parallelism) before CPU-heavy per-row work.
 
-    A no-op when the input already has that many partitions (the normal case
-    for large inputs); otherwise one shuffle of the compact rows, so a small
-    file read as one split does not run on one core. Hashing by ``key`` keeps
-    the placement deterministic under retries."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, F.col(key))
+def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
+    """Deal compact rows over ``partitions`` (default: the session's shuffle
+    partitions) by ``keys``, before work that is heavy for each row. For tables
+    of few file splits; a table of many splits needs none of it."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *[F.col(k) for k in keys]) if keys else df.repartition(n)
 
 
-def spread_any(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """:func:`spread` for rows without a key (the order of the output does not
-    matter to the caller, e.g. before a partial aggregation)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+def hash_rank(df: DataFrame, key: Column, *ties: str, out: str = "rank") -> DataFrame:
+    """Add the 0-based rank of each row by the hexadecimal hash ``key`` (then
+    ``ties``), without a global sort: ranks inside each of ``RANK_BUCKETS``
+    leading-digit buckets, plus the number of rows in earlier buckets."""
+    x = df.withColumn("_key", key)
+    x = x.withColumn("_bucket", F.conv(F.substring("_key", 1, 4), 16, 10).cast("int"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = (x.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+            .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
+    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key", *ties)) - 1
+    return (x.withColumn("_inside", inside).join(base, "_bucket")
+            .withColumn(out, (F.col("_base") + F.col("_inside")).cast("bigint"))
+            .drop("_key", "_bucket", "_base", "_inside"))

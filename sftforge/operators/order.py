@@ -7,18 +7,15 @@ results are the same under any partition count, retry or executor loss.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sftforge.functions import constants as K
 from sftforge.functions.hashing import draw
-
-SPLIT_BUCKETS = 1 << 16
-
+from sftforge.operators.layout import hash_rank
 
 def shuffle_key(id_col: str, seed: int = K.SHUFFLE_SEED):
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
@@ -30,41 +27,31 @@ def shuffle(df: DataFrame, id_col: str, seed: int = K.SHUFFLE_SEED) -> DataFrame
     return df.withColumn("shuffle_key", shuffle_key(id_col, seed)).orderBy("shuffle_key", id_col)
 
 
+def shuffle_rank(df: DataFrame, id_col: str, seed: int = K.SHUFFLE_SEED, out: str = "position") -> DataFrame:
+    """P6 as a column: each row's place in :func:`shuffle`'s order (0-based),
+    without sorting the rows."""
+    return hash_rank(df, shuffle_key(id_col, seed), id_col, out=out)
+
+
 def split_train_eval(df: DataFrame, id_col: str, eval_fraction: float = K.EVAL_FRACTION,
-                     seed: int = K.SHUFFLE_SEED, exact: bool = False) -> DataFrame:
-    """Add ``split`` in {'train', 'eval'}; disjoint and complete.
+                     seed: int = K.SHUFFLE_SEED, exact: bool = False, out: str = "split") -> DataFrame:
+    """Add ``out`` in {'train', 'eval'}; disjoint and complete.
 
     Approximate (default): eval iff a 32-bit hash of (seed, id) falls below
     ``eval_fraction`` -- one pass, no shuffle. Exact: eval = the
-    ``ceil(eval_fraction * n)`` smallest hashes (ties by id), found with a
-    histogram of 65,536 hash buckets (bounded), whole buckets below the
-    boundary, and a rank only inside the boundary bucket."""
+    ``ceil(eval_fraction * n)`` smallest hashes (ties by id): ranks inside
+    65,536 hash buckets plus a bounded table of bucket totals."""
     h = draw("split", seed, F.col(id_col))
-    df = df.withColumn("_h", h)
     if not exact:
         thr = int(round(eval_fraction * (1 << 32)))
-        return df.withColumn("split", F.when(F.col("_h") < thr, "eval").otherwise("train")).drop("_h")
-    shift = 32 - int(math.log2(SPLIT_BUCKETS))
-    df = df.withColumn("_b", F.shiftright(F.col("_h"), shift))
-    hist = df.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    total = hist.agg(F.sum("_c").alias("_n"))
-    need = F.ceil(F.col("_n") * F.lit(eval_fraction))
-    bounds = (hist.crossJoin(F.broadcast(total))
-                  .withColumn("_need", need)
-                  .filter((F.col("_before") < F.col("_need")) & (F.col("_before") + F.col("_c") >= F.col("_need")))
-                  .select(F.col("_b").alias("_bb"), (F.col("_need") - F.col("_before")).alias("_take")))
-    # rows strictly below the boundary bucket are eval, above are train
-    # (no boundary, e.g. need = 0: every row is train)
-    j = df.join(F.broadcast(bounds), F.lit(True), "left")
-    inb = j.filter(F.col("_b") == F.col("_bb"))
-    rk = F.row_number().over(Window.partitionBy("_b").orderBy("_h", id_col))
-    inb = inb.withColumn("split", F.when(rk <= F.col("_take"), "eval").otherwise("train"))
-    rest = j.filter(F.col("_bb").isNull() | (F.col("_b") != F.col("_bb"))).withColumn(
-        "split", F.when(F.col("_b") < F.col("_bb"), "eval").otherwise("train"))
-    out = rest.unionByName(inb)
-    return out.drop("_h", "_b", "_bb", "_take")
+        return df.withColumn(out, F.when(h < thr, "eval").otherwise("train"))
+    hexed = F.lower(F.lpad(F.hex(h), 8, "0"))
+    ranked = hash_rank(df, hexed, id_col, out="_rank")
+    buckets = df.groupBy(F.substring(hexed, 1, 4)).agg(F.count(F.lit(1)).alias("n"))
+    need = buckets.agg(F.ceil(F.sum("n") * F.lit(eval_fraction)).alias("_need"))
+    return (ranked.crossJoin(F.broadcast(need))  # one row
+            .withColumn(out, F.when(F.col("_rank") < F.col("_need"), "eval").otherwise("train"))
+            .drop("_rank", "_need"))
 
 
 def map_examples(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
@@ -78,30 +65,28 @@ def map_examples(df: DataFrame, fn: Callable, schema: T.StructType | str) -> Dat
     return df.mapInPandas(run, schema)
 
 
-ROWS_PER_SHARD = 1_000_000
-
-
-def collate(ex: DataFrame, batch_size: int, shards: int | None = None, id_col: str = "conv_id",
-            seed: int = K.SHUFFLE_SEED, rows_per_shard: int = ROWS_PER_SHARD) -> DataFrame:
-    """Group examples into batches of ``batch_size`` -> one row per batch
-    with stacked arrays. Batch = (shard, floor(rank / k)), shard by hash of the
-    id, rank by the P6 key inside the shard: no global window; a group holds at
-    most ``batch_size`` examples. Weights are padded (0.0) or cut to the batch
-    width (longest ``input_ids``); missing weights count as 1.0.
-
-    A shard is one window partition, so ``shards`` must grow with the data;
-    when it is None it is ``ceil(rows / rows_per_shard)`` (one count job)."""
-    if shards is None:
-        shards = max(1, math.ceil(ex.count() / rows_per_shard))
-    key = shuffle_key(id_col, seed)
-    shard = F.pmod(draw("shard", seed, F.col(id_col)), F.lit(shards))
-    ex = ex.withColumn("shard", shard.cast("int")).withColumn("_key", key)
-    rk = F.row_number().over(Window.partitionBy("shard").orderBy("_key", id_col)) - 1
-    ex = ex.withColumn("_rank", rk).withColumn("batch_no", F.floor(F.col("_rank") / batch_size).cast("int"))
+def batch_numbers(ids: DataFrame, batch_size: int, id_col: str = "conv_id",
+                  seed: int = K.SHUFFLE_SEED) -> DataFrame:
+    """(id, position, batch_no): places in P6's order, cut into batches of
+    ``batch_size``. Only ids are ranked and moved."""
+    x = shuffle_rank(ids.select(id_col), id_col, seed)
+    return x.withColumn("batch_no", F.floor(F.col("position") / batch_size).cast("bigint"))
+
+
+def collate(ex: DataFrame, batch_size: int, id_col: str = "conv_id", seed: int = K.SHUFFLE_SEED,
+            numbers: DataFrame | None = None) -> DataFrame:
+    """Group examples into batches of ``batch_size`` in P6's order -> one
+    row per batch with stacked arrays; only the last batch may be smaller.
+    ``numbers`` (from :func:`batch_numbers`, e.g. over the ids of the table that
+    the examples come from) saves computing the examples twice. Weights are
+    padded (0.0) or cut to the batch width (longest ``input_ids``); missing
+    weights count as 1.0. Ids are unique."""
+    numbers = batch_numbers(ex, batch_size, id_col, seed) if numbers is None else numbers
+    ex = ex.join(numbers.select(id_col, F.col("position").alias("_rank"), "batch_no"), id_col)
     has_w = "label_weights" in ex.columns
     item = F.struct(F.col("_rank"), F.col(id_col).alias("id"), "input_ids", "labels", "attention_mask",
                     (F.col("label_weights") if has_w else F.lit(None).cast("array<float>")).alias("w"))
-    g = ex.groupBy("shard", "batch_no").agg(F.sort_array(F.collect_list(item)).alias("_items"))
+    g = ex.groupBy("batch_no").agg(F.sort_array(F.collect_list(item)).alias("_items"))
     width = F.aggregate(F.col("_items"), F.lit(0), lambda acc, x: F.greatest(acc, F.size(x["input_ids"])))
     g = g.withColumn("_width", width)
 
@@ -112,7 +97,7 @@ def collate(ex: DataFrame, batch_size: int, shards: int | None = None, id_col: s
                 .otherwise(F.slice(w, 1, F.col("_width")))
 
     return g.select(
-        "shard", "batch_no",
+        "batch_no",
         F.transform("_items", lambda x: x["id"]).alias("example_ids"),
         F.transform("_items", lambda x: x["input_ids"]).alias("input_ids"),
         F.transform("_items", lambda x: x["labels"]).alias("labels"),

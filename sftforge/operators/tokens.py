@@ -10,103 +10,89 @@ boundary (used by the answer anchor).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sftforge.functions.text import DEFAULT_TEMPLATE, ChatTemplate, tokens
-from sftforge.operators.layout import spread, spread_any
 
 PAD_ID, UNK_ID = 0, 1
-# A vocabulary up to this size is shipped to tasks (lookup) or broadcast (join):
-# a bounded, proven size. Above it, encoding joins with a shuffle.
-MAX_SHIPPED_VOCAB = 2_000_000
+#: Tokens of one count are ranked in groups by so many leading characters.
+RANK_PREFIX = 3
 
 
-def build_vocabulary(df: DataFrame, size: int, text_col: str = "text",
+def build_vocabulary(df: DataFrame, size: int | None = None, text_col: str = "text",
                      template: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
     """Corpus -> (token, id). Reserved ids: pad 0, unk 1, then the
-    template's markers, then the ``size`` most frequent tokens by (count desc,
-    token asc). Counting is a partial aggregation; the top-k keeps ``size``
-    rows per task before the merge, so the ranking window runs on ``size`` rows."""
+    template's markers, then every token (or the ``size`` most frequent) by
+    (count desc, token asc).
+
+    Counting is a partial aggregation. Ranks come from groups of (count, first
+    characters): a window inside each group, and running totals over the much
+    shorter table of groups, so no task sorts the whole vocabulary. Store the
+    result and pass it on when several jobs encode with it."""
     markers = template.markers
-    toks = spread_any(df).select(F.explode(tokens(F.col(text_col))).alias("token"))
+    toks = df.select(F.explode(tokens(F.col(text_col))).alias("token"))
     if markers:
         toks = toks.filter(~F.col("token").isin(*markers))
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
-    top = counts.orderBy(F.desc("cnt"), F.asc("token")).limit(size)
-    base = 2 + len(markers)
-    ranked = top.withColumn("id", (F.row_number().over(Window.orderBy(F.desc("cnt"), F.asc("token"))) - 1 + base)
-                            .cast("int"))
+    if size is not None:
+        counts = counts.orderBy(F.desc("cnt"), F.asc("token")).limit(size)
+    counts = counts.withColumn("lead", F.substring("token", 1, RANK_PREFIX))
+    before = Window.orderBy(F.desc("cnt"), F.asc("lead")).rowsBetween(Window.unboundedPreceding, -1)
+    base = (counts.groupBy("cnt", "lead").agg(F.count(F.lit(1)).alias("n"))
+            .select("cnt", "lead", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
+    inside = F.row_number().over(Window.partitionBy("cnt", "lead").orderBy("token")) - 1
+    ranked = (counts.withColumn("inside", inside).join(base, ["cnt", "lead"])
+              .select("token", (F.col("base") + F.col("inside") + 2 + len(markers)).cast("int").alias("id")))
     spark = df.sparkSession
     reserved = spark.createDataFrame(
         [("<pad>", PAD_ID), ("<unk>", UNK_ID)] + [(m, 2 + i) for i, m in enumerate(markers)],
         "token string, id int")
-    return reserved.unionByName(ranked.select("token", "id"))
-
-
-def _tokens_col(text_col: str, max_length: int | None):
-    t = tokens(F.col(text_col))
-    return F.slice(t, 1, max_length) if max_length is not None else t
-
-
-def _make_lookup(vocab_tokens: list[str], vocab_ids: list[int], unk_id: int, in_col: str, out_col: str):
-    """mapInArrow function: list<string> tokens -> list<int> ids, vectorised
-    with pyarrow (hash lookup in C++); closure only, so workers need pyarrow."""
-    def fn(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        vt = pa.array(vocab_tokens, pa.string())
-        vi = pa.array(vocab_ids, pa.int32())
-        def whole(x):
-            return x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x
-
-        for b in batches:
-            col = whole(b.column(in_col))
-            idx = whole(pc.index_in(col.values, value_set=vt))
-            ids = whole(pc.fill_null(pc.take(vi, idx), pa.scalar(unk_id, pa.int32())))
-            offsets = whole(col.offsets)
-            if pa.types.is_int64(offsets.type):
-                out = pa.LargeListArray.from_arrays(offsets, ids, mask=whole(col.is_null()))
-                out = out.cast(pa.list_(pa.int32()))
-            else:
-                out = pa.ListArray.from_arrays(offsets, ids, mask=whole(col.is_null()))
-            names = [n for n in b.schema.names if n != in_col]
-            yield pa.RecordBatch.from_arrays([whole(b.column(n)) for n in names] + [whole(out)],
-                                             names=names + [out_col])
-    return fn
+    return reserved.unionByName(ranked)
 
 
 def encode(df: DataFrame, vocab: DataFrame, max_length: int | None = None, id_col: str = "id",
            text_col: str = "text", out: str = "input_ids", unk_id: int = UNK_ID,
-           method: str = "lookup", carry: list | tuple = ()) -> DataFrame:
+           carry: list | tuple = ()) -> DataFrame:
     """Rows -> ``input_ids`` (unknown tokens -> unk), truncated to
-    ``max_length`` *before* the lookup.
-
-    ``lookup`` (default): the vocabulary (size-checked) is shipped to the tasks
-    and each Arrow batch is encoded in place -- narrow, no shuffle.
-    ``join``: tokens are exploded, joined with the vocabulary (broadcast when
-    it is within the size bound) and regrouped by ``id_col`` (one shuffle).
-    ``carry`` columns are passed through."""
-    toks = _tokens_col(text_col, max_length)
-    rows = None
-    if method == "lookup":
-        # one bounded job: at most MAX_SHIPPED_VOCAB + 1 rows reach the driver
-        rows = vocab.select("token", "id").limit(MAX_SHIPPED_VOCAB + 1).collect()
-    if rows is not None and len(rows) <= MAX_SHIPPED_VOCAB:
-        base = spread(df, id_col).select(id_col, *carry, toks.alias("_toks"))
-        schema = T.StructType([base.schema[c] for c in [id_col, *carry]]
-                              + [T.StructField(out, T.ArrayType(T.IntegerType()))])
-        fn = _make_lookup([r.token for r in rows], [int(r.id) for r in rows], unk_id, "_toks", out)
-        return base.mapInArrow(fn, schema)
-    n_vocab = len(rows) if rows is not None else vocab.limit(MAX_SHIPPED_VOCAB + 1).count()
-    x = df.select(id_col, *carry, F.posexplode_outer(toks).alias("_pos", "token"))
-    v = F.broadcast(vocab) if n_vocab <= MAX_SHIPPED_VOCAB else vocab
-    j = x.join(v.withColumnRenamed("id", "_vid"), "token", "left")
+    ``max_length`` before the lookup; ``carry`` columns pass through. A null
+    text has null ids, an empty one an empty array.
+
+    Tokens are exploded, joined with the vocabulary (Spark broadcasts it if its
+    size allows, else both sides are shuffled) and regrouped by row. Rows are
+    told apart by a number of their own, so they may repeat an id."""
+    t = tokens(F.col(text_col))
+    t = F.slice(t, 1, max_length) if max_length is not None else t
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), id_col, *carry,
+                     F.col(text_col).isNull().alias("_null"), t.alias("_toks"))
+    x = rows.select("_row", id_col, *carry, "_null", F.posexplode_outer("_toks").alias("_pos", "token"))
+    j = x.join(vocab.select("token", F.col("id").alias("_vid")), "token", "left")
     item = F.when(F.col("_pos").isNotNull(),
                   F.struct(F.col("_pos"), F.coalesce(F.col("_vid"), F.lit(unk_id)).alias("v")))
-    g = j.groupBy(id_col).agg(*[F.first(c).alias(c) for c in carry], F.sort_array(F.collect_list(item)).alias("_l"))
-    return g.select(id_col, *carry, F.transform("_l", lambda e: e["v"]).cast("array<int>").alias(out))
+    kept = [id_col, *carry, "_null"]
+    g = j.groupBy("_row").agg(*[F.first(c).alias(c) for c in kept], F.sort_array(F.collect_list(item)).alias("_l"))
+    ids = F.transform("_l", lambda e: e["v"]).cast("array<int>")
+    return g.select(id_col, *carry, F.when(~F.col("_null"), ids).alias(out))
+
+
+def encode_with(df: DataFrame, fn: Callable, max_length: int | None = None, text_col: str = "text",
+                out: str = "input_ids", starts: str = "token_starts") -> DataFrame:
+    """T2 with the caller's tokenizer: ``fn`` maps a list of texts to a list of
+    (ids, first characters) pairs. Runs on Arrow batches, narrow; all columns
+    stay. A null text has null ids. ``fn`` is shipped by value if it is a closure."""
+    @F.arrow_udf("struct<ids: array<int>, starts: array<int>>")
+    def run(texts):
+        import pyarrow as pa
+        some = [(i, t) for i, t in enumerate(texts.to_pylist()) if t is not None]
+        rows: list = [None] * len(texts)
+        for (i, _), (ids, at) in zip(some, fn([t for _, t in some])):
+            rows[i] = {"ids": list(ids)[:max_length], "starts": list(at)[:max_length]}
+        return pa.array(rows, pa.struct([("ids", pa.list_(pa.int32())), ("starts", pa.list_(pa.int32()))]))
+
+    return (df.withColumn("_e", run(F.col(text_col))).withColumn(out, F.col("_e.ids"))
+            .withColumn(starts, F.col("_e.starts")).drop("_e"))
 
 
 def token_offsets(df: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:

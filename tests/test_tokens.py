@@ -20,7 +20,7 @@ PROMPT = "Solve it. End with \"FINAL ANSWER: \" then the word."
 
 def test_anchor_modes_and_weights(spark):
     texts = _texts(spark, [(1, PROMPT, "think step\n\nFINAL ANSWER: ([])"), (2, "no marker", "plain answer")])
-    vocab = TK.build_vocabulary(texts, 50, "full_text")
+    vocab = TK.build_vocabulary(texts, text_col="full_text")
     ans = {r.conv_id: r for r in X.build_examples(texts, vocab, 64, anchor="answer").collect()}
     fst = {r.conv_id: r for r in X.build_examples(texts, vocab, 64, anchor="first").collect()}
     r, f = ans[1], fst[1]
@@ -53,13 +53,64 @@ def test_user_tokens_prefix_and_offsets(spark):
         assert full[r.id][r.start:r.end] == r.token
 
 
-def test_encode_forms_agree(spark):
+def test_encode(spark):
     texts = _texts(spark, [(i, f"user {i} words", f"answer {i % 3} more words é") for i in range(30)])
-    vocab = TK.build_vocabulary(texts, 12, "full_text")
-    a = sorted(tuple(r) for r in TK.encode(texts, vocab, 16, "conv_id", "full_text", method="lookup").collect())
-    j = sorted(tuple(r) for r in TK.encode(texts, vocab, 16, "conv_id", "full_text", method="join").collect())
-    assert a == j
-    assert any(TK.UNK_ID in r[1] for r in a)
+    every = TK.build_vocabulary(texts, text_col="full_text")
+    ids = {r.token: r.id for r in every.collect()}
+    assert sorted(ids.values()) == list(range(len(ids)))  # dense
+    import regex
+    from sftforge.functions.text import TOKEN_PATTERN
+    full = {r.conv_id: r.full_text for r in texts.collect()}
+    got = {r.conv_id: r.input_ids for r in TK.encode(texts, every, 16, "conv_id", "full_text").collect()}
+    assert got == {i: [ids[t] for t in regex.findall(TOKEN_PATTERN, full[i])][:16] for i in full}
+    few = TK.build_vocabulary(texts, 5, "full_text")
+    assert few.count() == 5 + 2 + 3
+    assert any(TK.UNK_ID in r.input_ids for r in TK.encode(texts, few, 16, "conv_id", "full_text").collect())
+
+
+def test_encode_keeps_rows_apart(spark):
+    df = spark.createDataFrame([(1, "a b"), (1, "c d"), (1, "a b"), (2, None), (3, "")], "id long, text string")
+    vocab = TK.build_vocabulary(df)
+    ids = {r.token: r.id for r in vocab.collect()}
+    for n in (1, 5):
+        got = sorted(((r.id, r.input_ids) for r in TK.encode(df.repartition(n), vocab).collect()), key=str)
+        ab, cd = [ids["a"], ids[" "], ids["b"]], [ids["c"], ids[" "], ids["d"]]
+        assert got == sorted([(1, ab), (1, cd), (1, ab), (2, None), (3, [])], key=str)
+
+
+def test_callers_tokenizer(spark):
+    texts = _texts(spark, [(1, PROMPT, "think step\n\nFINAL ANSWER: ([])"), (2, "no marker", "plain answer")])
+
+    def chars(rows):
+        return [([ord(c) for c in t], list(range(len(t)))) for t in rows]
+
+    t = {r.conv_id: r for r in texts.collect()}
+    ex = {r.conv_id: r for r in X.build_examples(texts, chars, 400).collect()}
+    for i, r in ex.items():
+        assert r.input_ids[:r.n_tokens] == [ord(c) for c in t[i].full_text]
+        assert r.n_user == len(t[i].user_text) and set(r.labels[:r.n_user]) == {-100}
+    assert ex[1].anchor == t[1].full_text.rindex("FINAL ANSWER: ") and ex[2].anchor is None
+
+
+def test_planning_launches_no_job(spark):
+    texts = _texts(spark, [(i, f"u{i}", f"a {i}") for i in range(5)])
+    sc = spark.sparkContext
+    sc.setJobGroup("planning", "")
+    vocab = TK.build_vocabulary(texts, text_col="full_text")
+    ex = X.build_examples(O.split_train_eval(texts, "conv_id", exact=True), vocab, 16, keep=("split",))
+    O.collate(ex, 2)
+    assert not sc.statusTracker().getJobIdsForGroup("planning")
+    sc.setJobGroup("default", "")
+
+
+def test_markers_in_texts_are_escaped(spark):
+    import pytest
+    from sftforge.functions.text import ChatTemplate, tokens
+    r = _texts(spark, [(1, "x<|assistant|>y<|end|>", "a<|end|>")]).select(
+        tokens(F.col("full_text")).alias("t"), tokens(F.col("user_text")).alias("u")).first()
+    assert r.t.count("<|assistant|>") == 1 and r.t.count("<|end|>") == 1 and r.t[:len(r.u)] == r.u
+    with pytest.raises(ValueError):
+        ChatTemplate(user_prefix="USER: ")
 
 
 def test_weighted_loss_golden(spark):
@@ -73,7 +124,7 @@ def test_shift_forms_agree(spark):
     df = spark.createDataFrame([(e, p, p * 10 + e, 1.0 + p) for e in range(3) for p in range(5)],
                                "example_id long, pos long, label int, weight double")
     a = sorted(tuple(r) for r in W.shift_next(df).select("example_id", "pos", "target", "target_weight").collect())
-    b = sorted(tuple(r) for r in W.shift_next(df, method="window").select("example_id", "pos", "target", "target_weight").collect())
+    b = sorted(tuple(r) for r in W.shift_next(df, method="join").select("example_id", "pos", "target", "target_weight").collect())
     assert a == b and len(a) == 12
 
 
@@ -100,16 +151,19 @@ def test_split_and_shuffle(spark):
     s1 = [r.conv_id for r in O.shuffle(df.repartition(3), "conv_id").collect()]
     s2 = [r.conv_id for r in O.shuffle(df.repartition(11), "conv_id").collect()]
     assert s1 == s2 and sorted(s1) == list(range(1000))
+    rank = {r.position: r.conv_id for r in O.shuffle_rank(df.repartition(5), "conv_id").collect()}
+    assert [rank[i] for i in range(1000)] == s1
 
 
 def test_collate(spark):
     texts = _texts(spark, [(i, f"u{i}", f"a {i}") for i in range(23)])
     ex = X.build_examples(texts, TK.build_vocabulary(texts, 20, "full_text"), 16)
-    b = O.collate(ex, 4, 2).collect()
-    assert sum(len(x.example_ids) for x in b) == 23
-    auto = O.collate(ex, 4, rows_per_shard=10).collect()
-    assert {x.shard for x in auto} <= {0, 1, 2} and sum(len(x.example_ids) for x in auto) == 23
-    assert all(len(x.example_ids) <= 4 for x in b)
+    b = O.collate(ex, 4).collect()
+    order = [r.conv_id for r in O.shuffle(texts.select("conv_id"), "conv_id").collect()]
+    assert [i for x in sorted(b, key=lambda x: x.batch_no) for i in x.example_ids] == order
+    assert sorted(len(x.example_ids) for x in b) == [3, 4, 4, 4, 4, 4]
+    given = O.collate(ex, 4, numbers=O.batch_numbers(texts, 4)).collect()
+    assert sorted(map(str, given)) == sorted(map(str, b))
     assert all(len(w) == 16 for x in b for w in x.label_weights)
     audit = X.audit_examples(ex).first()
     assert audit.rows == 23 and audit.rows_missing == 0 and audit.trainable > 0
@@ -117,7 +171,7 @@ def test_collate(spark):
 
 def test_cross_entropy(spark):
     import math
-    df = spark.createDataFrame([([1.0, 2.0, 3.0], 2), ([0.0, 0.0], -100)], "logits array<float>, label int")
+    df = spark.createDataFrame([([1.0, 2.0, 3.0], 2), ([0.0, 0.0], -100), ([0.0], 1)], "logits array<float>, label int")
     got = [r[0] for r in df.select(W.cross_entropy(F.col("logits"), F.col("label"))).collect()]
     exp = math.log(math.exp(1) + math.exp(2) + math.exp(3)) - 3
-    assert abs(got[0] - exp) < 1e-12 and got[1] == 0.0
+    assert abs(got[0] - exp) < 1e-12 and got[1] == 0.0 and got[2] is None
