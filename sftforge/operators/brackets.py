@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sftforge.functions import constants as K
-from sftforge.operators.layout import spread
 
 OPEN, CLOSE, OTHER = "open", "close", "other"
 
@@ -29,15 +28,15 @@ def closer_of(ch: Column) -> Column:
 
 
 def _base(df: DataFrame, id_col: str, seq_col: str, keep=()) -> DataFrame:
-    return (df.select(F.col(id_col).alias("seq_id"), F.col(seq_col).alias("seq"), *keep)
-              .filter(F.length("seq") > 0))
+    """Every sequence, the empty and null ones too."""
+    return df.select(F.col(id_col).alias("seq_id"), F.col(seq_col).alias("seq"), *keep)
 
 
 def explode_brackets(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
                      partition: bool = False, keep=()) -> DataFrame:
     """B1: (seq_id, pos, ch, kind) with 0-based ``pos``; the trace's step is
     pos + 1. Empty sequences give no rows. ``n`` = sequence length."""
-    b = _base(df, id_col, seq_col, keep)
+    b = _base(df, id_col, seq_col, keep).filter(F.length("seq") > 0)
     if partition:
         b = b.repartition("seq_id")
     x = b.select("seq_id", F.length("seq").cast("bigint").alias("n"), *keep,
@@ -67,8 +66,9 @@ def bracket_depth(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq", k
 
 
 def max_depth(depth: DataFrame) -> DataFrame:
-    """Max depth per sequence from :func:`bracket_depth` output."""
-    return depth.groupBy("seq_id").agg(F.max("depth").alias("max_depth"))
+    """:func:`bracket_depth` output with ``max_depth`` of each sequence; the
+    window reuses the sequence's partitioning, so nothing moves again."""
+    return depth.withColumn("max_depth", F.max("depth").over(Window.partitionBy("seq_id")))
 
 
 def bracket_events(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq", keep=()) -> DataFrame:
@@ -95,150 +95,64 @@ def bracket_events(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
              .drop("_nxt", "_prv", "_prv_ch"))
 
 
-def _fold_stack(seq: Column) -> Column:
-    """Stack of closers (bottom first) after reading the whole sequence."""
-    def step(st, c):
-        return (F.when(c.isin(*K.OPENERS), F.concat(st, closer_of(c)))
-                 .when(c.isin(*K.CLOSERS) & (F.length(st) > 0), F.left(st, F.length(st) - 1))
-                 .otherwise(st))
-    return F.aggregate(F.split(seq, ""), F.lit(""), step)
-
-
-def _make_completion_fn():
-    """mapInArrow function: (seq_id, seq) -> (seq_id, completion, completed)
-    with an O(1) push/pop list per character. Closure only."""
-    opener_to_closer = dict(zip(K.OPENERS, K.CLOSERS))
-    closers = frozenset(K.CLOSERS)
-
-    def fn(batches):
-        import pyarrow as pa
-        for b in batches:
-            comps, fulls = [], []
-            for seq in b.column("seq").to_pylist():
-                st = []
-                for ch in seq:
-                    c = opener_to_closer.get(ch)
-                    if c is not None:
-                        st.append(c)
-                    elif ch in closers and st:
-                        st.pop()
-                comp = "".join(reversed(st))
-                comps.append(comp)
-                fulls.append(seq + comp)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("seq_id"), pa.array(comps, pa.string()), pa.array(fulls, pa.string())],
-                names=["seq_id", "completion", "completed"])
-    return fn
+def closers_needed(seq: Column) -> Column:
+    """The closers that complete a sequence, as an expression on one row. Read
+    from the right, an opening bracket is closed iff a closer is still unused;
+    the others' closers, in that order, are the completion. The state is a
+    counter and the completion so far, so a step copies no stack."""
+    def step(acc, c):
+        is_open, free = c.isin(*K.OPENERS), acc["free"]
+        return F.struct(
+            F.when(c.isin(*K.CLOSERS), free + 1).when(is_open & (free > 0), free - 1).otherwise(free).alias("free"),
+            F.when(is_open & (free == 0), F.concat(acc["need"], closer_of(c))).otherwise(acc["need"]).alias("need"))
+
+    start = F.struct(F.lit(0).alias("free"), F.lit("").alias("need"))
+    return F.aggregate(F.reverse(F.split(seq, "")), start, step)["need"]
 
 
 def complete_brackets(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
                       method: str = "fold") -> DataFrame:
     """Minimal closers for a prefix (closers of the unpartnered opens, last
-    first) and the completed word.
-
-    ``fold``: per-row stack fold as a higher-order expression, narrow (no
-    shuffle); it copies the stack string per step. ``arrow``: the same per-row
-    loop with an O(1) push/pop in ``mapInArrow``, narrow. ``relational``: from
-    :func:`bracket_events`, opens without partner collected per sequence."""
-    if method == "arrow":
-        b = spread(_base(df, id_col, seq_col).select(F.col("seq_id").cast("bigint").alias("seq_id"), "seq"),
-                   "seq_id")
-        return b.mapInArrow(_make_completion_fn(), "seq_id bigint, completion string, completed string")
+    first) and the completed word. The empty sequence needs none; null stays null.
+
+    ``fold``: :func:`closers_needed` on each row, narrow. ``relational``: from
+    :func:`bracket_events`, opens without partner collected per sequence, for
+    sequences too long to fold in one expression."""
+    b = _base(df, id_col, seq_col)
     if method == "fold":
-        b = spread(_base(df, id_col, seq_col), "seq_id")
-        comp = F.reverse(_fold_stack(F.col("seq")))
-        return b.select("seq_id", comp.alias("completion"), F.concat("seq", comp).alias("completed"))
+        need = closers_needed(F.col("seq"))
+        return b.select("seq_id", need.alias("completion"), F.concat("seq", need).alias("completed"))
     if method != "relational":
         raise ValueError(f"unknown method {method!r}")
     e = bracket_events(df, id_col, seq_col)
     unclosed = (F.col("event") == "open") & F.col("partner_pos").isNull()
-    g = e.groupBy("seq_id").agg(
-        F.sort_array(F.collect_list(F.when(unclosed, F.struct("pos", closer_of(F.col("ch")).alias("c")))),
-                     asc=False).alias("_u"),
-        F.sort_array(F.collect_list(F.struct("pos", "ch"))).alias("_all"))
-    comp = F.array_join(F.transform("_u", lambda x: x["c"]), "")
-    seq = F.array_join(F.transform("_all", lambda x: x["ch"]), "")
-    return g.select("seq_id", comp.alias("completion"), F.concat(seq, comp).alias("completed"))
-
-
-def _make_stack_states_fn(max_chars: int = 32 << 20):
-    """mapInArrow function: (seq_id, seq) batches -> (seq_id, pos, stack) rows,
-    one string copy per step (work = output size), emitted in batches of at
-    most ``max_chars`` stack characters so a batch never outgrows memory or
-    Arrow's 2 GB string limit. Closure only: workers need just pyarrow."""
-    opener_to_closer = dict(zip(K.OPENERS, K.CLOSERS))
-    closers = frozenset(K.CLOSERS)
-
-    def fn(batches):
-        import pyarrow as pa
-
-        ids, poss, states, size = [], [], [], 0
-
-        def flush():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(poss, pa.int64()), pa.array(states, pa.string())],
-                names=["seq_id", "pos", "stack"])
-
-        for b in batches:
-            for sid, seq in zip(b.column("seq_id").to_pylist(), b.column("seq").to_pylist()):
-                st = ""
-                for i, ch in enumerate(seq):
-                    c = opener_to_closer.get(ch)
-                    if c is not None:
-                        st = st + c
-                    elif ch in closers and st:
-                        st = st[:-1]
-                    ids.append(sid)
-                    poss.append(i)
-                    states.append(st)
-                    size += len(st) + 1
-                    if size >= max_chars:
-                        yield flush()
-                        ids, poss, states, size = [], [], [], 0
-        if ids:
-            yield flush()
-
-    return fn
-
-
-def stack_states(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
-                 method: str = "arrow") -> DataFrame:
-    """Stack (closers, bottom first, as a string) after each step.
-
-    The output holds sum(depth) characters, which for deep sequences is far
-    more than the input, so the method matters:
-
-    - ``arrow`` (default): ``mapInArrow`` runs the stack per row and emits the
-      states in size-bounded batches; narrow (no shuffle), work = output size.
-    - ``relational``: each open covers the steps from its position to the one
-      before its partner (or the end); exploding the intervals emits one row
-      per stack entry, regrouped by (seq_id, pos) on the existing partitioning.
-      Proportional to the output too, but one row per stack *entry*.
-    - ``fold``: higher-order ``aggregate`` per row; quadratic in length.
-    """
-    if method == "fold":
-        return stack_states_fold(df, id_col, seq_col)
-    if method == "arrow":
-        b = spread(_base(df, id_col, seq_col).select(F.col("seq_id").cast("bigint").alias("seq_id"), "seq"),
-                   "seq_id")
-        return b.mapInArrow(_make_stack_states_fn(), "seq_id bigint, pos bigint, stack string")
-    if method != "relational":
-        raise ValueError(f"unknown method {method!r}")
-    e = bracket_events(df, id_col, seq_col)
-    is_open = F.col("event") == "open"
-    end = F.coalesce(F.col("partner_pos") - 1, F.col("n") - 1)
-    covered = F.when(is_open, F.sequence(F.col("pos"), end)).otherwise(F.array(F.col("pos")))
-    entry = F.when(is_open, F.struct(F.col("pos").alias("opos"), closer_of(F.col("ch")).alias("c")))
-    s = e.select("seq_id", F.explode(covered).alias("pos"), entry.alias("_e"))
-    g = s.groupBy("seq_id", "pos").agg(F.sort_array(F.collect_list("_e")).alias("_st"))
-    return g.select("seq_id", "pos", F.array_join(F.transform("_st", lambda x: x["c"]), "").alias("stack"))
-
-
-def stack_states_fold(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq") -> DataFrame:
-    """B5, narrow form: one fold per row emitting every state (for short
-    sequences such as generated prefixes; cost grows with length squared)."""
-    b = _base(df, id_col, seq_col)
+    g = e.filter(unclosed).groupBy("seq_id").agg(
+        F.sort_array(F.collect_list(F.struct("pos", closer_of(F.col("ch")).alias("c"))), asc=False).alias("_u"))
+    need = F.coalesce(F.array_join(F.transform("_u", lambda x: x["c"]), ""), F.when(F.col("seq").isNotNull(), ""))
+    return (b.join(g, "seq_id", "left").withColumn("completion", need)
+            .select("seq_id", "completion", F.concat("seq", "completion").alias("completed")))
+
+
+def stack_states(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq") -> DataFrame:
+    """The stack after each step, as a linked list: its ``depth``, the
+    closer on ``top`` and ``parent_pos``, the position of that closer's opening
+    bracket (null on the empty stack). The stack below the top is the state just
+    before ``parent_pos``, so any whole stack can be followed down, and the
+    output is linear in the input. For the stack as text on short sequences, see
+    :func:`stack_texts`."""
+    d = bracket_depth(df, id_col, seq_col)
+    level = Window.partitionBy("seq_id", "depth").orderBy("pos").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    is_open = F.col("kind") == OPEN
+    return d.select(
+        "seq_id", "pos", "depth",
+        F.last(F.when(is_open, closer_of(F.col("ch"))), ignorenulls=True).over(level).alias("top"),
+        F.last(F.when(is_open, F.col("pos")), ignorenulls=True).over(level).alias("parent_pos"))
+
 
+def stack_texts(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq") -> DataFrame:
+    """B5 as text (closers, bottom first) after each step, for short sequences
+    such as task prefixes: the text of all states grows with length x depth."""
     def step(acc, c):
         st = acc["st"]
         nst = (F.when(c.isin(*K.OPENERS), F.concat(st, closer_of(c)))
@@ -247,6 +161,7 @@ def stack_states_fold(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq
         return F.struct(nst.alias("st"), F.concat(acc["states"], F.array(nst)).alias("states"))
 
     init = F.struct(F.lit("").alias("st"), F.array().cast("array<string>").alias("states"))
+    b = _base(df, id_col, seq_col).filter(F.length("seq") > 0)
     states = F.aggregate(F.split("seq", ""), init, step)["states"]
     return (b.select("seq_id", F.posexplode(states).alias("pos", "stack"))
              .withColumn("pos", F.col("pos").cast("bigint")))
@@ -258,7 +173,8 @@ def check_brackets(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
     generator's accept flags: length == ``length``, stack size at the cut ==
     characters after it (``cut``), max depth >= ``min_depth``.
 
-    Faults: mismatch, ignored, other, unclosed (an open without partner)."""
+    Faults: mismatch, ignored, other, unclosed (an open without partner). The
+    empty sequence is balanced; a null one gives nulls."""
     e = bracket_events(df, id_col, seq_col)
     fault = (F.when(F.col("event").isin("mismatch", "ignored", "other"), F.col("event"))
               .when((F.col("event") == "open") & F.col("partner_pos").isNull(), F.lit("unclosed")))
@@ -275,4 +191,11 @@ def check_brackets(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
         ((F.col("length") >= cut) & (F.col("_dcut") == F.col("length") - cut)).alias("cut_ok")
         if cut is not None else F.lit(None).cast("boolean").alias("cut_ok"),
         (F.col("max_depth") >= min_depth).alias("depth_ok"))
-    return out
+    none, zero = F.lit(None), F.when(F.col("seq").isNotNull(), F.lit(0).cast("bigint"))
+    rest = _base(df, id_col, seq_col).filter(F.coalesce(F.length("seq"), F.lit(0)) == 0).select(
+        "seq_id", zero.alias("length"), zero.alias("max_depth"), (zero == 0).alias("balanced"),
+        none.cast("bigint").alias("fault_pos"), none.cast("string").alias("fault"),
+        ((zero == length) if length is not None else none.cast("boolean")).alias("length_ok"),
+        ((zero >= cut) if cut is not None else none.cast("boolean")).alias("cut_ok"),
+        (zero >= min_depth).alias("depth_ok"))
+    return out.union(rest)

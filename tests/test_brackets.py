@@ -18,9 +18,9 @@ def test_golden(spark):
     df = _df(spark, GOLDEN + [(7, "", "", None)])
     for method in ("fold", "relational"):
         comp = {r.seq_id: r.completion for r in B.complete_brackets(df, method=method).collect()}
-        assert comp == {i: c for i, _, c, _ in GOLDEN}, method
+        assert comp == {i: c for i, _, c, _ in GOLDEN} | {7: ""}, method
     v = {r.seq_id: r for r in B.check_brackets(df).collect()}
-    assert {i: v[i].balanced for i in v} == {i: b for i, _, _, b in GOLDEN}
+    assert {i: v[i].balanced for i in v} == {i: b for i, _, _, b in GOLDEN} | {7: True}
     assert v[3].fault == "mismatch" and v[4].fault == "ignored" and v[6].fault == "other"
     ev = {(r.seq_id, r.pos): r.event for r in B.bracket_events(df).collect()}
     assert [ev[(1, p)] for p in range(3)] == ["open", "open", "match"]
@@ -40,12 +40,19 @@ def test_cross_forms_and_properties(spark):
     fold = {r.seq_id: tuple(r) for r in B.complete_brackets(df, method="fold").collect()}
     rel = {r.seq_id: tuple(r) for r in B.complete_brackets(df, method="relational").collect()}
     assert fold == rel
-    states = {}
-    for m in ("arrow", "relational", "fold"):
-        states[m] = sorted(tuple(r) for r in B.stack_states(df, method=m).collect())
-    assert states["arrow"] == states["relational"] == states["fold"]
+    texts = {(r.seq_id, r.pos): r.stack for r in B.stack_texts(df).collect()}
+    links = {(r.seq_id, r.pos): r for r in B.stack_states(df).collect()}
+    assert links.keys() == texts.keys()
+
+    def followed(key):  # the whole stack, from the linked form
+        out, r = "", links.get(key)
+        while r is not None and r.depth:
+            out, r = r.top + out, links.get((r.seq_id, r.parent_pos - 1))
+        return out
+
+    assert all(followed(k) == t and links[k].depth == len(t) for k, t in texts.items())
     last = {}
-    for sid, pos, st in states["arrow"]:
+    for (sid, pos), st in sorted(texts.items()):
         last[sid] = st
     assert all(last[i][::-1] == fold[i][1] for i in fold)
     # the completed word of a fault-free prefix is balanced
@@ -70,3 +77,14 @@ def test_completion_of_valid_word_is_empty(spark):
     completed = B.complete_brackets(df).select("seq_id", F.col("completed").alias("seq"))
     twice = {r.seq_id: r.completion for r in B.complete_brackets(completed).collect()}
     assert set(twice.values()) == {""}
+
+
+def test_empty_and_null_sequences_keep_their_row(spark):
+    df = spark.createDataFrame([("x", ""), ("y", None), ("z", "(")], "seq_id string, seq string")
+    for method in ("fold", "relational"):
+        comp = {r.seq_id: (r.completion, r.completed) for r in B.complete_brackets(df, method=method).collect()}
+        assert comp == {"x": ("", ""), "y": (None, None), "z": (")", "()")}
+    v = {r.seq_id: r for r in B.check_brackets(df, length=0, cut=0).collect()}
+    assert (v["x"].balanced, v["x"].length, v["x"].length_ok, v["x"].cut_ok) == (True, 0, True, True)
+    assert v["y"].balanced is None and v["z"].fault == "unclosed"
+    assert {r.seq_id for r in B.stack_states(df).collect()} == {"z"}
