@@ -12,20 +12,22 @@ IGN = K.IGNORE_INDEX
 
 
 def shift_next(df: DataFrame, example_col: str = "example_id", pos_col: str = "pos",
-               label_col: str = "label", weight_col: str = "weight", method: str = "join") -> DataFrame:
+               label_col: str = "label", weight_col: str = "weight", method: str = "window") -> DataFrame:
     """Pair position i's prediction with the label and weight at i + 1;
     the last position of each example is dropped. Positions are dense (0..n-1).
 
-    ``join`` (default): equi-join on (example, pos + 1) -- the shuffle is keyed
-    by both columns, so one very long example spreads over all partitions.
-    ``window``: ``lead`` over (example) ordered by pos -- one example per
-    window partition."""
+    ``window`` (default): ``lead`` over (example) ordered by pos, which reuses
+    the partitioning of a table ranked by example. ``join``: equi-join on
+    (example, pos + 1), whose shuffle is keyed by both columns, for examples
+    too long for one task."""
     if method == "window":
         w = Window.partitionBy(example_col).orderBy(pos_col)
         out = (df.withColumn("target", F.lead(label_col).over(w))
                  .withColumn("target_weight", F.lead(weight_col).over(w))
                  .withColumn("_has", F.lead(pos_col).over(w) == F.col(pos_col) + 1))
         return out.filter(F.col("_has")).drop("_has")
+    if method != "join":
+        raise ValueError(f"unknown method {method!r}")
     nxt = df.select(F.col(example_col), (F.col(pos_col) - 1).alias(pos_col),
                     F.col(label_col).alias("target"), F.col(weight_col).alias("target_weight"))
     return df.join(nxt, [example_col, pos_col])
@@ -48,38 +50,39 @@ def weighted_loss(df: DataFrame, group_col: str = "batch_id", label_col: str = "
 
 
 def cross_entropy(logits: Column, label: Column) -> Column:
-    """logsumexp(logits) - logits[label] (max-shifted); 0 for ignored or
-    out-of-range labels."""
+    """logsumexp(logits) - logits[label] (max-shifted); 0 for ignored
+    labels, null for labels out of range (an error in a training step)."""
     m = F.array_max(logits).cast("double")
     lse = m + F.log(F.aggregate(logits, F.lit(0.0).cast("double"), lambda a, x: a + F.exp(x.cast("double") - m)))
-    ok = (label != IGN) & (label >= 0) & (label < F.size(logits))
-    return F.when(ok, lse - F.try_element_at(logits, label + 1).cast("double")).otherwise(F.lit(0.0))
+    ok = (label >= 0) & (label < F.size(logits))
+    return F.when(label == IGN, F.lit(0.0)).when(ok, lse - F.try_element_at(logits, label + 1).cast("double"))
 
 
 def loss_curves(log: DataFrame, run_col: str = "run_id") -> DataFrame:
     """Run log -> long form (run_id, series, step, value): train points
-    (rows with loss and step) and eval points (rows with eval_loss and step)."""
-    tr = log.filter(F.col("loss").isNotNull() & F.col("step").isNotNull()).select(
-        run_col, F.lit("train").alias("series"), "step", F.col("loss").alias("value"))
-    ev = log.filter(F.col("eval_loss").isNotNull() & F.col("step").isNotNull()).select(
-        run_col, F.lit("eval").alias("series"), "step", F.col("eval_loss").alias("value"))
-    return tr.unionByName(ev)
+    (rows with loss and step) and eval points (rows with eval_loss and step).
+    One scan: a row gives up to two points."""
+    points = F.array(F.struct(F.lit("train").alias("series"), F.col("loss").alias("value")),
+                     F.struct(F.lit("eval").alias("series"), F.col("eval_loss").alias("value")))
+    return (log.filter(F.col("step").isNotNull()).select(run_col, "step", F.explode(points).alias("p"))
+            .filter(F.col("p.value").isNotNull()).select(run_col, "p.series", "step", "p.value"))
 
 
 def best_checkpoint(log: DataFrame, keep: int = K.SAVE_TOTAL_LIMIT, run_col: str = "run_id") -> DataFrame:
     """R2: lowest eval_loss per run (ties -> smallest step) and whether that
     checkpoint is still among the last ``keep`` saved (saves coincide with
-    evals). Only aggregates (partial, skew-safe): the k-th largest eval step
-    comes from k rounds of ``max`` below the previous one."""
-    ev = log.filter(F.col("eval_loss").isNotNull() & F.col("step").isNotNull())
-    best = ev.groupBy(run_col).agg(
-        F.min(F.struct("eval_loss", "step")).alias("_b"), F.max("step").alias("_s1"))
-    cur = best.select(run_col, F.col("_s1").alias("_kth"))
-    for _ in range(keep - 1):
-        nxt = (ev.join(cur, run_col).filter(F.col("step") < F.col("_kth"))
-                 .groupBy(run_col).agg(F.max("step").alias("_next")))
-        cur = cur.join(nxt, run_col, "left").select(
-            run_col, F.coalesce(F.col("_next"), F.col("_kth")).alias("_kth"))
-    return (best.join(cur, run_col)
-                .select(run_col, F.col("_b")["step"].alias("best_step"), F.col("_b")["eval_loss"].alias("best_eval_loss"),
-                        (F.col("_b")["step"] >= F.col("_kth")).alias("still_kept")))
+    evals). One scan: the best and the last ``keep`` evals of a run are picked
+    by ranks that Spark also applies before the shuffle, so a very long run
+    sends a few rows from each task."""
+    ev = log.filter(F.col("eval_loss").isNotNull() & F.col("step").isNotNull()).select(run_col, "step", "eval_loss")
+    picks = F.explode(F.array(F.struct(F.lit(True).alias("late"), (-F.col("step")).cast("double").alias("by")),
+                              F.struct(F.lit(False).alias("late"), F.col("eval_loss").cast("double").alias("by"))))
+    x = ev.select(run_col, "step", "eval_loss", picks.alias("p")).select(run_col, "step", "eval_loss", "p.*")
+    place = F.row_number().over(Window.partitionBy(run_col, "late").orderBy("by", "step"))
+    x = x.withColumn("_r", place).filter(F.col("_r") <= max(keep, 1))
+    late, best = F.col("late") & (F.col("_r") <= keep), ~F.col("late") & (F.col("_r") == 1)
+    g = x.groupBy(run_col).agg(
+        F.max(F.when(best, F.col("step"))).alias("best_step"),
+        F.max(F.when(best, F.col("eval_loss"))).alias("best_eval_loss"),
+        F.min(F.when(late, F.col("step"))).alias("_kth"))
+    return g.select(run_col, "best_step", "best_eval_loss", (F.col("best_step") >= F.col("_kth")).alias("still_kept"))

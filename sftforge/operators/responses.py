@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from sftforge.functions import constants as K
 from sftforge.functions.text import DEFAULT_TEMPLATE, ChatTemplate, infer_prompt, py_strip, token_count, tokens
-from sftforge.operators.brackets import _fold_stack
-from sftforge.operators.layout import spread_any
+from sftforge.operators.brackets import closers_needed
 
 THOUGHT_RE = r"(?m)^# Thought \d+:"
 STEP_RE = r"# Step \d+: add '(.)'\."
@@ -20,7 +19,6 @@ def inference_requests(df: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE,
                        max_length: int = K.MAX_LENGTH_INFER, seq_col: str = "sequence") -> DataFrame:
     """Sequence -> chat text with generation prompt, head-truncated to
     ``max_length`` tokens (arrays are built only for rows that exceed it)."""
-    df = spread_any(df)
     text = template.request_text(infer_prompt(F.col(seq_col)))
     n = token_count(text)
     cut = F.array_join(F.slice(tokens(text), 1, max_length), "")
@@ -58,10 +56,11 @@ def parse_responses(df: DataFrame, response_col: str = "response") -> DataFrame:
 def response_conformance(df: DataFrame, seq_col: str = "sequence", response_col: str = "response") -> DataFrame:
     """I4: per response, the format rules stated in the prompts; then rates
     per prefix length. The expected completion is computed in the same row
-    (B4 fold), so no join is needed."""
+    (B4 fold), so no join is needed. A null response keeps no rule, so it counts
+    in every rate."""
     p = parse_responses(df, response_col)
     r = F.col(response_col)
-    completion = F.reverse(_fold_stack(F.col(seq_col)))
+    completion = closers_needed(F.col(seq_col))
     fmt_ok = (F.col("n_thoughts") > 0) & (F.instr(r, K.RESPONSE_ORDER_LINE) > 0) & (F.instr(r, K.ANSWER_MARKER) > 0)
     banned = F.lit(False)
     for ph in K.BANNED_PHRASES:
@@ -71,7 +70,7 @@ def response_conformance(df: DataFrame, seq_col: str = "sequence", response_col:
               .withColumn("steps_ok", F.col("step_closers") == completion)
               .withColumn("answer_ok", F.coalesce(F.col("final_answer") == F.concat(F.col(seq_col), completion),
                                                   F.lit(False))))
-    rate = lambda c: F.avg(F.col(c).cast("double"))
+    rate = lambda c: F.avg(F.coalesce(F.col(c), F.lit(False)).cast("double"))
     return flags.groupBy(F.length(seq_col).cast("bigint").alias("prefix_length")).agg(
         F.count(F.lit(1)).alias("n"), rate("format_ok").alias("format_rate"), rate("banned").alias("banned_rate"),
         rate("steps_ok").alias("steps_rate"), rate("answer_ok").alias("answer_rate"))

@@ -70,8 +70,7 @@ WITH {DEPTH_SQL}
 SELECT seq_id, pos, depth, ignored, max(depth) OVER (PARTITION BY seq_id) AS max_depth FROM d""")
 def q_bracket_depth(spark, d):
     dep = B.bracket_depth(doc_sequences(spark, d))
-    return (dep.join(B.max_depth(dep), "seq_id")
-               .select("seq_id", "pos", "depth", "ignored", "max_depth"))
+    return B.max_depth(dep).select("seq_id", "pos", "depth", "ignored", "max_depth")
 
 
 @register("bracket_events", f"WITH {EVENTS_SQL} SELECT seq_id, pos, ch, event, partner_pos FROM e")
@@ -84,24 +83,21 @@ def q_bracket_events(spark, d):
 WITH {EVENTS_SQL},
 c AS (SELECT seq_id, string_agg(translate(ch, '([{{<', ')]}}>'), '' ORDER BY pos DESC) AS completion
       FROM e WHERE event = 'open' AND partner_pos IS NULL GROUP BY seq_id)
-SELECT b.seq_id, coalesce(c.completion, '') AS completion, b.seq || coalesce(c.completion, '') AS completed
-FROM b LEFT JOIN c ON b.seq_id = c.seq_id""")
+SELECT s.seq_id, CASE WHEN s.seq IS NOT NULL THEN coalesce(c.completion, '') END AS completion,
+       s.seq || coalesce(c.completion, '') AS completed
+FROM src s LEFT JOIN c ON s.seq_id = c.seq_id""")
 def q_bracket_completion(spark, d):
     return B.complete_brackets(doc_sequences(spark, d), method="fold")
 
 
-# Range-join oracle for the interval explode.
 @register("bracket_stack_states", f"""
-WITH {EVENTS_SQL},
-o AS (SELECT seq_id, pos AS opos, coalesce(partner_pos - 1, n - 1) AS oend, translate(ch, '([{{<', ')]}}>') AS c
-      FROM e WHERE event = 'open'),
-st AS (SELECT e.seq_id, e.pos, string_agg(o.c, '' ORDER BY o.opos) AS stack
-       FROM e JOIN o ON e.seq_id = o.seq_id AND o.opos <= e.pos AND e.pos <= o.oend
-       GROUP BY e.seq_id, e.pos)
-SELECT e.seq_id, e.pos, coalesce(st.stack, '') AS stack
-FROM e LEFT JOIN st ON e.seq_id = st.seq_id AND e.pos = st.pos""")
+WITH {DEPTH_SQL}
+SELECT seq_id, pos, depth,
+       last_value(CASE WHEN kind = 'open' THEN translate(ch, '([{{<', ')]}}>') END IGNORE NULLS) OVER w AS top,
+       last_value(CASE WHEN kind = 'open' THEN pos END IGNORE NULLS) OVER w AS parent_pos
+FROM d WINDOW w AS (PARTITION BY seq_id, depth ORDER BY pos ROWS UNBOUNDED PRECEDING)""")
 def q_bracket_stack_states(spark, d):
-    return B.stack_states(doc_sequences(spark, d), method="arrow")
+    return B.stack_states(doc_sequences(spark, d))
 
 
 VALIDITY_MIN_DEPTH = 3
@@ -111,6 +107,11 @@ VALIDITY_MIN_DEPTH = 3
 WITH {EVENTS_SQL},
 f AS (SELECT *, CASE WHEN event IN ('mismatch', 'ignored', 'other') THEN event
                      WHEN event = 'open' AND partner_pos IS NULL THEN 'unclosed' END AS fault FROM e)
+SELECT seq_id, length(seq)::BIGINT AS length, CASE WHEN seq IS NOT NULL THEN 0 END::BIGINT AS max_depth,
+       CASE WHEN seq IS NOT NULL THEN true END AS balanced, NULL::BIGINT AS fault_pos, NULL AS fault,
+       CASE WHEN seq IS NOT NULL THEN 0 END >= {VALIDITY_MIN_DEPTH} AS depth_ok
+FROM src WHERE coalesce(length(seq), 0) = 0
+UNION ALL
 SELECT seq_id, max(n)::BIGINT AS length, max(depth)::BIGINT AS max_depth,
        count(fault) = 0 AS balanced,
        min(pos) FILTER (WHERE fault IS NOT NULL)::BIGINT AS fault_pos,

@@ -37,14 +37,9 @@ def turns(spark, d):
 def usable_texts(spark, d, reasoning: str = "none"):
     """Conversations -> usable rows with full/user/request texts.
 
-    ``reasoning='none'``: last messages straight from the turn table (one
-    aggregation). ``'previous_assistant'``: fold to conversation arrays first,
-    the assistant's reasoning being the previous assistant turn."""
-    src = turns(spark, d)
-    if reasoning != "none":
-        src = fold_turns(src, reasoning=reasoning)
-    texts, rejected = chat.prepare_texts(src, "conv_id", TPL)
-    return texts, rejected
+    Last messages straight from the turn table; ``'previous_assistant'``: the
+    assistant's reasoning is the previous assistant turn."""
+    return chat.prepare_texts(turns(spark, d), "conv_id", TPL, reasoning)
 
 
 # --- SQL building blocks over the turn table -------------------------------------------------
@@ -172,6 +167,5 @@ SELECT st.max, {K.MAX_LENGTH_TRAIN}::BIGINT AS configured, st.max <= {K.MAX_LENG
        (SELECT count(*) FROM t WHERE length > {K.MAX_LENGTH_TRAIN})::BIGINT AS n_truncated
 FROM st""")
 def q_max_length_advice(spark, d):
-    a = audit_table(spark, d)
-    st = lengths.length_stats(a, skipped="nulls")
-    return lengths.max_length_advice(st, K.MAX_LENGTH_TRAIN, a.filter(F.col("length").isNotNull()))
+    st = lengths.length_stats(audit_table(spark, d), skipped="nulls", over=K.MAX_LENGTH_TRAIN)
+    return lengths.max_length_advice(st, K.MAX_LENGTH_TRAIN)

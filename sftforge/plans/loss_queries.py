@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from sftforge.functions import constants as K
 from sftforge.functions.hashing import draw, draw_sql
 from sftforge.functions.text import DEFAULT_TEMPLATE as TPL
-from sftforge.functions.text import sql_str
+from sftforge.functions.text import sql_str, tokens
 from sftforge.operators import chat, losses, responses, synth
-from sftforge.operators.brackets import _fold_stack
+from sftforge.operators.brackets import closers_needed
 from sftforge.plans.bracket_queries import KEEP_CLASS, MAP_FROM, MAP_TO, doc_sequences
 from sftforge.plans.chat_queries import STRIP_SQL, TOKEN_SQL
 from sftforge.plans.registry import register
@@ -84,9 +84,9 @@ def q_weighted_token_loss(spark, d):
 @register("token_cross_entropy", """
 WITH e AS (SELECT vec_id, label, embedding, list_max(embedding)::DOUBLE AS m FROM embeddings)
 SELECT vec_id, label,
-       round(CASE WHEN label <> -100 AND label >= 0 AND label < len(embedding)
+       round(CASE WHEN label = -100 THEN 0.0 WHEN label >= 0 AND label < len(embedding)
              THEN m + ln(list_sum(list_transform(embedding, lambda x: exp(x::DOUBLE - m))))
-                  - embedding[label + 1]::DOUBLE ELSE 0.0 END, 6) AS loss
+                  - embedding[label + 1]::DOUBLE END, 6) AS loss
 FROM e""")
 def q_token_cross_entropy(spark, d):
     e = table(spark, d, "embeddings")
@@ -168,8 +168,8 @@ def q_inference_requests(spark, d):
 def bench_outputs(spark, d):
     b = table(spark, d, "benchmark")
     seq = F.regexp_replace(F.translate("text", MAP_FROM, MAP_TO), KEEP_CLASS, "")
-    b = b.select(F.col("item_id").alias("seq_id"), seq.alias("sequence")).filter(F.length("sequence") > 0)
-    comp = F.reverse(_fold_stack(F.col("sequence")))
+    b = b.select(F.col("item_id").alias("seq_id"), seq.alias("sequence"))
+    comp = closers_needed(F.col("sequence"))
     full = F.concat(F.col("sequence"), comp)
     answer = F.when(F.pmod(draw("answer", F.col("seq_id")), F.lit(4)) == 0, F.col("sequence")).otherwise(full)
     banned = F.when(F.pmod(draw("banned", F.col("seq_id")), F.lit(5)) == 0, F.lit("Wait... ")).otherwise(F.lit(""))
@@ -186,7 +186,7 @@ BENCH_SQL = f"""
 bs AS (SELECT item_id AS seq_id,
               regexp_replace(translate(text, '{MAP_FROM}', '{MAP_TO}'), '{KEEP_CLASS}', '', 'g') AS seq
        FROM benchmark),
-bq AS (SELECT seq_id, seq AS q, reverse({stack_after_sql('seq')}) AS c FROM bs WHERE length(seq) > 0),
+bq AS (SELECT seq_id, seq AS q, reverse({stack_after_sql('seq')}) AS c FROM bs),
 bsrc AS (SELECT seq_id, q, c, q || c AS full_sequence FROM bq),
 {trace_sql('bsrc', 'seq_id')},
 bo AS (SELECT s.seq_id, s.q AS sequence, s.c AS completion,
@@ -194,7 +194,7 @@ bo AS (SELECT s.seq_id, s.q AS sequence, s.c AS completion,
               CASE WHEN {draw_sql('banned', 's.seq_id')} % 5 = 0 THEN 'Wait... ' ELSE '' END || tr.trace
                 || {sql_str(chr(10) + K.ANSWER_MARKER)}
                 || CASE WHEN {draw_sql('answer', 's.seq_id')} % 4 = 0 THEN s.q ELSE s.full_sequence END AS body
-       FROM bsrc s JOIN tr ON s.seq_id = tr.seq_id),
+       FROM bsrc s LEFT JOIN tr ON s.seq_id = tr.seq_id),
 bx AS (SELECT *, request_text || chr(10) || body || chr(10) AS output_text FROM bo),
 br AS (SELECT seq_id, sequence, completion,
               regexp_replace(array_to_string(list_slice(regexp_extract_all(output_text, {TOKEN_SQL}),
@@ -214,6 +214,20 @@ def q_response_extract(spark, d):
     return bench_responses(spark, d).select("seq_id", "response")
 
 
+@register("response_extract_ids", f"""
+WITH {BENCH_SQL},
+i AS (SELECT seq_id, [length(x) FOR x IN regexp_extract_all(output_text, {TOKEN_SQL})] AS o,
+             len(regexp_extract_all(request_text, {TOKEN_SQL})) AS n FROM bx)
+SELECT seq_id, array_to_string(list_slice(o, n + 1, len(o)), ',') AS ids_text FROM i""")
+def q_response_extract_ids(spark, d):
+    """I2, id form: the covering tokens' lengths stand in for token ids."""
+    ids = lambda c: F.transform(tokens(F.col(c)), lambda x: F.length(x))
+    x = bench_outputs(spark, d).withColumn("output_ids", ids("output_text")).withColumn(
+        "prompt_ids", ids("request_text"))
+    return responses.extract_response_ids(x).select(
+        "seq_id", F.array_join(F.col("response_ids").cast("array<string>"), ",").alias("ids_text"))
+
+
 @register("response_parse", f"WITH {BENCH_SQL} SELECT seq_id, n_thoughts, step_closers, final_answer FROM bp")
 def q_response_parse(spark, d):
     return responses.parse_responses(bench_responses(spark, d)).select(
@@ -230,8 +244,9 @@ fl AS (SELECT sequence,
               coalesce(final_answer = sequence || completion, false) AS answer_ok
        FROM bp)
 SELECT length(sequence)::BIGINT AS prefix_length, count(*)::BIGINT AS n,
-       avg(format_ok::INTEGER)::DOUBLE AS format_rate, avg(banned::INTEGER)::DOUBLE AS banned_rate,
-       avg(steps_ok::INTEGER)::DOUBLE AS steps_rate, avg(answer_ok::INTEGER)::DOUBLE AS answer_rate
+       avg(coalesce(format_ok, false)::INTEGER)::DOUBLE AS format_rate,
+       avg(coalesce(banned, false)::INTEGER)::DOUBLE AS banned_rate,
+       avg(coalesce(steps_ok, false)::INTEGER)::DOUBLE AS steps_rate, avg(answer_ok::INTEGER)::DOUBLE AS answer_rate
 FROM fl GROUP BY length(sequence)""")
 def q_response_conformance(spark, d):
     return responses.response_conformance(bench_responses(spark, d))

@@ -6,6 +6,9 @@ o_orderkey, seed drawn from it (G1). The oracle recomputes every draw with
 DuckDB's md5 and folds attempts with ``list_reduce``, wave by wave with an
 anti-join of solved tasks, so it is written differently from the Spark plan
 (a per-row attempt loop in an Arrow-batched UDF, no shuffle).
+
+The files of S1, S2, S4, G8 and L1 lie below the session's shared scratch
+folder, one new folder a query.
 """
 
 from __future__ import annotations
@@ -14,24 +17,29 @@ from pyspark.sql import functions as F
 
 from sftforge.functions import constants as K
 from sftforge.functions.hashing import draw_sql
-from sftforge.functions.text import py_strip, sql_fmt, sql_str
+from sftforge.functions.text import DEFAULT_TEMPLATE as TPL
+from sftforge.functions.text import TOKEN_PATTERN, py_strip, sql_fmt, sql_str
 from sftforge.operators import chat, synth
-from sftforge.operators.lengths import cap_lines
+from sftforge.operators import brackets as B
+from sftforge.operators import examples as X
+from sftforge.operators.layout import spread
+from sftforge.operators.lengths import cap_lines, in_sample
+from sftforge.plans.chat_queries import COMPOSED_SQL, TOKEN_SQL
 from sftforge.plans.registry import register
 from sftforge.session import scratch_path
 from sftforge.sources.conversations import (
-    fold_turns, parse_conversation, read_conversations, read_lines, write_conversations,
+    conversation_json, fold_turns, parse_conversation, read_conversations, read_lines, write_conversations,
 )
 from sftforge.sources.tables import table
-from sftforge.sources.tasks import read_tasks, write_tasks
+from sftforge.sources.tasks import read_tasks, task_json
 
 CORPUS_SEED = 0
 N = len(K.BRACKET_PAIRS)
 
 
 def order_tasks(spark, d):
-    return synth.assign_task_ids(table(spark, d, "orders").select(F.col("o_orderkey").alias("task_row")),
-                                 "task_row", CORPUS_SEED)
+    rows = spread(table(spark, d, "orders").select(F.col("o_orderkey").alias("task_row")), "task_row")
+    return synth.assign_task_ids(rows, "task_row", CORPUS_SEED)
 
 
 # --- parameter sets ------------------------------------------------------------------------
@@ -257,7 +265,29 @@ FROM sp JOIN tr ON sp.task_row = tr.task_row"""
 
 
 def synthesized(spark, d):
-    return synth.synthesize_tasks(order_tasks(spark, d))
+    return synth.split_rejects(synth.synthesize_tasks(order_tasks(spark, d)))[0]
+
+
+@register("synthesis_rejects", f"""
+WITH {generate_sql(params_sql('mixed'))}
+SELECT seed, CASE WHEN (2 * fill = total AND depth * 2 <= total) OR (2 * fill < total AND 2 * depth < total - fill)
+                  THEN 'attempts_used_up' ELSE 'infeasible' END AS reason
+FROM gen WHERE full_sequence IS NULL""")
+def q_synthesis_rejects(spark, d):
+    """The tasks that no attempt solves, with the reason."""
+    tasks = mixed_params(spark, d).select("seed", F.col("fill").alias("f"), F.col("depth").alias("dp"))
+    made = synth.synthesize_tasks(tasks, K.MAIN_N_TYPES, K.MAIN_TOTAL_LENGTH, "f", "dp")
+    return synth.split_rejects(made)[1]
+
+
+@register("task_stack_states", f"""
+WITH {SPLIT_SQL},
+p AS (SELECT task_row, q, unnest(range(0, length(q))) AS pos FROM sp)
+SELECT task_row, pos::BIGINT AS pos, {stack_after_sql('left(q, pos + 1)')} AS stack FROM p""")
+def q_task_stack_states(spark, d):
+    """B5 as text, over the prefixes of generated tasks."""
+    s = B.stack_texts(main_split(spark, d), "task_row", "question_sequence")
+    return s.select(F.col("seq_id").alias("task_row"), "pos", "stack")
 
 
 def flatten_pair(conv_col):
@@ -313,27 +343,124 @@ def q_conversation_jsonl_scan(spark, d):
     return chat.last_messages(back).select("user", "assistant", "reasoning", "malformed")
 
 
-@register("line_cap")
+# One bad line for each conversation, of one of four kinds by its id.
+def bad_lines(lines, id_col):
+    kind = F.pmod(F.col(id_col), F.lit(4))
+    value = (F.when(kind == 0, F.concat("value", F.lit(" trailing")))
+             .when(kind == 1, F.translate("value", '"', "'"))
+             .when(kind == 2, F.lit('{"role": "user", "content": "no array"}'))
+             .otherwise(F.lit("not json")))
+    return lines.select(value.alias("value"))
+
+
+def jsonl_with_bad_lines(spark, d):
+    """Path of a JSONL file: every conversation, a bad line for each, blank lines."""
+    path = scratch_path(spark, "conversations-jsonl")
+    folded = fold_turns(table(spark, d, "conversations"), reasoning="previous_assistant")
+    good = folded.select("conv_id", conversation_json(F.col("conversation")).alias("value"))
+    blank = good.select(F.lit("   ").alias("value"))
+    good.select("value").union(bad_lines(good, "conv_id")).union(blank).write.text(path)
+    return path
+
+
+@register("conversation_jsonl_rejects", """
+WITH l AS (SELECT conv_id, bool_or(role = 'user') AS u, bool_or(role = 'assistant') AS a
+           FROM conversations GROUP BY conv_id)
+SELECT 'malformed' AS reason, count(*)::BIGINT AS n FROM l HAVING count(*) > 0
+UNION ALL
+SELECT CASE WHEN u AND a THEN 'usable' WHEN u THEN 'missing_assistant' ELSE 'missing_user' END AS reason,
+       count(*)::BIGINT AS n FROM l GROUP BY 1""")
+def q_conversation_jsonl_rejects(spark, d):
+    """S1 + P2 over a file with malformed lines: rows for each reason."""
+    back = read_conversations(spark, jsonl_with_bad_lines(spark, d), numbered=True)
+    c = chat.reject_reason(chat.last_messages(back, "line_no"))
+    return c.groupBy(F.coalesce("reason", F.lit("usable")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def first_letter_tokenizer(token_pattern=TOKEN_PATTERN):
+    """A caller's tokenizer for the query below (a closure, so it ships by
+    value): the covering tokens, each with the code point of its first
+    character + 10 as its id."""
+    def encode(texts):
+        import regex
+        pattern = regex.compile(token_pattern)
+        return [([ord(m[0][0]) + 10 for m in found], [m.start() for m in found])
+                for found in ([*pattern.finditer(t)] for t in texts)]
+
+    return encode
+
+
+@register("sft_examples_from_jsonl", f"""
+WITH t AS (SELECT {TPL.sql_full('u', 'assistant_text')} AS full_text, {TPL.sql_user('u')} AS user_text
+           FROM ({COMPOSED_SQL})),
+k AS (SELECT *, list_slice(regexp_extract_all(full_text, {TOKEN_SQL}), 1, {K.MAX_LENGTH_TRAIN}) AS toks FROM t),
+n AS (SELECT md5(full_text) AS text_md5, [unicode(x) + 10 FOR x IN toks] AS ids,
+             least(len(regexp_extract_all(user_text, {TOKEN_SQL})), len(toks)) AS st FROM k)
+SELECT text_md5, len(ids)::INTEGER AS n_tokens, st::INTEGER AS n_user, array_to_string(ids, ',') AS ids_text,
+       array_to_string(list_concat([{K.IGNORE_INDEX} FOR x IN range(0, st)], list_slice(ids, st + 1, len(ids))), ',')
+         AS labels_text
+FROM n""")
+def q_sft_examples_from_jsonl(spark, d):
+    """One job from a JSONL file to examples with the caller's tokenizer (S1,
+    P1-P4, T9); malformed lines and unusable conversations fall away."""
+    back = read_conversations(spark, jsonl_with_bad_lines(spark, d), numbered=True)
+    texts, _ = chat.prepare_texts(back, "line_no")
+    texts = texts.withColumn("text_md5", F.md5("full_text"))
+    e = X.build_examples(texts, first_letter_tokenizer(), K.MAX_LENGTH_TRAIN,
+                         id_col="line_no", keep=("text_md5",))
+    real = lambda c: F.array_join(F.slice(c, 1, F.col("n_tokens")).cast("array<string>"), ",")
+    return e.select("text_md5", "n_tokens", "n_user", real("input_ids").alias("ids_text"),
+                    real("labels").alias("labels_text"))
+
+
+@register("line_cap", f"""
+WITH {SPLIT_SQL},
+l AS (SELECT row_number() OVER (ORDER BY task_row) - 1 AS line_no, full_sequence FROM sp)
+SELECT line_no::BIGINT AS line_no, line_no < {K.AUDIT_MAX_LINES} AS in_sample, full_sequence FROM l""")
 def q_line_cap(spark, d):
-    """L1: the audit's first-5000-physical-lines cap over the generated JSONL
-    (no oracle: the physical order is the written files' order)."""
+    """L1: every physical line of the generated JSONL, written in the order of
+    the tasks, numbered, and whether the audit's cap would read it."""
     path = scratch_path(spark, "synthetic-conversations")
-    write_conversations(synthesized(spark, d), path)
-    capped = cap_lines(read_lines(spark, path), K.AUDIT_MAX_LINES)
-    return capped.select("line_no", F.length(py_strip(F.col("value"))).alias("n_chars"))
+    write_conversations(synthesized(spark, d).orderBy("task_row"), path)
+    lines = cap_lines(read_lines(spark, path))
+    conv, _ = parse_conversation(py_strip(F.col("value")))
+    return lines.select("line_no", in_sample().alias("in_sample"), conv[1]["content"].alias("full_sequence"))
+
+
+def task_lines(spark, d):
+    """Path of task records as JSON lines, with a metadata key of the caller's
+    own, and a bad line for each third task."""
+    path = scratch_path(spark, "task-records")
+    tasks = synth.render_train_prompt(main_split(spark, d)).withColumn(
+        "metadata_json", F.to_json(F.struct("metadata.*", F.col("task_row").alias("custom"))))
+    bad = F.when(F.pmod("task_row", F.lit(3)) == 0, F.lit("not json")).when(
+        F.pmod("task_row", F.lit(3)) == 1, F.lit("[1,2]")).otherwise(F.lit('{"question":"q"} trailing'))
+    tasks.select(task_json(tasks).alias("value")).union(tasks.select(bad.alias("value"))).write.text(path)
+    return path
 
 
 @register("task_record_codec", f"""
 WITH {SPLIT_SQL}
 SELECT {train_prompt_sql('q')} AS question, c AS answer, 1 AS difficulty, '' AS gpt_response,
-       seed, {_uuid_sql('seed')} AS trace_id, q AS question_sequence, total AS total_length
+       seed, {_uuid_sql('seed')} AS trace_id, q AS question_sequence, total AS total_length,
+       CAST(task_row AS VARCHAR) AS custom
 FROM sp""")
 def q_task_record_codec(spark, d):
     """Task records written as JSON lines and read back with defaults."""
-    path = scratch_path(spark, "task-records")
-    write_tasks(synth.render_train_prompt(main_split(spark, d)), path)
-    t = read_tasks(spark, path)
+    t = read_tasks(spark, task_lines(spark, d)).filter(~F.col("malformed"))
     return t.select("question", "answer", "difficulty", "gpt_response", F.col("metadata.seed").alias("seed"),
                     F.col("metadata.trace_id").alias("trace_id"),
                     F.col("metadata.question_sequence").alias("question_sequence"),
-                    F.col("metadata.total_length").alias("total_length"))
+                    F.col("metadata.total_length").alias("total_length"),
+                    F.get_json_object("metadata_json", "$.custom").alias("custom"))
+
+
+@register("task_record_rejects", f"""
+WITH {SPLIT_SQL}
+SELECT CASE task_row % 3 WHEN 0 THEN 'not json' WHEN 1 THEN '[1,2]' ELSE '{{"question":"q"}} trailing' END AS value,
+       count(*)::BIGINT AS n
+FROM sp GROUP BY 1""")
+def q_task_record_rejects(spark, d):
+    """The lines that are no task record, counted by their text."""
+    t = read_tasks(spark, task_lines(spark, d)).filter("malformed")
+    return t.groupBy("value").agg(F.count(F.lit(1)).alias("n"))

@@ -20,14 +20,13 @@ from sftforge.functions.text import sql_str
 from sftforge.operators import examples as X
 from sftforge.operators import order as O
 from sftforge.operators import tokens as TK
+from sftforge.operators.layout import spread
 from sftforge.plans.chat_queries import COMPOSED_SQL, TOKEN_SQL, usable_texts
 from sftforge.plans.registry import register
 from sftforge.sources.tables import table
 
-DOC_VOCAB = 5000
-CONV_VOCAB = 2000
 TRUNC_AT = 256
-BATCH, SHARDS = 8, 4
+BATCH = 8
 MARKERS = TPL.markers
 SPLIT_DRAW_SQL = draw_sql("split", str(K.SHUFFLE_SEED), "conv_id")
 SPLIT_THRESHOLD = int(round(K.EVAL_FRACTION * (1 << 32)))
@@ -37,7 +36,7 @@ def _csv(col):
     return F.array_join(F.col(col).cast("array<string>"), ",")
 
 
-def vocab_sql(src: str, text: str, size: int) -> str:
+def vocab_sql(src: str, text: str) -> str:
     reserved = [("<pad>", TK.PAD_ID), ("<unk>", TK.UNK_ID)] + [(m, 2 + i) for i, m in enumerate(MARKERS)]
     res_sql = " UNION ALL ".join(f"SELECT {sql_str(t)} AS token, {i}::INTEGER AS id" for t, i in reserved)
     markers = ", ".join(sql_str(m) for m in MARKERS)
@@ -45,31 +44,35 @@ def vocab_sql(src: str, text: str, size: int) -> str:
   WITH vt AS (SELECT unnest(regexp_extract_all({text}, {TOKEN_SQL})) AS token FROM {src}),
   vc AS (SELECT token, count(*) AS cnt FROM vt WHERE token NOT IN ({markers}) GROUP BY token),
   vr AS (SELECT token, row_number() OVER (ORDER BY cnt DESC, token ASC) AS r FROM vc)
-  {res_sql} UNION ALL SELECT token, (r - 1 + {2 + len(MARKERS)})::INTEGER AS id FROM vr WHERE r <= {size})"""
+  {res_sql} UNION ALL SELECT token, (r - 1 + {2 + len(MARKERS)})::INTEGER AS id FROM vr)"""
 
 
 # --- T1 / T2 / T3 over documents -------------------------------------------------------------
 
 def doc_vocab(spark, d):
-    return TK.build_vocabulary(table(spark, d, "documents"), DOC_VOCAB, "text")
+    return TK.build_vocabulary(spread(table(spark, d, "documents").select("text")), text_col="text")
 
 
-@register("vocabulary_build", f"SELECT token, id FROM {vocab_sql('documents', 'text', DOC_VOCAB)}")
+@register("vocabulary_build", f"SELECT token, id FROM {vocab_sql('documents', 'text')}")
 def q_vocabulary_build(spark, d):
     return doc_vocab(spark, d)
 
 
 @register("token_encode", f"""
-WITH v AS {vocab_sql('documents', 'text', DOC_VOCAB)},
+WITH v AS {vocab_sql('documents', 'text')},
 t AS (SELECT doc_id, unnest(toks) AS token, unnest(range(1, len(toks) + 1)) AS pos
       FROM (SELECT doc_id, regexp_extract_all(text, {TOKEN_SQL}) AS toks FROM documents))
 SELECT doc_id, string_agg(CAST(coalesce(v.id, {TK.UNK_ID}) AS VARCHAR), ',' ORDER BY pos) AS ids_text,
        count(*)::BIGINT AS n_tokens
-FROM t LEFT JOIN v ON t.token = v.token GROUP BY doc_id""")
+FROM t LEFT JOIN v ON t.token = v.token GROUP BY doc_id
+UNION ALL
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN '' END AS ids_text, CASE WHEN text IS NOT NULL THEN 0 END::BIGINT AS n_tokens
+FROM documents WHERE coalesce(text, '') = ''""")
 def q_token_encode(spark, d):
-    docs = table(spark, d, "documents").filter(F.length("text") > 0)
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     e = TK.encode(docs, doc_vocab(spark, d), None, id_col="doc_id", text_col="text")
-    return e.select("doc_id", _csv("input_ids").alias("ids_text"), F.size("input_ids").cast("bigint").alias("n_tokens"))
+    n = F.when(F.col("input_ids").isNotNull(), F.size("input_ids")).cast("bigint")
+    return e.select("doc_id", _csv("input_ids").alias("ids_text"), n.alias("n_tokens"))
 
 
 @register("token_offsets", f"""
@@ -93,7 +96,7 @@ def conv_texts(spark, d):
 
 
 def conv_vocab(spark, d):
-    return TK.build_vocabulary(conv_texts(spark, d), CONV_VOCAB, "full_text")
+    return TK.build_vocabulary(conv_texts(spark, d), text_col="full_text")
 
 
 TEXTS_SQL = f"""
@@ -112,7 +115,7 @@ def examples_sql(max_length: int, mode: str = "answer") -> str:
         anchor_pos = (f"CASE WHEN strpos(full_text, {sql_str(K.ANSWER_MARKER)}) > 0 "
                       f"THEN strpos(full_text, {sql_str(K.ANSWER_MARKER)}) END")
     return f"""{TEXTS_SQL},
-v AS {vocab_sql('tx', 'full_text', CONV_VOCAB)},
+v AS {vocab_sql('tx', 'full_text')},
 m AS (SELECT conv_id, full_text,
              least(len(regexp_extract_all(user_text, {TOKEN_SQL})), {max_length}) AS n_user,
              {anchor_pos} AS p1 FROM tx),
@@ -180,9 +183,8 @@ WITH a AS (WITH {examples_sql(K.MAX_LENGTH_TRAIN, 'answer')} SELECT conv_id, anc
 SELECT a.conv_id, a.anchor::INTEGER AS anchor_answer, f.anchor::INTEGER AS anchor_first
 FROM a JOIN f ON a.conv_id = f.conv_id""")
 def q_answer_anchor(spark, d):
-    a = conv_examples(spark, d, anchor="answer").select("conv_id", F.col("anchor").alias("anchor_answer"))
-    f = conv_examples(spark, d, anchor="first").select("conv_id", F.col("anchor").alias("anchor_first"))
-    return a.join(f, "conv_id")
+    a = X.anchors(conv_texts(spark, d), K.MAX_LENGTH_TRAIN, ("answer", "first"))
+    return a.select("conv_id", "anchor_answer", "anchor_first")
 
 
 @register("label_weights", f"WITH {examples_sql(K.MAX_LENGTH_TRAIN)} SELECT conv_id, weights_text FROM ex")
@@ -232,15 +234,11 @@ KEY_SQL = f"md5('{K.SHUFFLE_SEED}:' || CAST(conv_id AS VARCHAR))"
 
 @register("dataset_shuffle", f"""
 WITH s AS (SELECT conv_id, {KEY_SQL} AS shuffle_key FROM ({COMPOSED_SQL}))
-SELECT conv_id, shuffle_key, left(shuffle_key, 1) AS shard,
-       (row_number() OVER (PARTITION BY left(shuffle_key, 1) ORDER BY shuffle_key, conv_id))::INTEGER AS rank_in_shard
+SELECT conv_id, shuffle_key, (row_number() OVER (ORDER BY shuffle_key, conv_id) - 1)::BIGINT AS position
 FROM s""")
 def q_dataset_shuffle(spark, d):
-    from pyspark.sql import Window
-    s = O.shuffle(conv_texts(spark, d).select("conv_id"), "conv_id")
-    s = s.withColumn("shard", F.left("shuffle_key", F.lit(1)))
-    rk = F.row_number().over(Window.partitionBy("shard").orderBy("shuffle_key", "conv_id"))
-    return s.select("conv_id", "shuffle_key", "shard", rk.cast("int").alias("rank_in_shard"))
+    s = O.shuffle_rank(conv_texts(spark, d).select("conv_id"), "conv_id")
+    return s.select("conv_id", O.shuffle_key("conv_id").alias("shuffle_key"), "position")
 
 
 @register("train_eval_split", f"""
@@ -251,10 +249,8 @@ SELECT conv_id,
        CASE WHEN rk <= ceil(n * {K.EVAL_FRACTION}) THEN 'eval' ELSE 'train' END AS split_exact
 FROM r""")
 def q_train_eval_split(spark, d):
-    t = conv_texts(spark, d).select("conv_id")
-    a = O.split_train_eval(t, "conv_id", exact=False).withColumnRenamed("split", "split_hash")
-    b = O.split_train_eval(t, "conv_id", exact=True).withColumnRenamed("split", "split_exact")
-    return a.join(b, "conv_id")
+    t = O.split_train_eval(conv_texts(spark, d).select("conv_id"), "conv_id", out="split_hash")
+    return O.split_train_eval(t, "conv_id", exact=True, out="split_exact")
 
 
 @register("dataset_map", "SELECT conv_id, turn, length(text)::BIGINT AS n_chars FROM conversations")
@@ -270,16 +266,15 @@ def q_dataset_map(spark, d):
 
 @register("batch_collate", f"""
 WITH {examples_sql(K.MAX_LENGTH_TRAIN)},
-b AS (SELECT ex.conv_id, ex.n,
-             ({draw_sql('shard', str(K.SHUFFLE_SEED), 'ex.conv_id')} % {SHARDS})::INTEGER AS shard,
-             {KEY_SQL.replace('conv_id', 'ex.conv_id')} AS k FROM ex),
-r AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY k, conv_id) - 1) AS rk FROM b)
-SELECT shard, (rk // {BATCH})::INTEGER AS batch_no, count(*)::INTEGER AS n_examples,
+b AS (SELECT ex.conv_id, ex.n, {KEY_SQL.replace('conv_id', 'ex.conv_id')} AS k FROM ex),
+r AS (SELECT *, (row_number() OVER (ORDER BY k, conv_id) - 1) AS rk FROM b)
+SELECT (rk // {BATCH})::BIGINT AS batch_no, count(*)::INTEGER AS n_examples,
        string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY rk) AS example_ids, sum(n)::BIGINT AS tokens
-FROM r GROUP BY shard, rk // {BATCH}""")
+FROM r GROUP BY rk // {BATCH}""")
 def q_batch_collate(spark, d):
-    b = O.collate(conv_examples(spark, d), BATCH, SHARDS, "conv_id")
+    numbers = O.batch_numbers(conv_texts(spark, d), BATCH, "conv_id")
+    b = O.collate(conv_examples(spark, d), BATCH, "conv_id", numbers=numbers)
     tokens = F.aggregate(F.col("attention_mask"), F.lit(0).cast("bigint"),
                          lambda acc, m: acc + F.aggregate(m, F.lit(0).cast("bigint"), lambda a, x: a + x))
-    return b.select("shard", "batch_no", F.size("example_ids").cast("int").alias("n_examples"),
+    return b.select("batch_no", F.size("example_ids").cast("int").alias("n_examples"),
                     _csv("example_ids").alias("example_ids"), tokens.alias("tokens"))
