@@ -46,7 +46,7 @@ from sftforge.llm.wordhash import Words, chunks, mix, windows
 WINDOW = 35
 ANCHOR = 16
 #: Different passages of one anchor that may meet in a shard, and a shard's passages.
-SHARD_PASSAGES = 64
+SHARD_PASSAGES = 1000
 SHARD_SIZE = 1000
 #: Words of a reference that may be broadcast, and of one broadcast automaton.
 MAX_REFERENCE_WORDS = 2_000_000
@@ -95,18 +95,21 @@ def _anchor_rows(batches):
 
 
 def _passage_rows(batches):
-    """(node, text, list of (anchor, first, last)) -> node, first, anchor, passage."""
+    """(node, text, list of (anchor, first, last window)) -> node, first and
+    last word, anchor, digest, passage."""
     import pyarrow as pa
     for b in batches:
         rows = []
         for node, text, spots in zip(*(c.to_pylist() for c in b.columns)):
             w = words(text)
-            rows += [(node, x["first"], x["anchor"], b" ".join(w[x["first"]:x["last"] + WINDOW]).decode())
-                     for x in spots]
+            for x in spots:
+                passage = b" ".join(w[x["first"]:x["last"] + WINDOW])
+                rows.append((node, x["first"], x["last"] + WINDOW - 1, x["anchor"],
+                             hashlib.md5(passage).hexdigest(), passage.decode()))
         if rows:
-            kinds = pa.string(), pa.int32(), pa.int64(), pa.string()
+            kinds = pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.string()
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                             names=["node", "first", "anchor", "passage"])
+                                             names=["node", "first", "last", "anchor", "digest", "passage"])
 
 
 def _window_rows(batches):
@@ -172,35 +175,32 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.md5(text_or_empty(docs["text"])).alias("node"), text_or_empty(docs["text"]).alias("text"))
     spots = stage(texts.mapInArrow(_anchor_rows, "node string, anchor long, first int, last int"), "op6-anchors")
     place = F.xxhash64("node", "first")
-    often = (spots.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-             .filter("lo != hi").select("anchor"))
+    often = stage(spots.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+                  .filter("lo != hi").select("anchor"), "op6-often")
     listed = (spots.join(often, "anchor").distinct().groupBy("node")
               .agg(F.collect_list(F.struct("anchor", "first", "last")).alias("spots")))  # bounded by the text
     once = texts.join(listed, "node").groupBy("node").agg(F.first("text").alias("text"), F.first("spots").alias("spots"))
     cut = stage(once.select("node", "text", "spots").mapInArrow(
-        _passage_rows, "node string, first int, anchor long, passage string"), "op6-passages")
+        _passage_rows, "node string, first int, last int, anchor long, digest string, passage string"), "op6-passages")
 
     # Equal passages, counted; node and first show one place of each.
-    kinds = stage(cut.groupBy("anchor", F.md5("passage").alias("digest")).agg(
+    kinds = stage(cut.groupBy("anchor", "digest").agg(
         F.min(F.struct("node", "first", "passage")).alias("one"), F.count("*").alias("n")), "op6-kinds")
-    per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    kinds = kinds.join(per_anchor, "anchor")
-    known = kinds.filter("n > 1").select("anchor", "digest")
-    n_words = F.size(F.split("passage", " "))
-    equal = (cut.withColumn("digest", F.md5("passage")).join(known, ["anchor", "digest"])
-             .select("node", "first", (F.col("first") + n_words - 1).alias("last")))
-
-    few = kinds.filter(f"kinds between 2 and {SHARD_PASSAGES}").select(
-        "anchor", "one.passage", "one.node", "one.first", (F.col("n") > 1).alias("several"))
+    known = stage(kinds.filter("n > 1").select("anchor", "digest"), "op6-equal")
+    equal = cut.select("node", "first", "last", "anchor", "digest").join(known, ["anchor", "digest"]).select(
+        "node", "first", "last")
+
+    per_anchor = stage(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "op6-kinds")
+    few = (kinds.join(per_anchor.filter(F.col("kinds") <= SHARD_PASSAGES).select("anchor"), "anchor")
+           .select("anchor", "one.passage", "one.node", "one.first", (F.col("n") > 1).alias("several")))
     matched = (few.repartition("anchor").sortWithinPartitions("anchor")
                .mapInArrow(_shard_spans, "node string, first int, last int"))
 
-    many = per_anchor.filter(f"kinds > {SHARD_PASSAGES}").select("anchor")
+    many = stage(per_anchor.filter(F.col("kinds") > SHARD_PASSAGES).select("anchor"), "op6-many")
     single = stage(cut.join(many, "anchor").select("node", "first", "passage").mapInArrow(
         _window_rows, "node string, first int, digest string"), "op6-windows")
-    place = F.xxhash64("node", "first")
-    twice = (single.groupBy("digest").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-             .filter("lo != hi").select("digest"))
+    twice = stage(single.groupBy("digest").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+                  .filter("lo != hi").select("digest"), "op6-twice")
     counted = single.join(twice, "digest").select("node", "first", (F.col("first") + WINDOW - 1).alias("last"))
     return equal.union(matched).union(counted)
 
