@@ -30,9 +30,3 @@ def draw_sql(tag: str, *parts: str, word: int = 0) -> str:
     """The DuckDB form of :func:`draw`; ``parts`` are SQL expressions."""
     key = " || ':' || ".join([f"'{tag}'"] + [f"CAST({p} AS VARCHAR)" for p in parts])
     return f"('0x' || substr(md5({key}), {1 + 8 * word}, 8))::BIGINT"
-
-
-def draw_expr_sql(tag: str, *parts: str, word: int = 0) -> str:
-    """Spark SQL form of :func:`draw` for use inside lambda expressions."""
-    key = ", ".join([f"'{tag}'"] + [f"CAST({p} AS STRING)" for p in parts])
-    return f"CAST(conv(substring(md5(concat_ws(':', {key})), {1 + 8 * word}, 8), 16, 10) AS BIGINT)"

@@ -175,3 +175,10 @@ def test_cross_entropy(spark):
     got = [r[0] for r in df.select(W.cross_entropy(F.col("logits"), F.col("label"))).collect()]
     exp = math.log(math.exp(1) + math.exp(2) + math.exp(3)) - 3
     assert abs(got[0] - exp) < 1e-12 and got[1] == 0.0 and got[2] is None
+
+
+def test_truncation_totals(spark):
+    df = spark.createDataFrame([(list("abcdef"), 5), (list("ab"), 1), (list("abcde"), None)],
+                               "tokens array<string>, answer int")
+    t = TK.truncation_totals(TK.truncate(df, 4, answer_token_col="answer")).first()
+    assert (t["rows"], t.rows_truncated, t.tokens_lost, t.rows_lost_answer) == (3, 2, 3, 1)
