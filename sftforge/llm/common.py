@@ -5,8 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Column
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftforge import session
@@ -14,6 +14,17 @@ from sftforge.sources.tables import table
 
 #: Words are maximal runs of anything but ASCII white space (space, \t \n \v \f \r).
 WHITE = " \t\n\x0b\x0c\r"
+#: Rows of an Arrow batch between Spark and a task's Python: texts of a few
+#: kilobytes make batches of a megabyte or two, on both sides.
+BATCH_ROWS = 500
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small, so that two tasks' buffers and Python lists fit
+    beside an executor's heap. A smaller setting of the session's own stays."""
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +36,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(session.scratch_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: Folders that this process has staged; results may still read them.
+STAGED: list[str] = []
+
+
+def stage(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and
-    what later steps read twice is computed once. Survives lost executors."""
+    what later steps read twice is computed once. Survives lost executors.
+    ``compact``: by one task a core at most, for small rows that many shuffle
+    partitions would scatter over as many files."""
+    bounded_batches(df.sparkSession)
     path = scratch(df.sparkSession, name)
+    STAGED.append(path)
+    if compact:
+        df = df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -41,6 +62,7 @@ def without(df: DataFrame, names) -> DataFrame:
 
 def slim(df: DataFrame, *cols: str) -> DataFrame:
     """Only the named columns, by exact reference (extra columns may clash)."""
+    bounded_batches(df.sparkSession)
     return df.select(*[df[c] for c in cols])
 
 
@@ -60,4 +82,21 @@ def shuffle_width(spark: SparkSession) -> int:
 def held(docs: DataFrame) -> DataFrame:
     """One column ``row`` with all of ``docs``' columns, so that helper columns
     beside it clash with none; ``select("row.*")`` gives them back."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """Keep a small result that is read several times, in memory or on disk. A
+    lost executor's part is computed again from staged tables. Released with
+    ``spark.catalog.clearCache()`` once the results are written. Not for loops:
+    what is held within a held result makes plans grow."""
+    bounded_batches(df.sparkSession)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete every staged folder; call it once all results are written."""
+    while STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(STAGED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -20,9 +20,9 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     if labels is not None:
         both = both.union(labels.filter("node != comp").select(F.col("node").alias("a"), F.col("comp").alias("b")))
         both = both.union(labels.filter("node != comp").select(F.col("comp").alias("a"), F.col("node").alias("b")))
-    both = stage(both, "links")
+    both = stage(both, "links", compact=True)
     now = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp"))
-                .select("node", F.least("node", "comp").alias("comp")), "labels")
+                .select("node", F.least("node", "comp").alias("comp")), "labels", compact=True)
     while True:
         heard = (both.join(now.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
                  .agg(F.min("comp").alias("heard")))
@@ -30,7 +30,7 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
                                               F.least("comp", "heard").alias("comp"))
         up = now.select(F.col("node").alias("comp"), F.col("comp").alias("up"))
         new = stage(step.join(up, "comp", "left").select(
-            "node", "old", F.least("comp", F.coalesce("up", "comp")).alias("comp")), "labels")
+            "node", "old", F.least("comp", F.coalesce("up", "comp")).alias("comp")), "labels", compact=True)
         changed = new.filter("comp != old").limit(1).count()
         now = new.select("node", "comp")
         if not changed:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sftforge.llm.common import scratch, text_or_empty
+from sftforge.llm.common import STAGED, scratch, text_or_empty
 
 #: Bytes of payload that a file holds on average at most.
 ARCHIVE_BYTES = 16 << 20
@@ -161,6 +161,7 @@ def archive_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     pages = pages.select(pages["page_id"], pages["url"], pages["html"])
     path = scratch(spark, "op3-archives")
+    STAGED.append(path)
     write_archives(pages, path, min_bytes)
     records = read_archives(spark, path).drop("payload", "url")
     return resolve_revisits(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

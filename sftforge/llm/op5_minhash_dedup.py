@@ -10,11 +10,16 @@ pair is a link if the Jaccard similarity of the exact shingle sets is at least
 ``THRESHOLD`` (at 0.8, a pair shares a band with probability 0.99995).
 
 Classes are connected components. Equal texts are one node from the start. In
-each bucket all nodes are first held against one hub (two rounds, with
-different hubs), which joins groups of copies without all their pairs. Then
-every pair of a bucket whose nodes are still in different components and that
-was not tried yet is tried, so no link between classes that share a bucket is
-lost, whatever the bucket's size; inside a component no pair is needed.
+each bucket the nodes are held against one hub, which joins groups of copies
+without all their pairs; in later rounds the hub is a random node of the
+bucket's largest component, and only nodes outside of it are held against it.
+Then every pair of a bucket whose nodes are still in different components and
+that was not tried yet is tried, so no link between classes that share a bucket
+is lost, whatever the bucket's size; inside a component no pair is needed.
+
+Before its sets are fetched, a pair must agree in ``MIN_AGREE`` registers, of
+which a few bits each are compared inside the join: four standard deviations
+below what a pair at the threshold has.
 
 Defined results: texts without words (null, empty, white space) are alike to
 nothing, each is a class of its own; fewer than five words make one shingle;
@@ -35,6 +40,12 @@ from sftforge.llm.wordhash import Words, chunks, mix, shingles
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
+#: Rounds with hubs before the remaining pairs are tried.
+HUB_ROUNDS = 4
+#: Registers of 125 that must agree in their last four bits; a pair at the
+#: threshold has 101.6 on average, with a standard deviation of 4.4.
+MIN_AGREE = 84
+CODE_LONGS = 8
 HAS_WORD = f"[^{WHITE}]"
 
 
@@ -64,23 +75,47 @@ def prob_minhash(shingle: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_doc
     return kept.reshape(n_docs, m)
 
 
-def _bands_of(texts):
-    """Arrow list of band keys for each text (null without words)."""
+SKETCH = "struct<bands: array<long>, code: array<long>, n: int>"
+
+
+def _sketch_of(texts):
+    """Arrow struct of each text: band keys, four bits of each register, and
+    the number of different shingles; null without words."""
     import pyarrow as pa
-    out = np.zeros((len(texts), BANDS), np.int64)
-    none = np.ones(len(texts), bool)
+    bands = np.zeros((len(texts), BANDS), np.int64)
+    code = np.zeros((len(texts), CODE_LONGS), np.int64)
+    size = np.zeros(len(texts), np.int32)
     salt = np.arange(BANDS, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)
+    shift = (np.arange(16) * 4).astype(np.uint64)
     for at, n, w in chunks(texts):
         shingle, doc, count = weighted_sets(w)
-        kept = prob_minhash(shingle, doc, 1 + np.log(count), n, BANDS * ROWS).reshape(n, BANDS, ROWS)
+        kept = prob_minhash(shingle, doc, 1 + np.log(count), n, BANDS * ROWS)
         key = np.broadcast_to(salt, (n, BANDS)).copy()
         for j in range(ROWS):
-            key = mix(key + kept[:, :, j])
-        out[at:at + n] = key.view(np.int64)
-        none[at:at + n] = w.count == 0
-    flat = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS),
-                                    pa.array(out.ravel()), mask=pa.array(none))
-    return flat
+            key = mix(key + kept.reshape(n, BANDS, ROWS)[:, :, j])
+        bands[at:at + n] = key.view(np.int64)
+        bits = np.zeros((n, CODE_LONGS * 16), np.uint64)
+        bits[:, :BANDS * ROWS] = mix(kept) & np.uint64(15)
+        code[at:at + n] = (bits.reshape(n, CODE_LONGS, 16) << shift).sum(axis=2, dtype=np.uint64).view(np.int64)
+        size[at:at + n] = np.bincount(doc, minlength=n)
+    none = pa.array(size == 0)
+
+    def lists(rows):
+        edge = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+        return pa.ListArray.from_arrays(pa.array(edge), pa.array(rows.ravel()))
+
+    return pa.StructArray.from_arrays([lists(bands), lists(code), pa.array(size)], ["bands", "code", "n"], mask=none)
+
+
+def agreement(x, y):
+    """Number of registers whose four bits agree, of two arrays of code longs."""
+    total = F.lit(-(CODE_LONGS * 16 - BANDS * ROWS))  # the unused ones always agree
+    for i in range(CODE_LONGS):
+        z = x[i].bitwiseXOR(y[i])
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 2))
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
+        total = total + 16 - F.bit_count(z.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
 
 
 def _sets_of(texts):
@@ -96,10 +131,10 @@ def _sets_of(texts):
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, node (the text's digest) and bands of every row."""
-    bands = F.arrow_udf(_bands_of, "array<long>")
+    """doc_id, node (the text's digest), bands, code and n of every row."""
     text = text_or_empty(docs["text"])
-    return docs.select(docs["doc_id"], F.md5(text).alias("node"), bands(text).alias("bands"))
+    rows = docs.select(docs["doc_id"], F.md5(text).alias("node"), F.arrow_udf(_sketch_of, SKETCH)(text).alias("s"))
+    return rows.select("doc_id", "node", "s.*")
 
 
 def jaccard(a: bytes, b: bytes) -> float:
@@ -115,13 +150,15 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         import pyarrow as pa
         return pa.array([jaccard(a, b) >= threshold for a, b in zip(x.to_pylist(), y.to_pylist())], pa.bool_())
 
-    x = sets.select(F.col("node").alias("a"), F.col("set").alias("x"), F.length("set").alias("nx"))
-    y = sets.select(F.col("node").alias("b"), F.col("set").alias("y"), F.length("set").alias("ny"))
-    size = sets.select("node", F.length("set").alias("n"))
-    pairs = (pairs.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-             .join(size.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-             .filter(F.least("na", "nb") >= threshold * F.greatest("na", "nb")).select("a", "b"))
-    return (pairs.join(x, "a").join(y, "b").filter(similar("x", "y")).select("a", "b"))
+    x = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
+    y = sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    return pairs.join(x, "a").join(y, "b").filter(similar("x", "y")).select("a", "b")
+
+
+def likely(x: str, y: str, threshold: float):
+    """Join condition on two bucket rows: sizes and registers allow a link."""
+    small, large = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
+    return (small >= threshold * large) & (agreement(F.col(f"{x}.code"), F.col(f"{y}.code")) >= MIN_AGREE)
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -129,45 +166,53 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     whose texts are linked with the row's own."""
     docs = slim(docs, "doc_id", "text")
     rows = stage(sketch(docs), "op5-sketch")
-    nodes = (rows.filter("bands is not null").groupBy("node")
-             .agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands")))
-    keys = stage(nodes.select("node", F.explode("bands").alias("band")), "op5-keys")
-    shared = keys.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    buckets = stage(keys.join(shared.select("band", "hub"), "band"), "op5-buckets")
-    wanted = buckets.select("node").distinct()
-    sets = F.arrow_udf(_sets_of, "binary")
-    texts = (docs.select("text", F.md5(text_or_empty(F.col("text"))).alias("node")).join(wanted, "node")
-             .groupBy("node").agg(F.first("text").alias("text")))
-    sets = stage(texts.select("node", sets("text").alias("set")), "op5-sets")
-
-    pairs = stage(buckets.filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(),
-                  "op5-pairs")
-    tried, labels = pairs, components(stage(verified(pairs, sets, threshold), "op5-links"))
-
-    def open_buckets() -> DataFrame:
-        """band, node, comp of the buckets that span several components."""
-        now = (buckets.join(labels, "node", "left")
-               .select("band", "node", F.coalesce("comp", "node").alias("comp")))
-        spans = (now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                         F.min(F.struct(F.xxhash64("node", "band"), "node", "comp")).alias("pick"))
-                 .filter("lo != hi"))
-        return now.join(spans.select("band", "pick"), "band")
-
-    for last in (False, True):
-        left = stage(open_buckets(), "op5-open")
-        if last:
-            other = left.select("band", F.col("node").alias("a"), F.col("comp").alias("ca"))
-            pairs = other.join(left.select("band", F.col("node").alias("b"), "comp"), "band").filter(
-                "ca != comp and a < b")
+    nodes = stage(rows.filter("bands is not null").groupBy("node").agg(
+        F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("bands", "code", "n")]), "op5-nodes")
+    keys = nodes.select("node", F.explode("bands").alias("band"))
+    shared = keys.groupBy("band").agg(F.count("*").alias("m")).filter("m > 1").select("band")
+    buckets = stage(keys.join(shared, "band").join(nodes.select("node", "code", "n"), "node"), "op5-buckets")
+    wanted = stage(buckets.select("node").distinct(), "op5-wanted", compact=True)
+    # one row a node before the shuffle, so copies of a text do not meet in a task
+    texts = (docs.groupBy(F.md5(text_or_empty(F.col("text"))).alias("node")).agg(F.first("text").alias("text"))
+             .join(wanted, "node"))
+    sets = stage(texts.select("node", F.arrow_udf(_sets_of, "binary")("text").alias("set")), "op5-sets")
+    tried = labels = None
+
+    def pairs_of(left: DataFrame, right: DataFrame, more) -> DataFrame:
+        """(a, b), a < b, of likely pairs of ``left`` and ``right`` in a band, not tried yet."""
+        joined = left.alias("x").join(right.alias("y"), (F.col("x.band") == F.col("y.band")) & more
+                                      & likely("x", "y", threshold))
+        pairs = joined.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        pairs = pairs.distinct()
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        return stage(pairs, "op5-pairs", compact=True)
+
+    for turn in range(HUB_ROUNDS + 1):
+        now = buckets.withColumn("comp", F.col("node"))
+        if labels is not None:
+            now = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        now = stage(now, "op5-now", compact=True)
+        parts = now.groupBy("band", "comp").agg(
+            F.count("*").alias("m"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "code", "n")).alias("hub"))
+        hubs = parts.groupBy("band").agg(F.max(F.struct("m", "comp", "hub")).alias("top"), F.count("*").alias("parts"))
+        hubs = stage(hubs.filter("parts > 1").select("band", "top.comp", "top.hub.*"), "op5-hubs", compact=True)
+        # nodes outside of their bucket's largest component
+        rest = now.join(hubs.select("band", F.col("comp").alias("major")), "band").filter("comp != major")
+        if turn < HUB_ROUNDS:
+            pairs = pairs_of(rest, hubs, F.lit(True))
         else:
-            pairs = left.filter("comp != pick.comp").select(F.least("pick.node", "node").alias("a"),
-                                                            F.greatest("pick.node", "node").alias("b"))
-        pairs = stage(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "op5-pairs")
-        if pairs.limit(1).count():
-            tried = tried.union(pairs)
-            links = stage(verified(pairs, sets, threshold), "op5-links")
-            if links.limit(1).count():
-                labels = components(links, labels)
+            rest = stage(rest, "op5-rest", compact=True)
+            bands = rest.select("band").distinct()
+            pairs = pairs_of(rest, now.join(bands, "band"), (F.col("x.comp") != F.col("y.comp")) & (
+                (F.col("y.comp") == F.col("x.major")) | (F.col("x.node") < F.col("y.node"))))
+        if not pairs.limit(1).count():
+            continue
+        tried = pairs if tried is None else tried.union(pairs)
+        links = stage(verified(pairs, sets, threshold), "op5-links", compact=True)
+        if links.limit(1).count():
+            labels = components(links, labels)
+    if labels is None:
+        labels = nodes.select("node", F.col("node").alias("comp")).limit(0)
 
     named = (nodes.select("node", "first_id").join(labels, "node", "left")
              .select("node", "first_id", F.coalesce("comp", "node").alias("comp")))

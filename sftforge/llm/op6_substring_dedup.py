@@ -40,13 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftforge.llm.automaton import SuffixAutomaton
-from sftforge.llm.common import held, slim, stage, text_or_empty, words
+from sftforge.llm.common import held, hold, slim, stage, text_or_empty, words
 from sftforge.llm.wordhash import Words, chunks, mix, windows
 
 WINDOW = 35
 ANCHOR = 16
 #: Different passages of one anchor that may meet in a shard, and a shard's passages.
 SHARD_PASSAGES = 1000
+#: Rows that a task holds before it hands them on.
+OUT_ROWS = 5000
 SHARD_SIZE = 1000
 #: Words of a reference that may be broadcast, and of one broadcast automaton.
 MAX_REFERENCE_WORDS = 2_000_000
@@ -97,34 +99,42 @@ def _anchor_rows(batches):
 def _passage_rows(batches):
     """(node, text, list of (anchor, first, last window)) -> node, first and
     last word, anchor, digest, passage."""
-    import pyarrow as pa
+    kinds = "string", "int32", "int32", "int64", "string", "string"
+    names = ["node", "first", "last", "anchor", "digest", "passage"]
+    rows = []
     for b in batches:
-        rows = []
-        for node, text, spots in zip(*(c.to_pylist() for c in b.columns)):
-            w = words(text)
-            for x in spots:
+        for node, text, spots in zip(*b.columns):
+            node, w = node.as_py(), words(text.as_py())
+            for x in spots.as_py():
                 passage = b" ".join(w[x["first"]:x["last"] + WINDOW])
                 rows.append((node, x["first"], x["last"] + WINDOW - 1, x["anchor"],
                              hashlib.md5(passage).hexdigest(), passage.decode()))
-        if rows:
-            kinds = pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.string()
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                             names=["node", "first", "last", "anchor", "digest", "passage"])
+            if len(rows) >= OUT_ROWS:
+                yield _batch(rows, names, kinds)
+                rows = []
+    if rows:
+        yield _batch(rows, names, kinds)
 
 
 def _window_rows(batches):
     """(node, first, passage) -> node, first, digest: each window as a passage of its own."""
-    import pyarrow as pa
+    kinds, names = ("string", "int32", "string"), ["node", "first", "digest"]
+    rows = []
     for b in batches:
-        rows = []
         for node, first, passage in zip(*(c.to_pylist() for c in b.columns)):
             w = words(passage)
             rows += [(node, first + i, hashlib.md5(b" ".join(w[i:i + WINDOW])).hexdigest())
                      for i in range(len(w) - WINDOW + 1)]
-        if rows:
-            kinds = pa.string(), pa.int32(), pa.string()
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                             names=["node", "first", "digest"])
+            if len(rows) >= OUT_ROWS:
+                yield _batch(rows, names, kinds)
+                rows = []
+    if rows:
+        yield _batch(rows, names, kinds)
+
+
+def _batch(rows, names, kinds):
+    import pyarrow as pa
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
 def _shard_spans(batches):
@@ -175,32 +185,33 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.md5(text_or_empty(docs["text"])).alias("node"), text_or_empty(docs["text"]).alias("text"))
     spots = stage(texts.mapInArrow(_anchor_rows, "node string, anchor long, first int, last int"), "op6-anchors")
     place = F.xxhash64("node", "first")
-    often = stage(spots.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-                  .filter("lo != hi").select("anchor"), "op6-often")
-    listed = (spots.join(often, "anchor").distinct().groupBy("node")
-              .agg(F.collect_list(F.struct("anchor", "first", "last")).alias("spots")))  # bounded by the text
-    once = texts.join(listed, "node").groupBy("node").agg(F.first("text").alias("text"), F.first("spots").alias("spots"))
+    often = hold(spots.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+                 .filter("lo != hi").select("anchor"))
+    # a set, as copies of a text repeat its anchors; bounded by the text
+    listed = spots.join(often, "anchor").groupBy("node").agg(
+        F.collect_set(F.struct("anchor", "first", "last")).alias("spots"))
+    once = texts.groupBy("node").agg(F.first("text").alias("text")).join(listed, "node")
     cut = stage(once.select("node", "text", "spots").mapInArrow(
         _passage_rows, "node string, first int, last int, anchor long, digest string, passage string"), "op6-passages")
 
     # Equal passages, counted; node and first show one place of each.
     kinds = stage(cut.groupBy("anchor", "digest").agg(
         F.min(F.struct("node", "first", "passage")).alias("one"), F.count("*").alias("n")), "op6-kinds")
-    known = stage(kinds.filter("n > 1").select("anchor", "digest"), "op6-equal")
+    known = kinds.filter("n > 1").select("anchor", "digest")
     equal = cut.select("node", "first", "last", "anchor", "digest").join(known, ["anchor", "digest"]).select(
         "node", "first", "last")
 
-    per_anchor = stage(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "op6-kinds")
+    per_anchor = hold(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"))
     few = (kinds.join(per_anchor.filter(F.col("kinds") <= SHARD_PASSAGES).select("anchor"), "anchor")
            .select("anchor", "one.passage", "one.node", "one.first", (F.col("n") > 1).alias("several")))
     matched = (few.repartition("anchor").sortWithinPartitions("anchor")
                .mapInArrow(_shard_spans, "node string, first int, last int"))
 
-    many = stage(per_anchor.filter(F.col("kinds") > SHARD_PASSAGES).select("anchor"), "op6-many")
+    many = hold(per_anchor.filter(F.col("kinds") > SHARD_PASSAGES).select("anchor"))
     single = stage(cut.join(many, "anchor").select("node", "first", "passage").mapInArrow(
         _window_rows, "node string, first int, digest string"), "op6-windows")
-    twice = stage(single.groupBy("digest").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-                  .filter("lo != hi").select("digest"), "op6-twice")
+    twice = hold(single.groupBy("digest").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+                 .filter("lo != hi").select("digest"))
     counted = single.join(twice, "digest").select("node", "first", (F.col("first") + WINDOW - 1).alias("last"))
     return equal.union(matched).union(counted)
 
@@ -212,7 +223,7 @@ def marked(rows: DataFrame, text) -> DataFrame:
     spans = (repeated_spans(rows.select(text.alias("text"))).groupBy("node")
              .agg(F.collect_set(F.struct("first", "last")).alias("spans")))  # bounded by the text
     copied = rows.select(node.alias("node")).groupBy("node").agg((F.count("*") > 1).alias("copied"))
-    facts = copied.join(spans, "node", "left").filter("copied or spans is not null")
+    facts = stage(copied.join(spans, "node", "left").filter("copied or spans is not null"), "op6-facts")
     return rows.withColumn("node", node).join(facts, "node", "left").withColumn(
         "copied", F.coalesce("copied", F.lit(False)))
 
@@ -237,10 +248,14 @@ KEPT = "struct<n_words: long, n_removed: long, kept: string>"
 
 def _kept_of(text, copied, spans):
     import pyarrow as pa
-    rows = [kept_words(*x) for x in zip(text.to_pylist(), copied.to_pylist(), spans.to_pylist())]
-    return pa.StructArray.from_arrays(
-        [pa.array([n for _, n in rows], pa.int64()), pa.array([n - len(w) for w, n in rows], pa.int64()),
-         pa.array([b" ".join(w).decode() for w, _ in rows], pa.string())], ["n_words", "n_removed", "kept"])
+    size, gone, out = [], [], []
+    for x in zip(text, copied, spans):
+        w, n = kept_words(*(v.as_py() for v in x))
+        size.append(n)
+        gone.append(n - len(w))
+        out.append(b" ".join(w).decode())
+    return pa.StructArray.from_arrays([pa.array(size, pa.int64()), pa.array(gone, pa.int64()),
+                                       pa.array(out, pa.string())], ["n_words", "n_removed", "kept"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sftforge.llm.common import slim, without
+from sftforge.llm.common import bounded_batches, slim, without
 from sftforge.llm.textstats import TextView
 
 #: Bound of the sample on which costs and selectivities are estimated.
@@ -56,6 +56,7 @@ def estimate(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> di
     """Rule name -> (seconds a document, share rejected), measured on the first
     ``sample_rows`` documents of at most ``SAMPLE_CHARS`` characters: as few
     partitions are read as hold them, and what reaches the driver is bounded."""
+    bounded_batches(docs.sparkSession)
     text = docs["text"]
     rows = docs.filter(F.length(text) <= SAMPLE_CHARS).select(text).limit(sample_rows).collect()
     out = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Texts are worked on in chunks of about so many bytes (a longer text is a chunk of its own).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True

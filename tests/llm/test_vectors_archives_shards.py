@@ -173,3 +173,9 @@ def test_pipeline_stages(spark):
     assert sum(r.length for r in after) == sum(len(e.whole(t or "")) // 4 + 1 for _, t in before)
     assert corpus_pipeline.run(spark, sf_dir).count() == seen[-1]
     assert words("a b") == [b"a", b"b"]
+    import os
+    from sftforge.llm import common
+    paths = [p.removeprefix("file:") for p in common.STAGED]
+    assert any(os.path.isdir(p) for p in paths)
+    common.remove_staged(spark)
+    assert not common.STAGED and not any(os.path.isdir(p) for p in paths)
