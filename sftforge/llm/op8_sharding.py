@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sftforge.llm.common import scratch, text_or_empty, without
+from sftforge.llm.common import STAGED, hold, scratch, text_or_empty, without
 
 SHARDS = 16
 KEY = 20241
@@ -45,9 +45,10 @@ def numbered(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     groups = per_file.groupBy("g").agg(F.sum("n").alias("n"))  # FILE_GROUPS rows at most
     groups = groups.select("g", before(Window.orderBy("g")).alias("base"))
-    files = per_file.select("g", "__op8_file", before(Window.partitionBy("g").orderBy("__op8_file")).alias("own"))
-    files = files.join(groups, "g").select("__op8_file", (F.col("base") + F.col("own")).alias("__op8_base"))
-    total = per_file.agg(F.sum("n")).first()[0] or 0
+    files = per_file.select("g", "__op8_file", "n", before(Window.partitionBy("g").orderBy("__op8_file")).alias("own"))
+    files = hold(files.join(groups, "g").select("__op8_file", "n", (F.col("base") + F.col("own")).alias("__op8_base")))
+    total = files.agg(F.sum("n")).first()[0] or 0  # its size is known from here on: Spark broadcasts it if it is small
+    files = files.drop("n")
     out = rows.join(files, "__op8_file").withColumn("row_number", F.col("__op8_base") + F.col("__op8_index"))
     return out.drop("__op8_file", "__op8_index", "__op8_base"), total
 
@@ -125,6 +126,7 @@ def shard_table(spark: SparkSession, path: str, shards: int = SHARDS, key: int =
 def shard_rows(df: DataFrame, shards: int = SHARDS, key: int = KEY) -> DataFrame:
     """:func:`shard_table` of any DataFrame, which is written to the shared folder first."""
     path = scratch(df.sparkSession, "op8-rows")
+    STAGED.append(path)
     df.write.parquet(path)
     return shard_table(df.sparkSession, path, shards, key)
 
