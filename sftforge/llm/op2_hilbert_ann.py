@@ -4,7 +4,7 @@ Each of ``CURVES`` orderings projects the vectors to ``DIMS`` random orthogonal
 directions, spreads every coordinate evenly over a grid, shifts the grid, and
 orders the vectors along the grid's Hilbert curve. Spark range-partitions and
 sorts every ordering, which gives each vector its rank; ranks cut a curve into
-blocks of ``BLOCK`` vectors. A query meets the blocks within its key window
+blocks of ``BLOCK`` to ``MAX_BLOCK`` vectors. A query meets the blocks within its key window
 (``WINDOW_SHARE`` of the ordering, ``WINDOW_ROWS`` vectors at least, around its
 rank); a block's candidates are reranked by the exact inner product in double
 precision, and the best of all windows are merged.
@@ -33,8 +33,10 @@ K = 20
 CURVES, DIMS, BITS = 8, 4, 12
 WINDOW_SHARE = 0.2
 WINDOW_ROWS = 2048
-BLOCK = 1024
-QUERY_CHUNK = 1024
+#: Vectors of a block: half a window, within these bounds, so that a query meets
+#: few blocks and a task holds a bounded one.
+BLOCK, MAX_BLOCK = 1024, 8192
+QUERY_CHUNK = 256
 SEED = 77
 
 
@@ -173,13 +175,14 @@ def nearest_points(lines: DataFrame, n: int, asked: DataFrame, keep: int = K + 1
     each point of ``asked`` (itself among them)."""
     width = min(n, max(WINDOW_ROWS, int(window_share * n)))
     n_asked = asked.count()
-    per_block = n_asked * (width / BLOCK + 1) / max(n / BLOCK, 1)
+    size = min(MAX_BLOCK, max(BLOCK, width // 2))
+    per_block = n_asked * (width / size + 1) / max(n / size, 1)
     chunks = max(1, int(np.ceil(per_block / QUERY_CHUNK)))
     first = F.least(F.greatest(F.col("rank") - width // 2, F.lit(0)), F.lit(max(n - width, 0)))
     queries = lines.join(asked, "point").withColumn("first", first).select(
-        "curve", F.explode(F.sequence(F.floor(F.col("first") / BLOCK), F.floor((F.col("first") + width) / BLOCK)))
+        "curve", F.explode(F.sequence(F.floor(F.col("first") / size), F.floor((F.col("first") + width) / size)))
         .alias("block"), F.pmod(F.xxhash64("point"), F.lit(chunks)).alias("chunk"), "point", "vector")
-    blocks = lines.select("curve", F.floor(F.col("rank") / BLOCK).alias("block"),
+    blocks = lines.select("curve", F.floor(F.col("rank") / size).alias("block"),
                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"),
                           "point", "low", "vector")
 
