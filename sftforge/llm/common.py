@@ -48,8 +48,8 @@ def stage(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     bounded_batches(df.sparkSession)
     path = scratch(df.sparkSession, name)
     STAGED.append(path)
-    if compact:
-        df = df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+    if compact:  # a shuffle of its own: a coalesced task would hold the sorts of many partitions at once
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
