@@ -106,7 +106,7 @@ class Normalizer:
 
 
 class Encoder(dict):
-    """normalised segment -> (ids, normalised bytes of each piece), as 32-bit numbers."""
+    """normalised segment -> ids, as 32-bit numbers."""
 
     def __init__(self, file: bytes):
         import sentencepiece
@@ -118,31 +118,39 @@ class Encoder(dict):
         parts = not self.normalize.fixed and not any(SPACE in p for p in bare) and not self.model.space_suffix
         self.segments = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if parts else "(?s:.+)")
         self.sizes = np.array([1 if k == BYTE else len(p.encode())
-                               for p, k in zip(self.model.pieces, self.model.kinds)], np.int32)
+                               for p, k in zip(self.model.pieces, self.model.kinds)], np.int64)
         self.unknown = self.model.kinds.index(UNKNOWN)
 
-    def __missing__(self, segment: str) -> tuple[bytes, bytes]:
-        if len(self) >= MEMO_SEGMENTS:
+    def learn(self, segments: set[str]) -> None:
+        """Remember the ids of segments, which the merges see together."""
+        new = [s for s in segments if s not in self]
+        if len(self) + len(new) > MEMO_SEGMENTS:
             self.clear()
-        ids = self.merges.encode(segment)
-        if self.unknown in ids:
-            sizes = [len(p.encode()) for p in self.merges.encode(segment, out_type=str)]
-            sizes = [1 if self.model.kinds[i] == BYTE else n for i, n in zip(ids, sizes)]
-        else:
-            sizes = self.sizes[ids]
-        out = array("i", ids).tobytes(), np.asarray(sizes, np.int32).tobytes()
-        if len(segment) < 200:
-            self[segment] = out
-        return out
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """ids, and the first and last + 1 byte of the source that each piece covers."""
-        norm, origin = self.normalize(text)
-        parts = [self[s] for s in self.segments.findall(norm.decode())]
-        ids = np.frombuffer(b"".join([x for x, _ in parts]), np.int32)
-        edge = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(np.frombuffer(b"".join([n for _, n in parts]), np.int32), out=edge[1:])
-        return ids, origin[edge[:-1]], origin[edge[1:]]
+            new = list(segments)
+        for s, ids in zip(new, self.merges.encode(new)):
+            self[s] = array("i", ids).tobytes()
+
+    def pieces(self, ids: np.ndarray, segments: list[str]) -> np.ndarray:
+        """Normalised bytes of each piece. An unknown one covers what the text holds there."""
+        sizes = self.sizes[ids]
+        if (ids == self.unknown).any():
+            held = [p for s in segments for p in self.merges.encode(s, out_type=str)]
+            at = np.flatnonzero(ids == self.unknown)
+            sizes[at] = [len(held[i].encode()) for i in at]
+        return sizes
+
+    def encode_all(self, texts: list[str]):
+        """ids, and the first and last + 1 byte of the source that each piece
+        covers, of each text."""
+        normal = [self.normalize(t) for t in texts]
+        cut = [self.segments.findall(norm.decode()) for norm, _ in normal]
+        self.learn(set().union(*cut))
+        for (_, origin), segments in zip(normal, cut):
+            ids = np.frombuffer(b"".join([self[s] for s in segments]), np.int32)
+            edge = np.zeros(len(ids) + 1, np.int64)
+            np.cumsum(self.pieces(ids, segments), out=edge[1:])
+            at = origin[edge]
+            yield ids, at[:-1], at[1:]
 
 
 def _each_byte(error):
@@ -152,20 +160,23 @@ def _each_byte(error):
 class Decoder:
     def __init__(self, file: bytes):
         m = Model.parse(file)
-        self.kinds = m.kinds
         self.strip_one = m.dummy_prefix or m.extra_spaces
         self.strip_all = m.extra_spaces
         self.bytes = [b"" if k == CONTROL else UNKNOWN_TEXT.encode() if k == UNKNOWN
                       else bytes([int(p[1:-1], 16)]) if k == BYTE else p.replace(SPACE, " ").encode()
                       for p, k in zip(m.pieces, m.kinds)]
-        self.control = {i for i, k in enumerate(m.kinds) if k == CONTROL}
         codecs.register_error("each_byte", _each_byte)
 
+        self.table = np.array([*self.bytes, None], object)[:-1]
+        self.odd = np.array([k in (CONTROL, UNKNOWN, BYTE) for k in m.kinds])
+        self.is_control = np.array([k == CONTROL for k in m.kinds])
+
     def decode(self, ids) -> str:
-        parts = [self.bytes[i] for i in ids]
+        ids = np.asarray(ids, np.int64)
+        parts = self.table[ids].tolist()
         if self.strip_one:
-            for k, (i, part) in enumerate(zip(ids, parts)):
-                if self.kinds[i] in (CONTROL, UNKNOWN, BYTE):
+            for k, part in enumerate(parts):
+                if self.odd[ids[k]]:
                     if part:
                         break
                 elif part.startswith(b" "):
@@ -174,8 +185,8 @@ class Decoder:
                         break
                 elif part:
                     break
-        if not self.control.isdisjoint(ids):  # a control id also ends a run of byte pieces
-            cuts = [k for k, i in enumerate(ids) if i in self.control]
+        cuts = np.flatnonzero(self.is_control[ids])
+        if len(cuts):  # a control id also ends a run of byte pieces
             runs = [parts[a + 1:b] for a, b in zip([-1, *cuts], [*cuts, len(ids)])]
         else:
             runs = [parts]
@@ -196,16 +207,15 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
             return pa.ListArray.from_arrays(pa.array(edge), pa.array(np.concatenate(arrays).astype(np.int32)))
 
         for b in batches:
-            rows, size, at = [], 0, 0
-            texts = b.column(1).to_pylist()
-            for i, text in enumerate(texts, 1):
-                rows.append(encoder.encode(text or ""))
-                size += len(text or "")
-                if size >= OUT_BYTES or i == len(texts):
+            texts, size, at = [], 0, 0
+            for i, text in enumerate(b.column(1), 1):
+                texts.append(text.as_py() or "")
+                size += len(texts[-1])
+                if size >= OUT_BYTES or i == b.num_rows:
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).slice(at, i - at).cast(pa.int64()), *map(lists, zip(*rows))],
+                        [b.column(0).slice(at, i - at).cast(pa.int64()), *map(lists, zip(*encoder.encode_all(texts)))],
                         names=["doc_id", "ids", "starts", "ends"])
-                    rows, size, at = [], 0, i
+                    texts, size, at = [], 0, i
 
     return slim(docs, "doc_id", "text").mapInArrow(
         run, "doc_id long, ids array<int>, starts array<int>, ends array<int>")
@@ -219,8 +229,11 @@ def decode(docs: DataFrame, model_file: str):
     def text(ids):
         import pyarrow as pa
         decoder = Decoder(file.value)
-        return pa.array([decoder.decode([i for i in x if i is not None] if x else []) for x in ids.to_pylist()],
-                        pa.string())
+        out = []
+        for x in ids:
+            row = x.values
+            out.append("" if row is None else decoder.decode(row.drop_null().to_numpy()))
+        return pa.array(out, pa.string())
 
     return text
 
