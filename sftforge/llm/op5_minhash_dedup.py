@@ -24,13 +24,17 @@ below what a pair at the threshold has.
 Defined results: texts without words (null, empty, white space) are alike to
 nothing, each is a class of its own; fewer than five words make one shingle;
 repeated rows share a class; rows without doc_id get the class of their text;
-an empty table gives no rows; other columns are dropped or carried unchanged.
+a class in which no row has a doc_id gets a negative number of its own from its
+least text, as do all but one of the classes whose least doc_id is the same (a
+doc_id on different texts): a text without words keeps the doc_id, else the
+class of the least text; an empty table gives no rows; other columns are
+dropped or carried unchanged.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftforge.llm.common import WHITE, held, slim, stage, text_or_empty
@@ -162,8 +166,10 @@ def likely(x: str, y: str, threshold: float):
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, node, class_id of every row: the least doc_id among all rows
-    whose texts are linked with the row's own."""
+    """doc_id, node, class_id, comp of every row: the least doc_id among all
+    rows whose texts are linked with the row's own (or, if there is none or it
+    names another class, :func:`own_id`), and the least node of these texts,
+    which tells classes apart whatever their ids; null without words."""
     docs = slim(docs, "doc_id", "text")
     rows = stage(sketch(docs), "op5-sketch")
     nodes = stage(rows.filter("bands is not null").groupBy("node").agg(
@@ -217,19 +223,31 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     named = (nodes.select("node", "first_id").join(labels, "node", "left")
              .select("node", "first_id", F.coalesce("comp", "node").alias("comp")))
     named = stage(named, "op5-named")
-    least = named.groupBy("comp").agg(F.min("first_id").alias("class_id"))
-    named = named.join(least, "comp").select("node", "class_id")
-    return (rows.select("doc_id", "node", F.col("bands").isNull().alias("empty")).join(named, "node", "left")
+    # who may be called by a doc_id: the row without words that has it, else the least component of that least doc_id
+    least = named.groupBy("comp").agg(F.min("first_id").alias("class_id")).filter("class_id is not null")
+    asked = least.select("class_id", "comp").union(
+        rows.filter("n is null and doc_id is not null").select("doc_id", F.lit("")))
+    owners = asked.groupBy("class_id").agg(F.min("comp").alias("comp"))
+    named = named.join(owners, "comp", "left").select(
+        "node", "comp", F.coalesce("class_id", own_id(F.col("comp"))).alias("class_id"))
+    return (rows.select("doc_id", "node", F.col("n").isNull().alias("empty")).join(named, "node", "left")
             .select("doc_id", "node", F.when(F.col("empty"), F.col("doc_id")).otherwise(F.col("class_id"))
-                    .alias("class_id")))
+                    .alias("class_id"), "comp"))
+
+
+def own_id(comp) -> Column:
+    """A negative number of 63 bits of the component's digest."""
+    return F.xxhash64(comp).bitwiseOR(F.lit(-1 << 63))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of each class (that of the least doc_id), and every row whose
-    text has no words, with their own columns."""
+    """One row of each component (that of the least doc_id, rows without one
+    last, then of the least node), and every row whose text has no words, with
+    their own columns."""
     found = stage(classes(docs, threshold), "op5-classes")
-    keep = (found.filter("doc_id <=> class_id").select("node", "doc_id", "class_id").groupBy("class_id")
-            .agg(F.min("node").alias("_node")).select("_node", F.col("class_id").alias("_id")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("first")
+    keep = (found.filter("comp is not null").groupBy("comp").agg(first)
+            .select(F.col("first.node").alias("_node"), F.col("first.doc_id").alias("_id")))
     text = F.col("row.text")
     rows = held(docs).withColumn("some", text_or_empty(text).rlike(HAS_WORD))
     kept = (rows.filter("some").withColumn("_node", F.md5(text_or_empty(text))).join(keep, "_node")

@@ -80,6 +80,27 @@ def test_groups_of_near_copies_meet_through_many_hubs(spark):
     assert got == {i: want[i, t] for i, t in rows}
 
 
+def test_classes_without_or_with_the_same_least_doc_id_stay_apart(spark):
+    import random
+    rng = random.Random(9)
+    from helpers import prose
+    text = [prose(rng, 80) for _ in range(6)]
+    near = text[0] + " more"
+    rows = [(None, text[0]), (None, near), (None, text[1]), (None, ""), (None, None)]  # no id in the class
+    rows += [(7, text[2]), (7, text[3]), (8, text[3]), (9, text[4]), (9, " "), (None, text[5]), (3, text[5])]
+    docs = table(spark, rows)
+    kept = Counter((r.doc_id, r.text) for r in op5.keep_one(docs).collect())
+    first = min(text[0], near, key=op5_md5)
+    assert kept == Counter([(None, first), (None, text[1]), (None, ""), (None, None), (7, text[2]), (7, text[3]),
+                            (9, text[4]), (9, " "), (3, text[5])])
+    got = {(r.doc_id, r.node): r.class_id for r in op5.classes(docs).collect()}
+    named = {(i, t): got[i, op5_md5(t)] for i, t in rows}
+    assert named[None, text[0]] == named[None, near] < 0 and named[None, text[1]] < 0
+    assert named[7, text[3]] == named[8, text[3]] and {named[7, text[2]], named[7, text[3]]} > {7}
+    assert named[9, " "] == 9 and named[9, text[4]] < 0 and named[None, text[5]] == 3 and named[None, ""] is None
+    assert len({named[i, t] for i, t in rows if words(t)}) == 6
+
+
 def test_empty_table(spark):
     assert op5.classes(table(spark, [])).count() == 0
     assert op6.remove_repeats(table(spark, [])).count() == 0
