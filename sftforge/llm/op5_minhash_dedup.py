@@ -1,13 +1,15 @@
 """Operator 5, near-duplicates by ProbMinHash.
 
-Each text is a weighted set of shingles of five words (weight 1 + ln of the
-count). Every shingle sends arrivals of a Poisson process of its weight's rate
-to random registers; a register keeps the shingle that arrives first, and a
-shingle stops as soon as its next arrival is later than every register's. Two
-texts agree in a register with the probability Jaccard similarity. Registers
-form bands of ``ROWS``; texts that share a band are candidates, and a candidate
-pair is a link if the Jaccard similarity of the exact shingle sets is at least
-``THRESHOLD`` (at 0.8, a pair shares a band with probability 0.99995).
+Each text is a set of shingles of five words, all of weight 1 however often
+they occur, as links are defined on sets. Every shingle sends arrivals of a
+Poisson process of its weight's rate to random registers; a register keeps the
+shingle that arrives first, and a shingle stops as soon as its next arrival is
+later than every register's. Two texts agree in a register with the probability
+Jaccard similarity, which at equal weights is the Jaccard similarity of the
+sets. Registers form bands; texts that share a band are candidates, and a
+candidate pair is a link if the Jaccard similarity of the exact shingle sets is
+at least ``THRESHOLD``. :func:`band_rows` takes the widest bands that such a
+pair shares with probability ``RECALL`` (at 0.8: 25 bands of 5, 0.99995).
 
 Classes are connected components. Equal texts are one node from the start. In
 each bucket the nodes are held against one hub, which joins groups of copies
@@ -17,9 +19,9 @@ Then every pair of a bucket whose nodes are still in different components and
 that was not tried yet is tried, so no link between classes that share a bucket
 is lost, whatever the bucket's size; inside a component no pair is needed.
 
-Before its sets are fetched, a pair must agree in ``MIN_AGREE`` registers, of
-which a few bits each are compared inside the join: four standard deviations
-below what a pair at the threshold has.
+Before its sets are fetched, a pair must agree in :func:`min_agree` registers,
+of which a few bits each are compared inside the join. A pair at the threshold
+has fewer with probability ``1 - RECALL`` at most, one above it more rarely.
 
 Defined results: texts without words (null, empty, white space) are alike to
 nothing, each is a class of its own; fewer than five words make one shingle;
@@ -33,6 +35,8 @@ dropped or carried unchanged.
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,22 +47,41 @@ from sftforge.llm.wordhash import Words, chunks, mix, shingles
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 25, 5
+REGISTERS = 125
+#: A pair at the threshold shares a band, and agrees in enough registers, with this probability each.
+RECALL = 0.9999
 #: Rounds with hubs before the remaining pairs are tried.
 HUB_ROUNDS = 4
-#: Registers of 125 that must agree in their last four bits; a pair at the
-#: threshold has 101.6 on average, with a standard deviation of 4.4.
-MIN_AGREE = 84
 CODE_LONGS = 8
 HAS_WORD = f"[^{WHITE}]"
 
 
-def weighted_sets(w: Words, width: int = SHINGLE):
-    """(shingle, document, count) of the distinct shingles of each document."""
+def band_rows(threshold: float) -> int:
+    """The most registers a band may have so that a pair at the threshold
+    shares one with probability ``RECALL``; one at least."""
+    fits = [r for r in range(1, 26) if 1 - (1 - threshold ** r) ** (REGISTERS // r) >= RECALL]
+    return max(fits, default=1)
+
+
+def min_agree(threshold: float) -> int:
+    """The registers whose last four bits must agree: a pair at the threshold
+    has fewer with probability 1 - ``RECALL`` at most. Registers agree
+    independently with the similarity, and one in 16 of the others by chance."""
+    p, below, least = threshold + (1 - threshold) / 16, 0.0, 0
+    while least < REGISTERS:
+        below += comb(REGISTERS, least) * p ** least * (1 - p) ** (REGISTERS - least)
+        if below > 1 - RECALL:
+            break
+        least += 1
+    return least
+
+
+def shingle_sets(w: Words, width: int = SHINGLE):
+    """(shingle, document) of the distinct shingles of each document."""
     shingle, doc = shingles(w, width)
     key = mix(shingle + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    _, at, count = np.unique(key, return_index=True, return_counts=True)
-    return shingle[at], doc[at], count
+    _, at = np.unique(key, return_index=True)
+    return shingle[at], doc[at]
 
 
 def prob_minhash(shingle: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: int, m: int) -> np.ndarray:
@@ -82,24 +105,25 @@ def prob_minhash(shingle: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_doc
 SKETCH = "struct<bands: array<long>, code: array<long>, n: int>"
 
 
-def _sketch_of(texts):
-    """Arrow struct of each text: band keys, four bits of each register, and
-    the number of different shingles; null without words."""
+def _sketch_of(texts, rows: int = band_rows(THRESHOLD)):
+    """Arrow struct of each text: keys of its bands of ``rows`` registers, four
+    bits of each register, and the number of different shingles; null without words."""
     import pyarrow as pa
-    bands = np.zeros((len(texts), BANDS), np.int64)
+    n_bands = REGISTERS // rows
+    bands = np.zeros((len(texts), n_bands), np.int64)
     code = np.zeros((len(texts), CODE_LONGS), np.int64)
     size = np.zeros(len(texts), np.int32)
-    salt = np.arange(BANDS, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)
+    salt = np.arange(n_bands, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)
     shift = (np.arange(16) * 4).astype(np.uint64)
     for at, n, w in chunks(texts):
-        shingle, doc, count = weighted_sets(w)
-        kept = prob_minhash(shingle, doc, 1 + np.log(count), n, BANDS * ROWS)
-        key = np.broadcast_to(salt, (n, BANDS)).copy()
-        for j in range(ROWS):
-            key = mix(key + kept.reshape(n, BANDS, ROWS)[:, :, j])
+        shingle, doc = shingle_sets(w)
+        kept = prob_minhash(shingle, doc, np.ones(len(shingle)), n, REGISTERS)
+        key = np.broadcast_to(salt, (n, n_bands)).copy()
+        for j in range(rows):
+            key = mix(key + kept[:, :n_bands * rows].reshape(n, n_bands, rows)[:, :, j])
         bands[at:at + n] = key.view(np.int64)
         bits = np.zeros((n, CODE_LONGS * 16), np.uint64)
-        bits[:, :BANDS * ROWS] = mix(kept) & np.uint64(15)
+        bits[:, :REGISTERS] = mix(kept) & np.uint64(15)
         code[at:at + n] = (bits.reshape(n, CODE_LONGS, 16) << shift).sum(axis=2, dtype=np.uint64).view(np.int64)
         size[at:at + n] = np.bincount(doc, minlength=n)
     none = pa.array(size == 0)
@@ -113,7 +137,7 @@ def _sketch_of(texts):
 
 def agreement(x, y):
     """Number of registers whose four bits agree, of two arrays of code longs."""
-    total = F.lit(-(CODE_LONGS * 16 - BANDS * ROWS))  # the unused ones always agree
+    total = F.lit(-(CODE_LONGS * 16 - REGISTERS))  # the unused ones always agree
     for i in range(CODE_LONGS):
         z = x[i].bitwiseXOR(y[i])
         z = z.bitwiseOR(F.shiftrightunsigned(z, 2))
@@ -127,17 +151,22 @@ def _sets_of(texts):
     import pyarrow as pa
     out = []
     for _, n, w in chunks(texts):
-        shingle, doc, _ = weighted_sets(w)
+        shingle, doc = shingle_sets(w)
         order = np.lexsort((shingle, doc))
         shingle, edge = shingle[order], np.searchsorted(doc[order], np.arange(n + 1))
         out += [shingle[edge[i]:edge[i + 1]].tobytes() for i in range(n)]
     return pa.array(out, pa.binary())
 
 
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node (the text's digest), bands, code and n of every row."""
-    text = text_or_empty(docs["text"])
-    rows = docs.select(docs["doc_id"], F.md5(text).alias("node"), F.arrow_udf(_sketch_of, SKETCH)(text).alias("s"))
+    text, width = text_or_empty(docs["text"]), band_rows(threshold)
+
+    @F.arrow_udf(SKETCH)
+    def sketch_of(texts):
+        return _sketch_of(texts, width)
+
+    rows = docs.select(docs["doc_id"], F.md5(text).alias("node"), sketch_of(text).alias("s"))
     return rows.select("doc_id", "node", "s.*")
 
 
@@ -162,7 +191,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 def likely(x: str, y: str, threshold: float):
     """Join condition on two bucket rows: sizes and registers allow a link."""
     small, large = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
-    return (small >= threshold * large) & (agreement(F.col(f"{x}.code"), F.col(f"{y}.code")) >= MIN_AGREE)
+    return (small >= threshold * large) & (agreement(F.col(f"{x}.code"), F.col(f"{y}.code")) >= min_agree(threshold))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -171,7 +200,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     names another class, :func:`own_id`), and the least node of these texts,
     which tells classes apart whatever their ids; null without words."""
     docs = slim(docs, "doc_id", "text")
-    rows = stage(sketch(docs), "op5-sketch")
+    rows = stage(sketch(docs, threshold), "op5-sketch")
     nodes = stage(rows.filter("bands is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("bands", "code", "n")]), "op5-nodes")
     keys = nodes.select("node", F.explode("bands").alias("band"))

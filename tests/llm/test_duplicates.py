@@ -101,6 +101,47 @@ def test_classes_without_or_with_the_same_least_doc_id_stay_apart(spark):
     assert len({named[i, t] for i, t in rows if words(t)}) == 6
 
 
+def repeated_passage_rows():
+    """Pairs of set similarity 0.8 or more, one text or both with a passage repeated many times."""
+    import random
+    rng = random.Random(3)
+    rows = []
+    for k in range(12):
+        shared = [f"s{k}x{rng.randrange(10 ** 6)}" for _ in range(220)]
+        own = [[f"o{k}s{side}x{i}" for i in range(15)] for side in range(2)]
+        times = (20, 1 if k % 2 else 20)
+        rows += [(2 * k + side, " ".join(shared + own[side] * times[side])) for side in range(2)]
+    return rows
+
+
+def test_repeated_passages_do_not_hide_links(spark):
+    rows = repeated_passage_rows()
+    want = brute_classes(rows)
+    assert len(set(want.values())) == 12
+    got = {r.doc_id: r.class_id for r in op5.classes(table(spark, rows)).collect()}
+    assert got == {i: want[i, t] for i, t in rows}
+
+
+def test_registers_estimate_the_similarity_of_sets():
+    import pyarrow as pa
+    rows = repeated_passage_rows()
+    codes = [r["code"] for r in op5._sketch_of(pa.array([t for _, t in rows])).to_pylist()]
+    for k in range(0, len(rows), 2):
+        x, y = shingle_set(rows[k][1]), shingle_set(rows[k + 1][1])
+        assert len(x & y) >= 0.8 * len(x | y)
+        bits = [[z >> 4 * j & 15 for z in codes[k + side] for j in range(16)] for side in range(2)]
+        assert sum(a == b for a, b in zip(*bits)) - 3 >= op5.min_agree(op5.THRESHOLD)
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8, 0.9])
+def test_cuts_before_the_exact_sets_keep_their_promise(threshold):
+    from math import comb
+    rows, least = op5.band_rows(threshold), op5.min_agree(threshold)
+    assert 1 - (1 - threshold ** rows) ** (125 // rows) >= op5.RECALL
+    p = threshold + (1 - threshold) / 16
+    assert sum(comb(125, j) * p ** j * (1 - p) ** (125 - j) for j in range(least)) <= 1 - op5.RECALL
+
+
 def test_empty_table(spark):
     assert op5.classes(table(spark, [])).count() == 0
     assert op6.remove_repeats(table(spark, [])).count() == 0
