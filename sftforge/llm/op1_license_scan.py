@@ -2,13 +2,15 @@
 retrieve license templates, exact shingle containment verifies them.
 
 Words are folded (letters and digits, lower case); shingles are three words, as
-notices may be five words short. For a template of n words a text is cut into
-blocks of n shingles, and two neighbouring blocks are a window, so each place
-where the template can stand lies wholly inside a window. The similarity that a
-window holding ``THRESHOLD`` of a template's shingles must have is known from
-the lengths; :func:`band_rows` takes the widest bands for which such a window is
-retrieved with probability ``RECALL`` at least. A window is a match if it holds
-``THRESHOLD`` of the template's different shingles, counted exactly.
+notices may be five words short. A match is a span of at most ``STRETCH`` times
+the template's words that holds ``THRESHOLD`` of its different shingles, so
+words may be put in. For a template of n words a text is cut into blocks of
+over n / 4 and at most n / 2 shingles (powers of two, shared by templates), and
+``WINDOW`` neighbouring blocks from each block on are a window, so each such
+span lies wholly inside a window, wherever it begins. The similarity that a
+window with a match must have is known from the lengths; :func:`band_rows` takes
+the widest bands for which such a window is retrieved with probability
+``RECALL`` at least. The best span of a retrieved window is found exactly.
 
 The templates are a fixed table given as an argument; only they are sent to the
 tasks. Texts never leave their task.
@@ -33,6 +35,10 @@ SHINGLE = 3
 THRESHOLD = 0.8
 HASHES = 48
 RECALL = 0.999
+#: A place may be so many times as long as its template, by words put in.
+STRETCH = 2
+#: Blocks a window. Blocks are over a quarter of a template, so all but one of them hold its longest place.
+WINDOW = 4 * STRETCH + 1
 
 # Public notices by SPDX identifier.
 TEMPLATES = (
@@ -62,6 +68,7 @@ class Template:
     n_words: int
     shingles: np.ndarray   # different ones, sorted
     least: np.ndarray      # minimum under each hash function
+    block: int             # shingles a block
     rows: int              # hash functions a band
 
 
@@ -95,40 +102,82 @@ def prepare(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[Template]
                 raise ValueError(f"template {number} has fewer than {SHINGLE} words")
             own, n = np.unique(all_of), len(w.hash)
             least = np.array([_hashed(own, i).min() for i in range(HASHES)])
-            similarity = threshold * len(own) / (2 * n + (1 - threshold) * len(own))
-            out.append(Template(license, number, n, own, least, band_rows(similarity)))
+            block = 1 << ((n // 2).bit_length() - 1)
+            similarity = threshold * len(own) / (WINDOW * block + (1 - threshold) * len(own))
+            out.append(Template(license, number, n, own, least, block, band_rows(similarity)))
     return out
 
 
+def _window_minima(w, shingle, doc, sizes: list[int]) -> dict:
+    """For each block size (powers of two, ascending): the least hash of each
+    window under each function, and the windows' owner, start and end."""
+    per_doc = np.bincount(doc, minlength=w.n_docs)
+    begin = np.concatenate([[0], np.cumsum(per_doc)[:-1]])
+    out, below = {}, None
+    for size in sizes:
+        blocks = -(-per_doc // size)
+        owner = np.repeat(np.arange(w.n_docs), blocks)
+        zero = np.cumsum(blocks) - blocks
+        within = np.arange(len(owner)) - zero[owner]
+        start = begin[owner] + within * size
+        end = np.minimum(start + WINDOW * size, (begin + per_doc)[owner])
+        # a block of a larger size is made of whole blocks of the size below
+        first = start if below is None else below[1][owner] + within * (size // below[0])
+        out[size] = np.empty((HASHES, len(owner)), np.uint64), owner, start, end, first
+        below = size, zero
+    for i in range(HASHES):
+        least = _hashed(shingle, i)
+        for size in sizes:
+            into, owner, _, _, first = out[size]
+            least = np.minimum.reduceat(least, first)
+            span, reach = least.copy(), 1
+            while reach < WINDOW:  # of 1, 2, 4, ... blocks, as far as the document goes
+                step = min(reach, WINDOW - reach)
+                same = owner[step:] == owner[:-step]
+                span[:-step] = np.where(same, np.minimum(span[:-step], span[step:]), span[:-step])
+                reach += step
+            into[i] = span
+    return {size: x[:4] for size, x in out.items()}
+
+
+def _best_span(shingle, where, width: int):
+    """(different shingles, first, last place) of the span of at most ``width``
+    shingles with the most different ones of ``shingle[where]``; of equals the
+    shortest, then the first."""
+    _, code = np.unique(shingle[where], return_inverse=True)
+    places, code = where.tolist(), code.tolist()
+    count, different, left, best = [0] * len(places), 0, 0, (0, 0, 0)
+    for right, place in enumerate(places):
+        different += count[code[right]] == 0
+        count[code[right]] += 1
+        while place - places[left] >= width or count[code[left]] > 1:
+            count[code[left]] -= 1
+            different -= count[code[left]] == 0
+            left += 1
+        best = min(best, (-different, place - places[left], places[left]))
+    return -best[0], best[2], best[2] + best[1]
+
+
 def _matches(w, templates: list[Template], threshold: float):
-    """(document, template, containment, first word, last word) of the matching windows."""
+    """(document, template, containment, first word, last word) of the best span of each matching window."""
     shingle, first, doc = _text_shingles(w)
     if not len(shingle):
         return
-    per_doc = np.bincount(doc, minlength=w.n_docs)
-    begin = np.concatenate([[0], np.cumsum(per_doc)[:-1]])
-    for n in sorted({t.n_words for t in templates}):
-        blocks = -(-per_doc // n)
-        owner = np.repeat(np.arange(w.n_docs), blocks)
-        within = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        start = begin[owner] + within * n
-        follows = np.r_[owner[1:] == owner[:-1], False]
-        least = np.empty((HASHES, len(start)), np.uint64)
-        for i in range(HASHES):
-            block = np.minimum.reduceat(_hashed(shingle, i), start)
-            least[i] = np.where(follows, np.minimum(block, np.r_[block[1:], block[-1:]]), block)
-        end = np.where(follows, np.r_[start[1:], 0], start)
-        end = np.minimum(end + n, begin[owner] + per_doc[owner])
-        for t in (t for t in templates if t.n_words == n):
-            same = least == t.least[:, None]
-            bands = HASHES // t.rows
-            hit = same[:bands * t.rows].reshape(bands, t.rows, -1).all(axis=1).any(axis=0)
-            for at in np.flatnonzero(hit):
-                held = np.isin(shingle[start[at]:end[at]], t.shingles)
-                where = np.flatnonzero(held) + start[at]
-                part = len(np.unique(shingle[where])) / len(t.shingles)
-                if part >= threshold:
-                    yield int(owner[at]), t, part, int(first[where[0]]), int(first[where[-1]]) + SHINGLE - 1
+    found = _window_minima(w, shingle, doc, sorted({t.block for t in templates}))
+    for t in templates:
+        least, owner, start, end = found[t.block]
+        bands = HASHES // t.rows
+        hit = np.zeros(len(owner), bool)
+        for band in range(bands):
+            rows = slice(band * t.rows, (band + 1) * t.rows)
+            hit |= (least[rows] == t.least[rows, None]).all(axis=0)
+        for at in np.flatnonzero(hit):
+            where = np.flatnonzero(np.isin(shingle[start[at]:end[at]], t.shingles)) + start[at]
+            if len(where) < threshold * len(t.shingles):
+                continue
+            held, a, z = _best_span(shingle, where, STRETCH * t.n_words)
+            if held / len(t.shingles) >= threshold:
+                yield int(owner[at]), t, held / len(t.shingles), int(first[a]), int(first[z]) + SHINGLE - 1
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:

@@ -58,6 +58,25 @@ def test_licenses_match_brute_force(spark):
     assert op1.scan(table(spark, [])).count() == 0
 
 
+def test_words_put_into_a_notice_are_found_at_every_offset():
+    import pyarrow as pa
+    from sftforge.llm.wordhash import chunks
+    rng, known = random.Random(4), op1.prepare()
+    for number, run in ((1, 10), (3, 9), (4, 7), (6, 14)):
+        t = known[number]
+        words = folded(op1.TEMPLATES[number][1])
+        words[len(words) // 2:len(words) // 2] = [b"in%d" % i for i in range(run)]
+        notice = b" ".join(words).decode()
+        texts = [" ".join(["pad"] * k + [notice, prose(rng, 60)]) for k in range(2 * t.n_words)]
+        for offset, _, w in chunks(pa.array(texts), folded=True):
+            best: dict = {}
+            for doc, hit, part, a, z in op1._matches(w, known, op1.THRESHOLD):
+                if hit.number == number:
+                    best[doc] = max(best.get(doc, (0,)), (part, a - w.first[doc], z - w.first[doc]))
+            assert offset == 0 and {k: x[1:] for k, x in best.items()} == {
+                k: (k, k + len(words) - 1) for k in range(len(texts))}
+
+
 def test_band_settings_keep_their_promise():
     for s in (0.2, 0.3, 0.5, 0.8):
         r = op1.band_rows(s)
