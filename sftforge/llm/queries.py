@@ -102,4 +102,4 @@ def op2_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op1.scan(documents(spark, sf_dir))
+    return op1.scan(documents(spark, sf_dir), op1.production())

@@ -77,6 +77,22 @@ def test_words_put_into_a_notice_are_found_at_every_offset():
                 k: (k, k + len(words) - 1) for k in range(len(texts))}
 
 
+def test_production_templates_find_bodies_and_notices_anywhere(spark):
+    rng, known = random.Random(6), op1.production()
+    assert known[:len(op1.TEMPLATES)] == op1.TEMPLATES and len({x for x, _ in known}) >= 35
+    for t in op1.prepare(known):
+        similar = 0.8 * len(t.shingles) / (op1.WINDOW * t.block + 0.2 * len(t.shingles))
+        assert not t.rows or 1 - (1 - similar ** t.rows) ** (op1.HASHES // t.rows) >= op1.RECALL
+        assert (op1.WINDOW - 1) * t.block + 1 >= op1.STRETCH * t.n_words - op1.SHINGLE + 1
+    rows = [(k, prose(rng, rng.randint(0, 900)) + "\n" + text + "\n" + prose(rng, 40)) for k, (_, text) in enumerate(known)]
+    got = {(r.doc_id, r.template) for r in op1.scan(table(spark, rows), known).collect()}
+    assert {(k, k) for k in range(len(known))} <= got
+    asked = spark.createDataFrame([("X", "one two three four"), ("A", "some other short notice")], "license string, text string")
+    assert [t.license for t in op1.prepare(asked)] == ["A", "X"]
+    with pytest.raises(ValueError):
+        op1.prepare([("X", "a b c")] * (op1.MAX_TEMPLATES + 1))
+
+
 def test_band_settings_keep_their_promise():
     for s in (0.2, 0.3, 0.5, 0.8):
         r = op1.band_rows(s)
