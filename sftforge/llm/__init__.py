@@ -1,4 +1,4 @@
-"""Training-data pipeline operators: ten numbered operators and their queries.
+"""Training-data pipeline operators: thirteen numbered operators and their queries.
 
 Nothing else in the library imports this subpackage. Functions that run inside
 Spark tasks are pickled by value, so executors need numpy and pyarrow but no

@@ -18,6 +18,9 @@ from sftforge.llm import op7_quality_rules as op7
 from sftforge.llm import op8_sharding as op8
 from sftforge.llm import op9_best_fit_packing as op9
 from sftforge.llm import op10_sentencepiece as op10
+from sftforge.llm import op11_token_codes as op11
+from sftforge.llm import op12_spelling_variants as op12
+from sftforge.llm import op13_token_alignment as op13
 from sftforge.llm.common import documents
 from sftforge.sources.tables import table
 
@@ -103,3 +106,19 @@ def op2_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.scan(documents(spark, sf_dir), op1.production())
+
+
+@query
+def op11_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.group_variants(documents(spark, sf_dir))
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                      public_tokenizers.path("piece_bpe_32k.model"))
