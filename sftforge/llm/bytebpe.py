@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import sys
 from array import array
+from operator import itemgetter
 
-#: Words whose ids a task remembers at most; beyond it, it forgets them all.
-MEMO_WORDS = 500_000
+from sftforge.llm.common import once_a_worker
+
+#: Words whose ids a worker remembers at most; beyond it, it forgets them all.
+MEMO_WORDS = 700_000
+#: Words of these letters, and marks after them, need no whole tokenizer.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = ".,;:!?#*$%&"
+BIG = sys.byteorder == "big"
 
 
 def packed(ids) -> bytes:
     """Little-endian 32-bit numbers."""
     out = array("I", ids)
-    if sys.byteorder == "big":
+    if BIG:
         out.byteswap()
     return out.tobytes()
 
@@ -29,14 +37,13 @@ class ByteEncoder:
 
     ``plain_specials``: special tokens' strings inside texts are plain text."""
 
-    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&]*)")
     CUT = re.compile(r"(?<=\S) (?=\S)")
 
     def __init__(self, file: bytes, plain_specials: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(file.decode())
         self.tokenizer.encode_special_tokens = plain_specials
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         config = json.loads(file)
         split, model = config["pre_tokenizer"] or {}, config["model"]
         self.by_word = (
@@ -47,42 +54,45 @@ class ByteEncoder:
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(kept)]
         self.spelling = {b: chr(256 + i) for i, b in enumerate(rest)}  # the other bytes spell themselves
+        self.spelled = {c: "".join(self.spelling.get(b, chr(b)) for b in chr(c).encode()) for c in [32, *range(192, 256)]}
         self.first, self.later, self.parts = _Memo(self, ""), _Memo(self, " "), {}
         self.feed = self.whole("\n")
 
+    @classmethod
+    def of(cls, file: bytes, plain_specials: bool = False) -> "ByteEncoder":
+        """The worker's encoder of a file."""
+        name = f"{cls.__name__} {hashlib.sha256(file).hexdigest()} {plain_specials}"
+        return once_a_worker(name, lambda: cls(file, plain_specials))
+
     def part(self, text: str) -> bytes:
-        """Ids of a run of letters or of punctuation, with the space before it."""
-        ids = self.parts.get(text)
-        if ids is None:
-            if len(self.parts) >= MEMO_WORDS:
-                self.parts.clear()
-            if text.isascii():  # letters and punctuation spell themselves
-                spelled = text.replace(" ", self.spelling[32])
-            else:
-                spelled = text.encode().decode("latin-1").translate(self.spelling)
-            ids = self.parts[text] = packed([t.id for t in self.model.tokenize(spelled)])
+        """Ids of a run of letters or of marks, with the space before it."""
+        if len(self.parts) >= MEMO_WORDS:
+            self.parts.clear()
+        spelled = text.replace(" ", self.spelled[32]) if text.isascii() else text.translate(self.spelled)
+        ids = self.parts[text] = packed([t.id for t in self.tokenize(spelled)])
         return ids
 
-    def piece(self, text: str, head: str) -> bytes:
-        if m := self.PLAIN.fullmatch(text):
-            return self.part(head + m[1]) + (self.part(m[2]) if m[2] else b"")
-        return self.whole(head + text)
-
     def whole(self, text: str) -> bytes:
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def row(self, words: list[str]) -> bytes:
+        """Ids of words that one space separates."""
+        head, rest = self.first[words[0]], words[1:]
+        if len(rest) > 1:
+            return head + b"".join(itemgetter(*rest)(self.later))
+        return head + self.later[rest[0]] if rest else head
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.by_word or any(s in text for s in self.specials):
             return self.whole(text)
-        first, later, out = self.first, self.later, []
+        out = []
         for line in text.split("\n"):
             words = line.split()
             if not words or " ".join(words) != line:  # white space of another kind
-                words = self.CUT.split(text)
-                return first[words[0]] + b"".join([later[w] for w in words[1:]])
-            out.append(first[words[0]] + b"".join([later[w] for w in words[1:]]))
+                return self.row(self.CUT.split(text))
+            out.append(self.row(words))
         return self.feed.join(out)
 
 
@@ -94,7 +104,18 @@ class _Memo(dict):
         self.encoder, self.head = encoder, head
 
     def __missing__(self, word: str) -> bytes:
+        """Letters and the marks that follow them are words of their own."""
         if len(self) >= MEMO_WORDS:
             self.clear()
-        ids = self[word] = self.encoder.piece(word, self.head)
+        encoder, whole = self.encoder, self.head + word
+        letters = word.rstrip(MARKS)
+        if not letters or not (letters.isalpha() if letters.isascii() else LETTERS.fullmatch(letters)):
+            ids = encoder.whole(whole)
+        elif letters == word:
+            ids = encoder.parts.get(whole) or encoder.part(whole)
+        else:
+            base, marks = whole[:len(letters) - len(word)], word[len(letters):]
+            ids = ((encoder.parts.get(base) or encoder.part(base))
+                   + (encoder.parts.get(marks) or encoder.part(marks)))
+        self[word] = ids
         return ids

@@ -95,6 +95,18 @@ def hold(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def once_a_worker(name: str, make):
+    """In a task: what ``make()`` gives, kept for the later tasks of the same
+    Python worker (Spark uses workers again), such as a tokenizer and the words
+    it has seen. Only for what is the same under one name and of bounded size."""
+    import sys
+    import types
+    kept = sys.modules.setdefault("_sftforge_worker", types.ModuleType("_sftforge_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def remove_staged(spark: SparkSession) -> None:
     """Delete every staged folder; call it once all results are written."""
     while STAGED:

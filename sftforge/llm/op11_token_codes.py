@@ -52,12 +52,12 @@ STEP = 1 << 16
 def widths_of(lengths: np.ndarray) -> list[int]:
     """Chunk widths of least total size; ``lengths[b]`` ids have b bits. A
     level of width w costs w bits an entry, and 1.25 more if another follows
-    (its bitmap and directory). At most 16 bits a chunk."""
+    (its bitmap and directory). At most 8 bits a chunk."""
     top = max([b for b in range(len(lengths)) if lengths[b]] + [1])
     over = [int(lengths.sum())] + [int(lengths[b + 1:].sum()) for b in range(1, top + 1)]  # ids longer than b bits
     best: list = [None] * top + [(0.0, [])]
     for b in range(top - 1, -1, -1):
-        for w in range(1, min(16, top - b) + 1):
+        for w in range(1, min(8, top - b) + 1):
             rest = best[b + w]
             if rest is not None:
                 cost = over[b] * (w + (1.25 if b + w < top else 0)) + rest[0]
@@ -67,20 +67,41 @@ def widths_of(lengths: np.ndarray) -> list[int]:
 
 
 def pack_bits(values: np.ndarray, width: int) -> bytes:
-    """Numbers of ``width`` bits (16 at most) one after the other, highest bit first."""
+    """Numbers of ``width`` bits (8 at most) one after the other, highest bit
+    first: eight of them make ``width`` bytes."""
     out = []
     for at in range(0, len(values), STEP):
-        wide = values[at:at + STEP].astype(">u2")
-        bits = np.unpackbits(wide.view(np.uint8).reshape(-1, 2), axis=1)[:, 16 - width:]
-        out.append(np.packbits(bits).tobytes())  # STEP * width is a whole number of bytes
-    return b"".join(out) + b"\0\0"  # so that three bytes can be read from any number on
+        part = values[at:at + STEP]
+        eights = np.zeros((-(-len(part) // 8), 8), np.uint64)
+        eights.ravel()[:len(part)] = part
+        line = np.zeros(len(eights), np.uint64)
+        for i in range(8):
+            line |= eights[:, i] << np.uint64(width * (7 - i))
+        out.append(line.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width:].tobytes())
+    return b"".join(out) + b"\0"
+
+
+def packed_size(n: int, width: int) -> int:
+    return -(-n // 8) * width + 1  # one more, so that two bytes can be read from any number on
 
 
 def unpack_at(data: np.ndarray, width: int, places: np.ndarray) -> np.ndarray:
+    """The numbers at the given places."""
     bit = places * width
     byte = bit >> 3
-    three = (data[byte].astype(np.uint32) << 16) | (data[byte + 1].astype(np.uint32) << 8) | data[byte + 2]
-    return (three >> (24 - width - (bit & 7)).astype(np.uint32)) & np.uint32((1 << width) - 1)
+    two = (data[byte].astype(np.uint32) << 8) | data[byte + 1]
+    return (two >> (16 - width - (bit & 7)).astype(np.uint32)) & np.uint32((1 << width) - 1)
+
+
+def unpack_run(data: np.ndarray, width: int, start: int, n: int) -> np.ndarray:
+    """``n`` numbers from a place on."""
+    first, last = start // 8, -(-(start + n) // 8)
+    wide = np.zeros((last - first, 8), np.uint8)
+    wide[:, 8 - width:] = data[first * width:last * width].reshape(-1, width)
+    line, out = wide.view(">u8").ravel().astype(np.uint64), np.empty((last - first, 8), np.uint32)
+    for i in range(8):
+        out[:, i] = line >> np.uint64(width * (7 - i)) & np.uint64((1 << width) - 1)
+    return out.ravel()[start - 8 * first:][:n]
 
 
 class Bitmap:
@@ -127,7 +148,11 @@ class Bitmap:
 def write_codes(ids: np.ndarray, doc_ids: list, sizes: list[int]) -> bytes:
     """A file's bytes: ids of documents in a row, their doc_ids (null allowed) and numbers of ids."""
     ids = ids.astype(np.uint32)
-    lengths = np.bincount(np.frexp(ids.astype(np.float64))[1], minlength=2)  # bits of each id
+    different, times = ids, None
+    if len(ids) and ids.max() < 1 << 22:  # count ids before their bits
+        times = np.bincount(ids)
+        different = np.arange(len(times))
+    lengths = np.bincount(np.frexp(different.astype(np.float64))[1], times, 2).astype(np.int64)  # bits of each id
     widths = widths_of(lengths)
     parts = [struct.pack(HEADER, MAGIC, len(ids), len(doc_ids), len(widths)),
              np.array([i or 0 for i in doc_ids], "<i8").tobytes(),
@@ -135,7 +160,7 @@ def write_codes(ids: np.ndarray, doc_ids: list, sizes: list[int]) -> bytes:
              np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype("<i8").tobytes()]
     rest = ids
     for k, w in enumerate(widths):
-        parts += [struct.pack(LEVEL, w, len(rest)), pack_bits((rest & np.uint32((1 << w) - 1)).astype(np.uint16), w)]
+        parts += [struct.pack(LEVEL, w, len(rest)), pack_bits(rest & np.uint32((1 << w) - 1), w)]
         if k < len(widths) - 1:
             more = rest >> np.uint32(w)
             parts.append(Bitmap.build(more > 0).tobytes())
@@ -160,7 +185,7 @@ class Codes:
         for k in range(n_levels):
             width, n = struct.unpack_from(LEVEL, data, at)
             at += struct.calcsize(LEVEL)
-            size = -(-n * width // 8) + 2
+            size = packed_size(n, width)
             chunk, at = np.frombuffer(data, np.uint8, size, at), at + size
             bitmap = None
             if k < n_levels - 1:
@@ -191,7 +216,7 @@ class Codes:
             raise IndexError(f"{start} .. {start + n} is not within 0 .. {self.n}")
         out, open_, shift = np.zeros(n, np.uint32), None, 0
         for width, chunk, bitmap in self.levels:
-            values = unpack_at(chunk, width, np.arange(start, start + n)) << np.uint32(shift)
+            values = unpack_run(chunk, width, start, n) << np.uint32(shift)
             if open_ is None:
                 out = values
             else:
@@ -208,6 +233,17 @@ class Codes:
     def document(self, k: int) -> np.ndarray:
         return self.span(int(self.edges[k]), int(self.edges[k + 1] - self.edges[k]))
 
+    def documents(self):
+        """Every document's ids, in order; short ones are read in runs of about ``STEP`` ids."""
+        k, n_docs = 0, len(self.doc_ids)
+        while k < n_docs:
+            first = self.edges[k]
+            end = max(k + 1, int(np.searchsorted(self.edges, first + STEP, "right")) - 1)
+            run = self.span(int(first), int(self.edges[end] - first))
+            for at in range(k, end):
+                yield run[self.edges[at] - first:self.edges[at + 1] - first]
+            k = end
+
 
 def write_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID,
                 file_ids: int = FILE_IDS) -> None:
@@ -219,7 +255,7 @@ def write_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = E
 
     def run(batches):
         import pyarrow as pa
-        encoder, end = ByteEncoder(file.value), struct.pack("<I", end_id)
+        encoder, end = ByteEncoder.of(file.value), struct.pack("<I", end_id)
         doc_ids, sizes, data, total = [], [], [], 0
 
         def closed():
@@ -266,7 +302,7 @@ def read_files(spark: SparkSession, path: str, per_document) -> DataFrame:
                 sizes = np.diff(codes.edges)
                 n = len(sizes)
                 columns = [[part] * n, [number] * n, range(n), codes.doc_ids, codes.edges[:-1], sizes,
-                           [per_document(codes.document(k)) for k in range(n)]]
+                           [per_document(ids) for ids in codes.documents()]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftforge.llm.bytebpe import MEMO_WORDS, ByteEncoder, packed
-from sftforge.llm.common import bounded_batches, slim, stage
+from sftforge.llm.common import bounded_batches, once_a_worker, slim, stage
 from sftforge.llm.op10_sentencepiece import Encoder
 from sftforge.llm.sentencepiece_model import BYTE, SPACE
 
@@ -45,7 +45,7 @@ class SideA:
     """Ids and token bytes of the byte-level tokenizer."""
 
     def __init__(self, file: bytes):
-        self.encoder = ByteEncoder(file, plain_specials=True)
+        self.encoder = ByteEncoder.of(file, plain_specials=True)
         back = {self.encoder.spelling.get(b, chr(b)): b for b in range(256)}
         config = json.loads(file)
         vocab = dict(config["model"]["vocab"]) | {x["content"]: x["id"] for x in config["added_tokens"]}
@@ -216,7 +216,8 @@ def align_blocks(docs: DataFrame, file_a: str, file_b: str, block_bytes: int = B
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
-        aligner, number = Aligner(*files.value), TaskContext.get().partitionId() << 32
+        name = "aligner " + hashlib.sha256(files.value[0] + files.value[1]).hexdigest()
+        aligner, number = once_a_worker(name, lambda: Aligner(*files.value)), TaskContext.get().partitionId() << 32
         schema = pa.schema([("block", pa.int64()), *[(c, pa.binary()) for c in ("pairs", "held", "links")],
                             *[(c, pa.list_(pa.int64())) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")],
                             ("groups_sha256", pa.list_(pa.string()))])
