@@ -51,7 +51,18 @@ def stage(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     if compact:  # a shuffle of its own: a coalesced task would hold the sorts of many partitions at once
         df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the folders of results of :func:`stage` that nothing reads any more."""
+    for df in frames:
+        if df is not None and df._staged_at in STAGED:
+            STAGED.remove(df._staged_at)
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def without(df: DataFrame, names) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sftforge.llm.common import stage
+from sftforge.llm.common import release, stage
 
 
 def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -32,6 +32,9 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         new = stage(step.join(up, "comp", "left").select(
             "node", "old", F.least("comp", F.coalesce("up", "comp")).alias("comp")), "labels", compact=True)
         changed = new.filter("comp != old").limit(1).count()
+        release(now)
         now = new.select("node", "comp")
+        now._staged_at = new._staged_at
         if not changed:
+            release(both)
             return now

@@ -15,9 +15,14 @@ Classes are connected components. Equal texts are one node from the start. In
 each bucket the nodes are held against one hub, which joins groups of copies
 without all their pairs; in later rounds the hub is a random node of the
 bucket's largest component, and only nodes outside of it are held against it.
-Then every pair of a bucket whose nodes are still in different components and
-that was not tried yet is tried, so no link between classes that share a bucket
-is lost, whatever the bucket's size; inside a component no pair is needed.
+Pairs of a bucket whose nodes are then still in different components are tried
+too, so no link between classes that share a bucket is lost; inside a component
+no pair is needed. Buckets of up to ``SMALL`` nodes try all their pairs. Larger
+ones hold a node to the differences between its set and the set of one node for
+all buckets that hang together (:func:`far_links`): two sets are near exactly if
+their differences share enough, so pairs come from a join on the rarest of the
+differences, and a group of near copies gives pairs as it has links, not as the
+square of its size.
 
 Before its sets are fetched, a pair must agree in :func:`min_agree` registers,
 of which a few bits each are compared inside the join. A pair at the threshold
@@ -38,10 +43,10 @@ from __future__ import annotations
 from math import comb
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sftforge.llm.common import WHITE, held, slim, stage, text_or_empty
+from sftforge.llm.common import WHITE, held, release, slim, stage, text_or_empty
 from sftforge.llm.components import components
 from sftforge.llm.wordhash import Words, chunks, mix, shingles
 
@@ -51,9 +56,13 @@ REGISTERS = 125
 #: A pair at the threshold shares a band, and agrees in enough registers, with this probability each.
 RECALL = 0.9999
 #: Rounds with hubs before the remaining pairs are tried.
-HUB_ROUNDS = 4
+HUB_ROUNDS = 3
+#: Nodes of a bucket that tries all its remaining pairs.
+SMALL = 8
 CODE_LONGS = 8
 HAS_WORD = f"[^{WHITE}]"
+#: Bounds are compared with this much to spare, far below the step from one whole number to the next.
+EPS = 1e-6
 
 
 def band_rows(threshold: float) -> int:
@@ -194,6 +203,67 @@ def likely(x: str, y: str, threshold: float):
     return (small >= threshold * large) & (agreement(F.col(f"{x}.code"), F.col(f"{y}.code")) >= min_agree(threshold))
 
 
+def _difference(x, y):
+    """Arrow lists: the symmetric difference of two sets of shingles."""
+    import pyarrow as pa
+    parts = [np.setxor1d(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64), assume_unique=True)
+             for a, b in zip(x.to_pylist(), y.to_pylist())]
+    edge = np.cumsum([0] + [len(p) for p in parts])
+    return pa.LargeListArray.from_arrays(pa.array(edge), pa.array(np.concatenate([np.zeros(0, np.int64), *parts]))).cast(
+        pa.list_(pa.int64()))
+
+
+def far_links(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join all nodes of ``buckets`` (band, node, comp) which
+    are near each other, where comp is not the same already.
+
+    Buckets that share nodes form a family; its least node is the pivot. Let D(x)
+    be the symmetric difference of the sets of x and the pivot, so that x and y
+    differ in D(x) xor D(y). They are near iff that has at most
+    r * (|x| + |y|) elements, r = (1 - t) / (1 + t), that is iff D(x) and D(y)
+    share at least o = (|D(x)| + |D(y)| - r * (|x| + |y|)) / 2. One test a node
+    tells who is near the pivot. A pair that is still open has one node, x, that
+    is not; for it o is above 0, so of the differences in order of rarity the
+    first |D(x)| - o + 1 and |D(y)| - o + 1 share one, and the join on these finds
+    every pair. What edited copies lost of a common text is shared by many but
+    comes after what each has gained, which is rare."""
+    ratio = (1 - threshold) / (1 + threshold)
+    first = buckets.groupBy("band").agg(F.min("node").alias("a"))
+    family = components(buckets.select("band", F.col("node").alias("b")).join(first, "band").select("a", "b"))
+    nodes = family.select("node", F.col("comp").alias("pivot")).join(
+        buckets.groupBy("node").agg(F.first("comp").alias("comp")), "node")
+    with_sets = nodes.join(sets.select("node", F.col("set").alias("x")), "node").join(
+        sets.select(F.col("node").alias("pivot"), F.col("set").alias("y")), "pivot")
+    n = (F.octet_length("x") / 8).cast("long")
+    n_pivot = (F.octet_length("y") / 8).cast("long")
+    apart = stage(with_sets.select(
+        "pivot", "node", "comp", n.alias("n"), n_pivot.alias("n_pivot"),
+        F.arrow_udf(_difference, "array<long>")("x", "y").alias("other")).withColumn("d", F.size("other")).withColumn(
+        "far", F.col("d") > ratio * (F.col("n") + F.col("n_pivot")) + EPS), "op5-apart")
+    near_pivot = apart.filter("not far and node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    # only families with a far node have open pairs; their least far difference bounds what the others need
+    least = apart.filter("far").groupBy("pivot").agg(F.min("d").alias("least"))
+    each = apart.join(least, "pivot").select("pivot", "node", "comp", "n", "d", "far", "least",
+                                             F.explode("other").alias("shingle"))
+    often = each.groupBy("pivot", "shingle").agg(F.count("*").alias("often"))
+    rare = Window.partitionBy("pivot", "node").orderBy("often", "shingle")
+    most = F.col("n") * (1 - threshold) / threshold  # r * (|x| + |y|) for the longest y that can be near
+    needed = F.when(F.col("far"), F.least(most, F.col("d"))).otherwise((F.col("d") - F.col("least") + most) / 2)
+    each = (each.join(often, ["pivot", "shingle"]).withColumn("place", F.row_number().over(rare) - 1)
+            .filter(F.col("place") <= needed + EPS))
+    each = stage(each.select("pivot", "shingle", "node", "comp", "n", "d", "far", "place"), "op5-rare")
+    limit = ratio * (F.col("x.n") + F.col("y.n")) + EPS
+    more = F.col("x.d") - F.col("y.d")
+    x, y = each.filter("far").alias("x"), each.alias("y")
+    pairs = x.join(y, (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.shingle") == F.col("y.shingle"))
+                   & (F.col("x.comp") != F.col("y.comp")) & (~F.col("y.far") | (F.col("x.node") < F.col("y.node")))
+                   & (F.col("x.place") <= (limit + more) / 2) & (F.col("y.place") <= (limit - more) / 2))
+    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    links = stage(near_pivot.union(verified(pairs, sets, threshold)), "op5-links", compact=True)
+    release(apart, each, family)
+    return links
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node, class_id, comp of every row: the least doc_id among all
     rows whose texts are linked with the row's own (or, if there is none or it
@@ -211,6 +281,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = (docs.groupBy(F.md5(text_or_empty(F.col("text"))).alias("node")).agg(F.first("text").alias("text"))
              .join(wanted, "node"))
     sets = stage(texts.select("node", F.arrow_udf(_sets_of, "binary")("text").alias("set")), "op5-sets")
+    release(wanted)
     tried = labels = None
 
     def pairs_of(left: DataFrame, right: DataFrame, more) -> DataFrame:
@@ -222,6 +293,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         return stage(pairs, "op5-pairs", compact=True)
 
+    def linked(links: DataFrame) -> None:
+        """Take new links into the components."""
+        nonlocal labels
+        if links.limit(1).count():
+            before, labels = labels, components(links, labels)
+            release(before)
+        release(links)
+
     for turn in range(HUB_ROUNDS + 1):
         now = buckets.withColumn("comp", F.col("node"))
         if labels is not None:
@@ -229,23 +308,25 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         now = stage(now, "op5-now", compact=True)
         parts = now.groupBy("band", "comp").agg(
             F.count("*").alias("m"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "code", "n")).alias("hub"))
-        hubs = parts.groupBy("band").agg(F.max(F.struct("m", "comp", "hub")).alias("top"), F.count("*").alias("parts"))
-        hubs = stage(hubs.filter("parts > 1").select("band", "top.comp", "top.hub.*"), "op5-hubs", compact=True)
-        # nodes outside of their bucket's largest component
-        rest = now.join(hubs.select("band", F.col("comp").alias("major")), "band").filter("comp != major")
+        hubs = parts.groupBy("band").agg(F.max(F.struct("m", F.xxhash64("comp", F.lit(turn)), "comp", "hub")).alias("top"),
+                                         F.count("*").alias("parts"), F.sum("m").alias("size"))
+        hubs = stage(hubs.filter("parts > 1").select("band", "size", "top.comp", "top.hub.*"), "op5-hubs", compact=True)
         if turn < HUB_ROUNDS:
+            # nodes outside of their bucket's largest component
+            rest = now.join(hubs.select("band", F.col("comp").alias("major")), "band").filter("comp != major")
             pairs = pairs_of(rest, hubs, F.lit(True))
         else:
-            rest = stage(rest, "op5-rest", compact=True)
-            bands = rest.select("band").distinct()
-            pairs = pairs_of(rest, now.join(bands, "band"), (F.col("x.comp") != F.col("y.comp")) & (
-                (F.col("y.comp") == F.col("x.major")) | (F.col("x.node") < F.col("y.node"))))
-        if not pairs.limit(1).count():
-            continue
+            small = now.join(hubs.filter(F.col("size") <= SMALL).select("band"), "band")
+            pairs = pairs_of(small, small, (F.col("x.comp") != F.col("y.comp")) & (F.col("x.node") < F.col("y.node")))
+        linked(stage(verified(pairs, sets, threshold), "op5-links", compact=True))
+        if turn == HUB_ROUNDS:
+            large = now.join(hubs.filter(F.col("size") > SMALL).select("band"), "band").select("band", "node", "comp")
+            large = stage(large, "op5-large", compact=True)
+            if large.limit(1).count():
+                linked(far_links(large, sets, threshold))
+            release(large)
         tried = pairs if tried is None else tried.union(pairs)
-        links = stage(verified(pairs, sets, threshold), "op5-links", compact=True)
-        if links.limit(1).count():
-            labels = components(links, labels)
+        release(now, hubs)
     if labels is None:
         labels = nodes.select("node", F.col("node").alias("comp")).limit(0)
 

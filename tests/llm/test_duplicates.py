@@ -1,9 +1,10 @@
 """Operators 5 and 6 against brute force."""
 
+import random
 from collections import Counter
 
 import pytest
-from helpers import hard_rows, table, words
+from helpers import hard_rows, prose, table, words
 
 from sftforge.llm import op5_minhash_dedup as op5
 from sftforge.llm import op6_substring_dedup as op6
@@ -224,3 +225,46 @@ def test_automaton_counts_places():
     a.close()
     assert list(a.repeated_windows("xabcdx", 3)) == [3]  # abc at three places, bcd at one
     assert [n for _, n in a.matches("zabq")] == [1, 2, 3, 0]
+
+
+def edited_copies(seed, n, length=60):
+    """Copies of one text with edits around the threshold; some share edits, some are longer."""
+    rng = random.Random(seed)
+    base = prose(rng, length, 3000).split()
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for at in rng.sample(range(length), rng.randint(0, 6)):
+            w[at] = f"edit{at}" if rng.random() < 0.4 else f"own{i}x{at}"
+        if rng.random() < 0.3:
+            w += prose(random.Random(seed + i % 5), rng.randint(1, 20), 3000).split()
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("small", [0, op5.SMALL])
+def test_edited_copies_around_the_threshold(spark, monkeypatch, small):
+    monkeypatch.setattr(op5, "SMALL", small)
+    monkeypatch.setattr(op5, "HUB_ROUNDS", 1)
+    rows = hard_rows() + [(1000 + i, t) for i, t in edited_copies(1, 90)] + [(2000 + i, t) for i, t in edited_copies(2, 60, 45)]
+    docs = table(spark, rows)
+    want = brute_classes(rows)
+    digest = {op5_md5(t): t for _, t in rows}
+    got = Counter((r.doc_id, digest[r.node] or "", r.class_id) for r in op5.classes(docs).collect())
+    assert got == Counter((i, t or "", want[i, t]) for i, t in rows)
+    assert len({c for (i, _), c in want.items() if i is not None and (i < 30 or i >= 1000)}) > 20
+
+
+def test_pairs_follow_the_links_not_the_square(spark, monkeypatch):
+    counts, verified = [], op5.verified
+
+    def counted(pairs, sets, threshold):
+        pairs = pairs.persist()
+        counts[-1] += pairs.count()
+        return verified(pairs, sets, threshold)
+
+    monkeypatch.setattr(op5, "verified", counted)
+    for n in (100, 200, 400):
+        counts.append(0)
+        op5.classes(table(spark, edited_copies(3, n, 120))).count()
+    assert counts[2] < 3 * counts[1] and counts[2] < 400 * 40
