@@ -50,7 +50,7 @@ def stage(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     STAGED.append(path)
     if compact:  # a shuffle of its own: a coalesced task would hold the sorts of many partitions at once
         df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     staged._staged_at = path
     return staged

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftforge.llm.automaton import SuffixAutomaton
-from sftforge.llm.common import held, hold, slim, stage, text_or_empty, words
+from sftforge.llm.common import held, release, slim, stage, text_or_empty, words
 from sftforge.llm.wordhash import Words, chunks, mix, windows
 
 WINDOW = 35
@@ -99,7 +99,7 @@ def _anchor_rows(batches):
 def _passage_rows(batches):
     """(node, text, list of (anchor, first, last window)) -> node, first and
     last word, anchor, digest, passage."""
-    kinds = "string", "int32", "int32", "int64", "string", "string"
+    kinds = "binary", "int32", "int32", "int64", "binary", "string"
     names = ["node", "first", "last", "anchor", "digest", "passage"]
     rows = []
     for b in batches:
@@ -108,7 +108,7 @@ def _passage_rows(batches):
             for x in spots.as_py():
                 passage = b" ".join(w[x["first"]:x["last"] + WINDOW])
                 rows.append((node, x["first"], x["last"] + WINDOW - 1, x["anchor"],
-                             hashlib.md5(passage).hexdigest(), passage.decode()))
+                             hashlib.md5(passage).digest(), passage.decode()))
             if len(rows) >= OUT_ROWS:
                 yield _batch(rows, names, kinds)
                 rows = []
@@ -118,12 +118,12 @@ def _passage_rows(batches):
 
 def _window_rows(batches):
     """(node, first, passage) -> node, first, digest: each window as a passage of its own."""
-    kinds, names = ("string", "int32", "string"), ["node", "first", "digest"]
+    kinds, names = ("binary", "int32", "binary"), ["node", "first", "digest"]
     rows = []
     for b in batches:
         for node, first, passage in zip(*(c.to_pylist() for c in b.columns)):
             w = words(passage)
-            rows += [(node, first + i, hashlib.md5(b" ".join(w[i:i + WINDOW])).hexdigest())
+            rows += [(node, first + i, hashlib.md5(b" ".join(w[i:i + WINDOW])).digest())
                      for i in range(len(w) - WINDOW + 1)]
             if len(rows) >= OUT_ROWS:
                 yield _batch(rows, names, kinds)
@@ -148,7 +148,7 @@ def _shard_spans(batches):
             w = words(passage)
             auto.add(w, [(node, first + i) for i in range(len(w))])
             if several:  # another place that no row of the shard shows
-                auto.add(w, [("", first + i) for i in range(len(w))])
+                auto.add(w, [(b"", first + i) for i in range(len(w))])
         auto.close()
         nodes, firsts, lasts = [], [], []
         for passage, node, first, several in shard:
@@ -163,7 +163,7 @@ def _shard_spans(batches):
                 before = i
             if before is not None:
                 nodes.append(node), firsts.append(open_at), lasts.append(first + before)
-        return pa.RecordBatch.from_pydict({"node": pa.array(nodes, pa.string()),
+        return pa.RecordBatch.from_pydict({"node": pa.array(nodes, pa.binary()),
                                            "first": pa.array(firsts, pa.int32()),
                                            "last": pa.array(lasts, pa.int32())})
 
@@ -182,44 +182,53 @@ def _shard_spans(batches):
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """node, first, last (words, both inclusive) of the spans of repeated
     windows of each different text; spans may overlap."""
-    texts = docs.select(F.md5(text_or_empty(docs["text"])).alias("node"), text_or_empty(docs["text"]).alias("text"))
-    spots = stage(texts.mapInArrow(_anchor_rows, "node string, anchor long, first int, last int"), "op6-anchors")
+    texts = docs.select(node_of(docs["text"]).alias("node"), text_or_empty(docs["text"]).alias("text"))
+    spots = stage(texts.mapInArrow(_anchor_rows, "node binary, anchor long, first int, last int"), "op6-anchors")
     place = F.xxhash64("node", "first")
-    often = hold(spots.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-                 .filter("lo != hi").select("anchor"))
+    often = spots.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter("lo != hi")
     # a set, as copies of a text repeat its anchors; bounded by the text
-    listed = spots.join(often, "anchor").groupBy("node").agg(
+    listed = spots.join(often.select("anchor"), "anchor").groupBy("node").agg(
         F.collect_set(F.struct("anchor", "first", "last")).alias("spots"))
     once = texts.groupBy("node").agg(F.first("text").alias("text")).join(listed, "node")
     cut = stage(once.select("node", "text", "spots").mapInArrow(
-        _passage_rows, "node string, first int, last int, anchor long, digest string, passage string"), "op6-passages")
+        _passage_rows, "node binary, first int, last int, anchor long, digest binary, passage string"), "op6-passages")
+    release(spots)
 
-    # Equal passages, counted; node and first show one place of each.
+    # Equal passages, counted by digest; node and first show one place of each.
     kinds = stage(cut.groupBy("anchor", "digest").agg(
-        F.min(F.struct("node", "first", "passage")).alias("one"), F.count("*").alias("n")), "op6-kinds")
+        F.min(F.struct("node", "first")).alias("one"), F.count("*").alias("n")), "op6-kinds")
     known = kinds.filter("n > 1").select("anchor", "digest")
     equal = cut.select("node", "first", "last", "anchor", "digest").join(known, ["anchor", "digest"]).select(
         "node", "first", "last")
 
-    per_anchor = hold(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"))
-    few = (kinds.join(per_anchor.filter(F.col("kinds") <= SHARD_PASSAGES).select("anchor"), "anchor")
-           .select("anchor", "one.passage", "one.node", "one.first", (F.col("n") > 1).alias("several")))
+    per_anchor = stage(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "op6-counts",
+                       compact=True)
+    # only these passages' words move: one of each kind, where kinds differ
+    ones = (kinds.join(per_anchor.filter(F.col("kinds") <= SHARD_PASSAGES).select("anchor"), "anchor")
+            .select("anchor", "one.node", "one.first", (F.col("n") > 1).alias("several")))
+    few = ones.join(cut.select("anchor", "node", "first", "passage"), ["anchor", "node", "first"]).select(
+        "anchor", "passage", "node", "first", "several")
     matched = (few.repartition("anchor").sortWithinPartitions("anchor")
-               .mapInArrow(_shard_spans, "node string, first int, last int"))
+               .mapInArrow(_shard_spans, "node binary, first int, last int"))
 
-    many = hold(per_anchor.filter(F.col("kinds") > SHARD_PASSAGES).select("anchor"))
+    many = per_anchor.filter(F.col("kinds") > SHARD_PASSAGES).select("anchor")
     single = stage(cut.join(many, "anchor").select("node", "first", "passage").mapInArrow(
-        _window_rows, "node string, first int, digest string"), "op6-windows")
-    twice = hold(single.groupBy("digest").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-                 .filter("lo != hi").select("digest"))
+        _window_rows, "node binary, first int, digest binary"), "op6-windows")
+    twice = (single.groupBy("digest").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+             .filter("lo != hi").select("digest"))
     counted = single.join(twice, "digest").select("node", "first", (F.col("first") + WINDOW - 1).alias("last"))
     return equal.union(matched).union(counted)
 
 
+def node_of(text):
+    """A text's digest, 16 bytes."""
+    return F.unhex(F.md5(text_or_empty(text)))
+
+
 def marked(rows: DataFrame, text) -> DataFrame:
     """``rows`` with ``copied`` (another row has the same ``text``) and ``spans``
     (of repeated windows; null if none)."""
-    node = F.md5(text_or_empty(text))
+    node = node_of(text)
     spans = (repeated_spans(rows.select(text.alias("text"))).groupBy("node")
              .agg(F.collect_set(F.struct("first", "last")).alias("spans")))  # bounded by the text
     copied = rows.select(node.alias("node")).groupBy("node").agg((F.count("*") > 1).alias("copied"))
