@@ -17,7 +17,8 @@ neighbours; on clustered ones a smaller ``window_share`` does.
 
 Defined results: vectors that are null, zero, of another length than most, or
 hold null or non-finite components take no part, nor do rows without id; rows
-that repeat an id with an equal vector count once; ties go to the smaller id;
+that repeat an id with an equal vector count once, and of different vectors of
+one id that with the least digest stands for it; ties go to the smaller id;
 with fewer than ``k`` candidates all are returned; other columns are dropped.
 """
 
@@ -36,7 +37,9 @@ WINDOW_ROWS = 2048
 #: Vectors of a block: half a window, within these bounds, so that a query meets
 #: few blocks and a task holds a bounded one.
 BLOCK, MAX_BLOCK = 1024, 8192
-QUERY_CHUNK = 256
+QUERY_CHUNK = 4096
+#: Queries of a fast product, and pairs that are scored again at once.
+STEP, CELLS = 256, 1 << 14
 SEED = 77
 
 
@@ -91,6 +94,26 @@ def _matrix(column) -> np.ndarray:
     return np.array(column.to_pylist(), dtype=np.float64).reshape(len(column), -1)
 
 
+def best_of(x: np.ndarray, y: np.ndarray, low: np.ndarray, keep: int):
+    """(row of x, row of y, score) of the ``keep`` best rows of ``y`` for each of
+    ``x``, by score, then by smaller ``low``. Fast products, of any order of
+    summing, choose: whoever is within their rounding bound of the keep-th best
+    is scored again, always in one order of summing, so ties are ties."""
+    rough = x @ y.T
+    m = min(keep, len(y))
+    edge = -np.partition(-rough, m - 1, axis=1)[:, m - 1]
+    longest = np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1).max())
+    slack = 4 * (x.shape[1] + 2) * np.finfo(np.float64).eps * longest
+    row, at = np.nonzero(rough >= (edge - slack)[:, None])
+    score = np.concatenate([np.zeros(0), *((x[row[i:i + CELLS]] * y[at[i:i + CELLS]]).sum(axis=1)
+                                           for i in range(0, len(row), CELLS))])
+    order = np.lexsort((low[at], -score, row))
+    row, at, score = row[order], at[order], score[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    kept = place < keep
+    return row[kept], at[kept], score[kept]
+
+
 def points(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
            keep: int = K + 1) -> tuple[DataFrame, DataFrame, int]:
     """(rows, points, length): rows have id and key, points have key, point, vector and the
@@ -104,6 +127,8 @@ def points(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding"
     size = sizes[0]["size"] if sizes else 1
     rows = rows.filter(F.col("size") == size).drop("size").withColumn(
         "key", F.md5(F.concat_ws(",", F.transform("vector", lambda x: (x + 0.0).cast("string")))))
+    # one vector an id: of different ones that of the least key
+    rows = rows.groupBy("id").agg(F.min(F.struct("key", "vector")).alias("x")).select("id", "x.key", "x.vector")
     least = Window.partitionBy("key").orderBy("id")
     few = (rows.dropDuplicates(["key", "id"]).withColumn("n", F.row_number().over(least)).filter(F.col("n") <= keep)
            .groupBy("key").agg(F.first("vector").alias("vector"), F.array_sort(F.collect_list("id")).alias("ids")))
@@ -193,13 +218,10 @@ def nearest_points(lines: DataFrame, n: int, asked: DataFrame, keep: int = K + 1
             return kinds.empty_table()
         x, y = _matrix(q["vector"]), _matrix(c["vector"])
         ids, point, low = (t.to_numpy() for t in (q["point"], c["point"], c["low"]))
-        rough = x @ y.T
-        m = min(2 * keep, len(y))
-        at = np.argpartition(-rough, m - 1, axis=1)[:, :m]
-        score = (x[:, None, :] * y[at]).sum(axis=2)  # in one order of summing, whatever the block
-        order = np.lexsort((low[at], -score), axis=1)[:, :keep]
-        at, score = np.take_along_axis(at, order, 1), np.take_along_axis(score, order, 1)
-        return pa.table([np.repeat(ids, at.shape[1]), point[at].ravel(), low[at].ravel(), score.ravel()], schema=kinds)
+        out = [best_of(x[at:at + STEP], y, low, keep) for at in range(0, len(x), STEP)]
+        row, at, score = (np.concatenate(parts) for parts in zip(
+            *[(r + i * STEP, a, s) for i, (r, a, s) in enumerate(out)]))
+        return pa.table([ids[row], point[at], low[at], score], schema=kinds)
 
     group = ["curve", "block", "chunk"]
     queries, blocks = (x.toDF(*x.columns) for x in (queries, blocks))  # no column is of both

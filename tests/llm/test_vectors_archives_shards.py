@@ -54,6 +54,22 @@ def test_small_tables_are_searched_in_full(spark):
     assert op2.search(vectors(spark, []), lambda x: x % 20 == 0).count() == 0
 
 
+def test_ties_go_to_the_smaller_id_and_an_id_is_asked_once(spark):
+    rng = np.random.default_rng(6)
+    bits = [[float(b) for b in f"{i:08b}"] for i in range(1, 256)]
+    rows = [(i, v) for i, v in zip(rng.permutation(255).tolist(), bits)]  # scores are whole numbers: many ties
+    got: dict = {}
+    for r in op2.search(vectors(spark, rows), lambda x: x % 20 == 0).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    want = brute_nearest(rows)
+    assert {q: [x[k] for k in sorted(x)] for q, x in got.items()} == want
+    again = rows + [(20, [9.0] * 8), (20, [0.5] * 8)]
+    found = [(r.query_id, r.rank) for r in op2.search(vectors(spark, again), lambda x: x % 20 == 0).collect()]
+    assert len(found) == len(set(found)) == 13 * 20
+    x, y, low = np.array([[1.0, 1.0]]), np.array([[1.0, 0.0], [0.0, 1.0], [3.0, 0.0], [0.5, 0.5]]), np.array([9, 4, 7, 5])
+    assert [a.tolist() for a in op2.best_of(x, y, low, 3)] == [[0, 0, 0], [2, 1, 3], [3.0, 1.0, 1.0]]
+
+
 def test_windows_find_most_neighbours(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(40, 8)) * 2
