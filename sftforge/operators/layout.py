@@ -9,22 +9,26 @@ from pyspark.sql import functions as F
 RANK_BUCKETS = 1 << 16
 
 
-def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
-    """Deal compact rows over ``partitions`` (default: the session's shuffle
-    partitions) by ``keys``, before work that is heavy for each row. For tables
-    of few file splits; a table of many splits needs none of it."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *[F.col(k) for k in keys]) if keys else df.repartition(n)
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table with fewer splits than the session has cores over
+    all of them, before work that is heavy for each row. A table of more splits,
+    as any large one, is left as it is: its rows do not move."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def hash_rank(df: DataFrame, key: Column, *ties: str, out: str = "rank") -> DataFrame:
+def hash_rank(df: DataFrame, key: Column, *ties: Column | str, out: str = "rank",
+              counted: DataFrame | None = None) -> DataFrame:
     """Add the 0-based rank of each row by the hexadecimal hash ``key`` (then
     ``ties``), without a global sort: ranks inside each of ``RANK_BUCKETS``
-    leading-digit buckets, plus the number of rows in earlier buckets."""
-    x = df.withColumn("_key", key)
-    x = x.withColumn("_bucket", F.conv(F.substring("_key", 1, 4), 16, 10).cast("int"))
+    leading-digit buckets, plus the number of rows in earlier buckets. ``counted``
+    is a cheaper table that gives the same keys (as often), to count them in."""
+    def keyed(t):
+        return t.withColumn("_key", key).withColumn("_bucket", F.conv(F.substring("_key", 1, 4), 16, 10).cast("int"))
+
+    x = keyed(df)
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = (x.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    base = ((x if counted is None else keyed(counted)).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
             .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key", *ties)) - 1
     return (x.withColumn("_inside", inside).join(base, "_bucket")

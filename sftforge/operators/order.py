@@ -74,15 +74,19 @@ def batch_numbers(ids: DataFrame, batch_size: int, id_col: str = "conv_id",
 
 
 def collate(ex: DataFrame, batch_size: int, id_col: str = "conv_id", seed: int = K.SHUFFLE_SEED,
-            numbers: DataFrame | None = None) -> DataFrame:
+            ids: DataFrame | None = None) -> DataFrame:
     """Group examples into batches of ``batch_size`` in P6's order -> one
-    row per batch with stacked arrays; only the last batch may be smaller.
-    ``numbers`` (from :func:`batch_numbers`, e.g. over the ids of the table that
-    the examples come from) saves computing the examples twice. Weights are
-    padded (0.0) or cut to the batch width (longest ``input_ids``); missing
-    weights count as 1.0. Ids are unique."""
-    numbers = batch_numbers(ex, batch_size, id_col, seed) if numbers is None else numbers
-    ex = ex.join(numbers.select(id_col, F.col("position").alias("_rank"), "batch_no"), id_col)
+    row per batch with stacked arrays; only the last batch may be smaller. Each
+    example gets its place on its own row (no join on the id), so rows that
+    repeat an id, or have none, are batched each; they are ordered by their
+    contents. ``ids`` is a table with the examples' ids (as often as there),
+    which saves computing the examples twice, for the counts. Weights are padded
+    (0.0) or cut to the batch width (longest ``input_ids``); missing weights
+    count as 1.0."""
+    contents = F.xxhash64("input_ids", "labels")
+    ex = hash_rank(ex, shuffle_key(id_col, seed), id_col, contents, out="_rank",
+                   counted=None if ids is None else ids.select(id_col))
+    ex = ex.withColumn("batch_no", F.floor(F.col("_rank") / batch_size).cast("bigint"))
     has_w = "label_weights" in ex.columns
     item = F.struct(F.col("_rank"), F.col(id_col).alias("id"), "input_ids", "labels", "attention_mask",
                     (F.col("label_weights") if has_w else F.lit(None).cast("array<float>")).alias("w"))

@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sftforge.functions.text import DEFAULT_TEMPLATE, ChatTemplate, tokens
 
@@ -28,10 +29,12 @@ def build_vocabulary(df: DataFrame, size: int | None = None, text_col: str = "te
     template's markers, then every token (or the ``size`` most frequent) by
     (count desc, token asc).
 
-    Counting is a partial aggregation. Ranks come from groups of (count, first
-    characters): a window inside each group, and running totals over the much
-    shorter table of groups, so no task sorts the whole vocabulary. Store the
-    result and pass it on when several jobs encode with it."""
+    Counting is a partial aggregation. A token's rank is the sum of what stands
+    before it at four levels, each counted from the one below: doublings of the
+    count (64 at most, the only window over a whole table), counts of one
+    doubling, leading characters of one count, tokens of those. So no task orders
+    a table that grows with the vocabulary. Store the result and pass it on when
+    several jobs encode with it."""
     markers = template.markers
     toks = df.select(F.explode(tokens(F.col(text_col))).alias("token"))
     if markers:
@@ -39,12 +42,21 @@ def build_vocabulary(df: DataFrame, size: int | None = None, text_col: str = "te
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
     if size is not None:
         counts = counts.orderBy(F.desc("cnt"), F.asc("token")).limit(size)
-    counts = counts.withColumn("lead", F.substring("token", 1, RANK_PREFIX))
-    before = Window.orderBy(F.desc("cnt"), F.asc("lead")).rowsBetween(Window.unboundedPreceding, -1)
-    base = (counts.groupBy("cnt", "lead").agg(F.count(F.lit(1)).alias("n"))
-            .select("cnt", "lead", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
-    inside = F.row_number().over(Window.partitionBy("cnt", "lead").orderBy("token")) - 1
-    ranked = (counts.withColumn("inside", inside).join(base, ["cnt", "lead"])
+    levels = [["doubling"], ["doubling", "cnt"], ["doubling", "cnt", "lead"]]
+    counts = counts.withColumn("lead", F.substring("token", 1, RANK_PREFIX)).withColumn(
+        "doubling", F.floor(F.log2("cnt")).cast("int"))
+    sizes = [counts.groupBy(*levels[2]).agg(F.count(F.lit(1)).alias("n"))]
+    for level in (levels[1], levels[0]):
+        sizes.insert(0, sizes[0].groupBy(*level).agg(F.sum("n").alias("n")))
+    base = None
+    for level, rows in zip(levels, sizes):
+        order = Window.partitionBy(*level[:-1]).orderBy(F.asc("lead") if level[-1] == "lead" else F.desc(level[-1]))
+        inside = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        rows = rows.select(*level, inside.alias("inside"))
+        base = (rows.withColumnRenamed("inside", "base") if base is None else
+                rows.join(base, level[:-1]).select(*level, (F.col("base") + F.col("inside")).alias("base")))
+    inside = F.row_number().over(Window.partitionBy(*levels[2]).orderBy("token")) - 1
+    ranked = (counts.withColumn("inside", inside).join(base, levels[2])
               .select("token", (F.col("base") + F.col("inside") + 2 + len(markers)).cast("int").alias("id")))
     spark = df.sparkSession
     reserved = spark.createDataFrame(
@@ -55,26 +67,45 @@ def build_vocabulary(df: DataFrame, size: int | None = None, text_col: str = "te
 
 def encode(df: DataFrame, vocab: DataFrame, max_length: int | None = None, id_col: str = "id",
            text_col: str = "text", out: str = "input_ids", unk_id: int = UNK_ID,
-           carry: list | tuple = ()) -> DataFrame:
+           carry: list | tuple = (), blocks: int | None = None) -> DataFrame:
     """Rows -> ``input_ids`` (unknown tokens -> unk), truncated to
     ``max_length`` before the lookup; ``carry`` columns pass through. A null
     text has null ids, an empty one an empty array.
 
-    Tokens are exploded, joined with the vocabulary (Spark broadcasts it if its
-    size allows, else both sides are shuffled) and regrouped by row. Rows are
-    told apart by a number of their own, so they may repeat an id."""
-    t = tokens(F.col(text_col))
+    Dictionary encoding: rows are dealt into ``blocks`` (default: eight for each
+    shuffle partition) by a hash of id and text, compact. A block's different
+    tokens go to the vocabulary once each (Spark broadcasts it if its size allows,
+    else both sides are shuffled) and their ids come back to the block, where an
+    Arrow kernel looks all occurrences up at once; occurrences never move. Rows
+    are never taken apart and a block depends on contents alone, so ids may
+    repeat and a task that runs again finds the same block."""
+    kept = [id_col, *carry]
+    n = blocks or 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    t = tokens(F.col("_text"))
     t = F.slice(t, 1, max_length) if max_length is not None else t
-    rows = df.select(F.monotonically_increasing_id().alias("_row"), id_col, *carry,
-                     F.col(text_col).isNull().alias("_null"), t.alias("_toks"))
-    x = rows.select("_row", id_col, *carry, "_null", F.posexplode_outer("_toks").alias("_pos", "token"))
-    j = x.join(vocab.select("token", F.col("id").alias("_vid")), "token", "left")
-    item = F.when(F.col("_pos").isNotNull(),
-                  F.struct(F.col("_pos"), F.coalesce(F.col("_vid"), F.lit(unk_id)).alias("v")))
-    kept = [id_col, *carry, "_null"]
-    g = j.groupBy("_row").agg(*[F.first(c).alias(c) for c in kept], F.sort_array(F.collect_list(item)).alias("_l"))
-    ids = F.transform("_l", lambda e: e["v"]).cast("array<int>")
-    return g.select(id_col, *carry, F.when(~F.col("_null"), ids).alias(out))
+    block = F.pmod(F.xxhash64(id_col, text_col), F.lit(n)).cast("int")
+    rows = df.select(*kept, F.col(text_col).alias("_text"), block.alias("_block")).repartition("_block")
+    rows = rows.select(*kept, "_block", t.alias("_tokens"))
+    seen = rows.select("_block", F.explode("_tokens").alias("token")).distinct()
+    known = seen.join(vocab.select("token", F.col("id").cast("int").alias("_vid")), "token").select(
+        F.col("_block").alias("_of"), "token", "_vid")
+    schema = T.StructType([*[rows.schema[c] for c in kept], T.StructField(out, T.ArrayType(T.IntegerType()))])
+
+    def look_up(left, right):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        lists = left["_tokens"].combine_chunks()
+        if isinstance(lists, pa.ChunkedArray):  # no rows
+            lists = pa.array([], lists.type)
+        at = pc.index_in(lists.flatten(), value_set=right["token"].combine_chunks())
+        ids = pc.fill_null(right["_vid"].combine_chunks().take(at).cast(pa.int32()), unk_id)
+        edges = pc.cumulative_sum(pc.fill_null(pc.list_value_length(lists), 0))
+        edges = pa.concat_arrays([pa.array([0], pa.int32()), edges.cast(pa.int32())])
+        found = pa.ListArray.from_arrays(edges, ids, mask=lists.is_null())
+        return pa.table([*[left[c] for c in kept], found], names=[*kept, out])
+
+    return (rows.groupBy("_block").cogroup(known.groupBy("_of"))
+            .applyInArrow(look_up, schema))
 
 
 def encode_with(df: DataFrame, fn: Callable, max_length: int | None = None, text_col: str = "text",
@@ -96,18 +127,29 @@ def encode_with(df: DataFrame, fn: Callable, max_length: int | None = None, text
 
 
 def token_offsets(df: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """(id, pos, token, start, end) with code-point offsets.
-
-    The compact rows are hash-partitioned by id once; the running sum window
-    then reuses that partitioning (no shuffle of exploded tokens). A window
-    partition is one text, i.e. one input row."""
-    b = df.select(id_col, text_col).repartition(id_col)
-    x = b.select(id_col, F.posexplode(tokens(F.col(text_col))).alias("pos", "token"))
-    w = Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.length("token")).over(w), F.lit(0))
-    return (x.withColumn("pos", F.col("pos").cast("bigint"))
-             .withColumn("start", start.cast("bigint"))
-             .withColumn("end", (F.col("start") + F.length("token")).cast("bigint")))
+    """(id, pos, token, start, end) with code-point offsets. Narrow: the
+    starts of a row's tokens are running sums inside its own array, taken for all
+    arrays of an Arrow batch at once, so rows may repeat an id or have none and
+    nothing moves."""
+    @F.arrow_udf("array<int>")
+    def starts(lengths):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        values = lengths.flatten()
+        ends = pa.concat_arrays([pa.array([0], pa.int64()), pc.cumulative_sum(values.cast(pa.int64()))])
+        sizes = pc.fill_null(pc.list_value_length(lengths), 0).cast(pa.int64())
+        edges = pa.concat_arrays([pa.array([0], pa.int64()), pc.cumulative_sum(sizes)])
+        first = ends.take(edges.slice(0, len(lengths)))  # characters before each row
+        row = pc.list_parent_indices(lengths)
+        inside = pc.subtract(ends.slice(0, len(values)), first.take(row)).cast(pa.int32())
+        return pa.ListArray.from_arrays(edges.cast(pa.int32()), inside, mask=lengths.is_null())
+
+    t = df.select(id_col, tokens(F.col(text_col)).alias("_tokens"))
+    t = t.withColumn("_starts", starts(F.transform("_tokens", F.length)))
+    x = t.select(id_col, F.posexplode(F.arrays_zip("_tokens", "_starts")).alias("pos", "_t"))
+    start = F.col("_t._starts").cast("bigint")
+    return x.select(id_col, F.col("pos").cast("bigint").alias("pos"), F.col("_t._tokens").alias("token"),
+                    start.alias("start"), (start + F.length("_t._tokens")).cast("bigint").alias("end"))
 
 
 def truncate(df: DataFrame, max_length: int, tokens_col: str = "tokens",

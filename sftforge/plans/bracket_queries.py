@@ -23,7 +23,7 @@ KEEP_CLASS = r"[^()\[\]{}<>⟨]"
 
 def doc_sequences(spark, d):
     # spread: the text mapping is the heavy part; a single-split file would run it on one core
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     seq = F.regexp_replace(F.translate("text", MAP_FROM, MAP_TO), KEEP_CLASS, "")
     return docs.select(F.col("doc_id").alias("seq_id"), seq.alias("seq"))
 

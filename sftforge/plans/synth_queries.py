@@ -38,7 +38,7 @@ N = len(K.BRACKET_PAIRS)
 
 
 def order_tasks(spark, d):
-    rows = spread(table(spark, d, "orders").select(F.col("o_orderkey").alias("task_row")), "task_row")
+    rows = spread(table(spark, d, "orders").select(F.col("o_orderkey").alias("task_row")))
     return synth.assign_task_ids(rows, "task_row", CORPUS_SEED)
 
 

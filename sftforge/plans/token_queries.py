@@ -69,7 +69,7 @@ UNION ALL
 SELECT doc_id, CASE WHEN text IS NOT NULL THEN '' END AS ids_text, CASE WHEN text IS NOT NULL THEN 0 END::BIGINT AS n_tokens
 FROM documents WHERE coalesce(text, '') = ''""")
 def q_token_encode(spark, d):
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     e = TK.encode(docs, doc_vocab(spark, d), None, id_col="doc_id", text_col="text")
     n = F.when(F.col("input_ids").isNotNull(), F.size("input_ids")).cast("bigint")
     return e.select("doc_id", _csv("input_ids").alias("ids_text"), n.alias("n_tokens"))
@@ -84,7 +84,7 @@ SELECT doc_id, pos::BIGINT AS pos, token,
        sum(length(token)) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)::BIGINT AS "end"
 FROM t""")
 def q_token_offsets(spark, d):
-    return TK.token_offsets(table(spark, d, "documents"), "doc_id", "text").select(
+    return TK.token_offsets(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text").select(
         "doc_id", "pos", "token", "start", "end")
 
 
@@ -272,8 +272,7 @@ SELECT (rk // {BATCH})::BIGINT AS batch_no, count(*)::INTEGER AS n_examples,
        string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY rk) AS example_ids, sum(n)::BIGINT AS tokens
 FROM r GROUP BY rk // {BATCH}""")
 def q_batch_collate(spark, d):
-    numbers = O.batch_numbers(conv_texts(spark, d), BATCH, "conv_id")
-    b = O.collate(conv_examples(spark, d), BATCH, "conv_id", numbers=numbers)
+    b = O.collate(conv_examples(spark, d), BATCH, "conv_id", ids=conv_texts(spark, d))
     tokens = F.aggregate(F.col("attention_mask"), F.lit(0).cast("bigint"),
                          lambda acc, m: acc + F.aggregate(m, F.lit(0).cast("bigint"), lambda a, x: a + x))
     return b.select("batch_no", F.size("example_ids").cast("int").alias("n_examples"),

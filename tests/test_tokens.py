@@ -78,6 +78,52 @@ def test_encode_keeps_rows_apart(spark):
         assert got == sorted([(1, ab), (1, cd), (1, ab), (2, None), (3, [])], key=str)
 
 
+def test_encode_is_the_same_in_any_order_and_moves_no_occurrences(spark):
+    rows = [(i % 7 if i % 5 else None, f"w{i % 11} and w{i % 13} " * (i % 4), f"c{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, text string, mark string")
+    vocab = TK.build_vocabulary(df, size=10)
+    plain = TK.encode(df, vocab, carry=["mark"], blocks=5)
+    want = sorted(map(str, plain.collect()))
+    for other in (df.orderBy(F.rand(3)), df.repartition(7).sortWithinPartitions(F.desc("mark"))):
+        assert sorted(map(str, TK.encode(other, vocab, carry=["mark"], blocks=3).collect())) == want
+    lines = plain._jdf.queryExecution().sparkPlan().toString().splitlines()
+    first = next(i for i, x in enumerate(lines) if "Generate explode" in x)
+    above = [x for x in lines[:first] if "Aggregate" in x or "Join" in x or "CoGroup" in x]
+    assert "Aggregate" in above[-1]  # occurrences are made distinct before anything else happens to them
+
+
+def test_offsets_with_repeated_and_null_ids(spark):
+    rows = [(1, "ab cd"), (1, "x y"), (None, "é 12"), (2, None), (3, ""), (1, "ab cd")]
+    off = TK.token_offsets(spark.createDataFrame(rows, "id long, text string").repartition(2))
+    assert "Exchange" not in off._jdf.queryExecution().executedPlan().toString().split("Exchange RoundRobin")[0]
+    got = sorted(((r.id, r.pos, r.token, r.start, r.end) for r in off.collect()), key=str)
+    one = [(1, 0, "ab", 0, 2), (1, 1, " ", 2, 3), (1, 2, "cd", 3, 5)]
+    assert got == sorted([*one, *one, (1, 0, "x", 0, 1), (1, 1, " ", 1, 2), (1, 2, "y", 2, 3), (None, 0, "é", 0, 1),
+                          (None, 1, " ", 1, 2), (None, 2, "12", 2, 4)], key=str)
+
+
+def test_vocabulary_ranks_follow_count_and_token(spark):
+    from collections import Counter
+    words = [f"{'abcdefgh'[i % 8]}{'xyzé'[i % 4]}{'pq'[i % 2]}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(700)]
+    text = " ".join(w for i, w in enumerate(words) for _ in range(1 + i % 9))
+    df = spark.createDataFrame([(text,), (None,)], "text string")
+    got = {r.token: r.id for r in TK.build_vocabulary(df).collect()}
+    counts = Counter(w for i, w in enumerate(words) for _ in range(1 + i % 9))
+    counts[" "] = text.count(" ")
+    order = sorted(counts, key=lambda w: (-counts[w], w))
+    assert [w for w, i in sorted(got.items(), key=lambda x: x[1])][5:] == order and sorted(got.values()) == list(range(len(got)))
+
+
+def test_batches_keep_rows_that_repeat_an_id(spark):
+    rows = [(1, "a", "b"), (1, "c", "d e"), (None, "f", "g"), (None, "h", "i j"), (2, "k", "l"), (1, "a", "b")]
+    texts = _texts(spark, rows)
+    ex = X.build_examples(texts, TK.build_vocabulary(texts, text_col="full_text"), 16)
+    b = sorted(O.collate(ex, 4, ids=texts).collect(), key=lambda r: r.batch_no)
+    assert [len(r.example_ids) for r in b] == [4, 2]
+    got = sorted((str(i), ids[:sum(m)]) for r in b for i, ids, m in zip(r.example_ids, r.input_ids, r.attention_mask))
+    assert got == sorted((str(r.conv_id), r.input_ids[:r.n_tokens]) for r in ex.collect())
+
+
 def test_callers_tokenizer(spark):
     texts = _texts(spark, [(1, PROMPT, "think step\n\nFINAL ANSWER: ([])"), (2, "no marker", "plain answer")])
 
@@ -162,7 +208,7 @@ def test_collate(spark):
     order = [r.conv_id for r in O.shuffle(texts.select("conv_id"), "conv_id").collect()]
     assert [i for x in sorted(b, key=lambda x: x.batch_no) for i in x.example_ids] == order
     assert sorted(len(x.example_ids) for x in b) == [3, 4, 4, 4, 4, 4]
-    given = O.collate(ex, 4, numbers=O.batch_numbers(texts, 4)).collect()
+    given = O.collate(ex, 4, ids=texts).collect()
     assert sorted(map(str, given)) == sorted(map(str, b))
     assert all(len(w) == 16 for x in b for w in x.label_weights)
     audit = X.audit_examples(ex).first()
