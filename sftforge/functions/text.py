@@ -124,6 +124,13 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
+def each(items: Column) -> Column:
+    """A row for each item; also one null row for a null or empty array, which the
+    caller filters out. Plain ``explode`` would make Spark infer a filter on the
+    array's size and compute the array again for it, before any exchange."""
+    return F.explode_outer(items)
+
+
 _SLOT = re.compile(r"\{(\w+)\}")
 
 

@@ -5,22 +5,31 @@ pushes its closer; a closer on a non-empty stack pops (a *match* if it equals
 the top, a *mismatch* otherwise -- it pops anyway); a closer on an empty stack
 is *ignored*; any other character is *other* and changes nothing.
 
-Physical plan. The compact rows (one string per sequence) are hash-partitioned
-by ``seq_id`` once; exploding into characters is then narrow, and every later
-window (partitioned by ``seq_id`` or ``(seq_id, level)``) and aggregate (by
-``seq_id`` or ``(seq_id, pos)``) reuses that partitioning: one shuffle of
-compact strings, no shuffle of exploded rows. A window partition is one
-sequence, i.e. one input row, so its size is bounded by the row.
+Physical plan. A sequence of up to ``SEGMENT`` characters is walked where it
+lies: an Arrow kernel takes all sequences of a batch at once (running sums,
+running minima and sorts in numpy, no loop over characters) and gives arrays
+that are exploded beside the row. Nothing moves, so rows may repeat an id.
+
+A longer sequence is cut into segments that Spark deals out. A segment reduces
+to a pair (closers that reach before it, openers left open behind it); these
+pairs compose associatively, so running sums and minima over them (one row a
+segment) give the stack's height where each segment starts, and every segment is
+walked on its own from there. What it leaves open (one opening bracket and one
+closer a level at most) meets the others' by (sequence, level). So no task holds
+more than a segment, however long the sequence. Equal long rows are walked once.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sftforge.functions import constants as K
 
 OPEN, CLOSE, OTHER = "open", "close", "other"
+#: Characters that one task walks in a row.
+SEGMENT = 1 << 16
 
 
 def closer_of(ch: Column) -> Column:
@@ -32,67 +41,230 @@ def _base(df: DataFrame, id_col: str, seq_col: str, keep=()) -> DataFrame:
     return df.select(F.col(id_col).alias("seq_id"), F.col(seq_col).alias("seq"), *keep)
 
 
-def explode_brackets(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
-                     partition: bool = False, keep=()) -> DataFrame:
+def explode_brackets(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq", keep=()) -> DataFrame:
     """B1: (seq_id, pos, ch, kind) with 0-based ``pos``; the trace's step is
     pos + 1. Empty sequences give no rows. ``n`` = sequence length."""
     b = _base(df, id_col, seq_col, keep).filter(F.length("seq") > 0)
-    if partition:
-        b = b.repartition("seq_id")
     x = b.select("seq_id", F.length("seq").cast("bigint").alias("n"), *keep,
-                 F.posexplode(F.split("seq", "")).alias("pos", "ch"))
-    kind = (F.when(F.col("ch").isin(*K.OPENERS), F.lit(OPEN))
-             .when(F.col("ch").isin(*K.CLOSERS), F.lit(CLOSE)).otherwise(F.lit(OTHER)))
-    return x.withColumn("pos", F.col("pos").cast("bigint")).withColumn("kind", kind)
+                 F.posexplode_outer(F.split("seq", "")).alias("pos", "ch"))  # as functions.text.each
+    return x.withColumn("pos", F.col("pos").cast("bigint")).withColumn("kind", kind_of(F.col("ch")))
+
+
+def kind_of(ch: Column) -> Column:
+    return (F.when(ch.isin(*K.OPENERS), F.lit(OPEN)).when(ch.isin(*K.CLOSERS), F.lit(CLOSE)).otherwise(F.lit(OTHER)))
+
+
+WALK = ("struct<depth: array<int>, ignored: array<boolean>, event: array<string>, partner: array<int>, "
+        "top: array<string>, parent: array<int>, fault: array<string>>")
+EVENTS = ["other", "ignored", "open", "match", "mismatch", None]
+
+
+def _walk_kernel(parts: tuple):
+    """Arrow kernel: texts and the height at which each starts -> :data:`WALK`,
+    of which ``parts`` are made. Positions count from the text's start. A closer
+    whose opening bracket lies before the text has event and partner null; a top
+    that lies before it has a null parent."""
+    openers, closers, events = K.OPENERS, K.CLOSERS, EVENTS
+
+    def run(texts, heights):
+        import pyarrow as pa
+        rows = [t or "" for t in texts.to_pylist()]
+        size = np.array([len(t) for t in rows], np.int64)
+        edge = np.concatenate([[0], np.cumsum(size)])
+        total, n = int(edge[-1]), len(rows)
+        code = np.frombuffer("".join(rows).encode("utf-32-le"), np.uint32)
+        kind = np.full(total, -1, np.int64)  # 0 to 3: the opening bracket, 4 to 7: the closer
+        for k, c in enumerate(openers + closers):
+            kind[code == ord(c)] = k
+        is_open, is_close = (kind >= 0) & (kind < 4), kind >= 4
+        row = np.repeat(np.arange(n), size)
+        place = np.arange(total) - edge[row]
+        start = heights.to_numpy(zero_copy_only=False).astype(np.int64)
+        # one line for all rows, each far below the one before, with its start height in front
+        step = is_open.astype(np.int64) - is_close
+        far = int(start.max(initial=0) + size.max(initial=0) + 1) * 2
+        line = np.zeros(total + n, np.int64)
+        at = np.arange(total) + row + 1
+        line[at] = step
+        height = np.cumsum(line)
+        first = edge[:-1] + np.arange(n)
+        height += np.repeat(start - height[first], size + 1)
+        low = np.minimum.accumulate(np.minimum(height, 0) - np.repeat(np.arange(n), size + 1) * far)
+        low += np.repeat(np.arange(n), size + 1) * far
+        depth = (height - low)[at]
+        ignored = is_close & (low[at] < low[at - 1])
+
+        def lists(values, kind_of_value):
+            values = values if isinstance(values, pa.Array) else pa.array(values, kind_of_value)
+            return pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), values, mask=texts.is_null())
+
+        nothing = pa.nulls(n, pa.list_(pa.int32()))
+        no_text = pa.nulls(n, pa.list_(pa.string()))
+        out = {"depth": lists(depth, pa.int32()), "ignored": lists(ignored, pa.bool_()), "event": no_text,
+               "partner": nothing, "top": no_text, "parent": nothing, "fault": no_text}
+        if "event" in parts:
+            effective = is_close & ~ignored
+            level = np.where(is_open, depth, np.where(effective, depth + 1, -1))
+            some = np.flatnonzero(level >= 0)
+            order = some[np.lexsort((some, level[some], row[some]))]  # opening brackets and closers of a level alternate
+            same = (row[order][1:] == row[order][:-1]) & (level[order][1:] == level[order][:-1]) & is_open[order][:-1]
+            partner = np.full(total, -1, np.int64)
+            partner[order[:-1][same]], partner[order[1:][same]] = order[1:][same], order[:-1][same]
+            event = np.where(is_open, 2, np.where(ignored, 1, 0))
+            met = effective & (partner >= 0)
+            event[effective] = 5
+            event[met] = np.where(kind[met] - 4 == kind[partner[met]], 3, 4)
+            names = pa.array(events)
+            unclosed = is_open & (partner < 0)
+            out["event"] = lists(names.take(pa.array(event)), None)
+            out["partner"] = lists(pa.array(np.where(partner >= 0, partner - edge[row], 0), pa.int32(), mask=partner < 0), None)
+            fault = np.where(unclosed, 5, np.where((event == 2) | (event == 3) | (event == 5), 6, event))
+            out["fault"] = lists(pa.array([*events[:5], "unclosed", None]).take(pa.array(fault)), None)
+        if "top" in parts:
+            order = np.lexsort((np.arange(total), depth, row))
+            last = np.maximum.accumulate(np.where(is_open[order], np.arange(total), -1))
+            new = np.concatenate([[True], (row[order][1:] != row[order][:-1]) | (depth[order][1:] != depth[order][:-1])])[:total]
+            group = np.maximum.accumulate(np.where(new, np.arange(total), 0))
+            top = np.full(total, -1, np.int64)
+            found = (last >= group) & (depth[order] > 0)
+            top[order[found]] = order[last[found]]
+            none = top < 0
+            out["top"] = lists(pa.array(list(closers)).take(pa.array(np.where(none, 0, kind[top]), mask=none)), None)
+            out["parent"] = lists(pa.array(np.where(none, 0, top - edge[row]), pa.int32(), mask=none), None)
+        return pa.StructArray.from_arrays(list(out.values()), list(out), mask=texts.is_null())
+
+    return run
+
+
+def _reduce_kernel():
+    """Arrow kernel: closers that reach before each text, and openers that it leaves open."""
+    openers, closers = [ord(c) for c in K.OPENERS], [ord(c) for c in K.CLOSERS]
+
+    def run(texts):
+        import pyarrow as pa
+        down, up = [], []
+        for t in texts.to_pylist():
+            code = np.frombuffer(t.encode("utf-32-le"), np.uint32)
+            height = np.cumsum(np.isin(code, openers).astype(np.int64) - np.isin(code, closers))
+            down.append(-min(int(height.min(initial=0)), 0))
+            up.append(int(height[-1]) + down[-1] if len(height) else 0)
+        return pa.StructArray.from_arrays([pa.array(down, pa.int64()), pa.array(up, pa.int64())], ["down", "up"])
+
+    return run
+
+
+def _zipped(rows: DataFrame, cols, parts: tuple, start: Column) -> DataFrame:
+    """``rows`` with ``seq`` and ``w`` (:data:`WALK`) -> a row a character, ``pos`` from ``start``."""
+    fields = [F.split("seq", "").alias("ch"), F.col("w.depth"), F.col("w.ignored")]
+    fields += [F.col(f"w.{c}") for c in ("event", "partner", "fault")] if "event" in parts else []
+    fields += [F.col(f"w.{c}") for c in ("top", "parent")] if "top" in parts else []
+    x = rows.select(*cols, start.alias("_start"), F.posexplode_outer(F.arrays_zip(*fields)).alias("_pos", "_x"))
+    x = x.filter("_pos is not null").select(*cols, "_start", (F.col("_start") + F.col("_pos")).alias("pos"), "_x.*")
+    for c in ("partner", "parent"):
+        if c in x.columns:
+            x = x.withColumn(c, F.col(c) + F.col("_start"))
+    return x.withColumn("kind", kind_of(F.col("ch"))).withColumn("depth", F.col("depth").cast("bigint"))
+
+
+def _long_segments(b: DataFrame, keep) -> DataFrame:
+    """Segments of the long sequences of ``b``: _key (of each different row),
+    _copies, seg, seq, and the height at which each starts."""
+    size = SEGMENT
+
+    @F.arrow_udf("array<string>")
+    def cut(texts):
+        import pyarrow as pa
+        return pa.array([[t[i:i + size] for i in range(0, len(t), size)] for t in texts.to_pylist()],
+                        pa.list_(pa.string()))
+
+    rows = b.filter(F.length("seq") > SEGMENT).groupBy("seq_id", "seq", *keep).agg(F.count(F.lit(1)).alias("_copies"))
+    rows = rows.withColumn("_key", F.sha2(F.to_json(F.struct("seq_id", "seq", *keep)), 256))
+    segs = rows.select("_key", "seq_id", *keep, "_copies", F.length("seq").cast("bigint").alias("n"),
+                       F.posexplode(cut("seq")).alias("seg", "seq"))
+    segs = segs.repartition("_key", "seg")
+    pairs = segs.select("_key", "seg", F.arrow_udf(_reduce_kernel(), "struct<down: bigint, up: bigint>")("seq").alias("r"))
+    w = Window.partitionBy("_key").orderBy("seg")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    pairs = pairs.select("_key", "seg", "r.*").withColumn(
+        "_sum", F.coalesce(F.sum(F.col("up") - F.col("down")).over(before), F.lit(0)))
+    pairs = pairs.withColumn("_low", F.least(F.lit(0), F.coalesce(F.min(F.col("_sum") - F.col("down")).over(before), F.lit(0))))
+    return segs.join(pairs.select("_key", "seg", (F.col("_sum") - F.col("_low")).alias("height")), ["_key", "seg"])
+
+
+def _walk(df: DataFrame, id_col: str, seq_col: str, keep, parts: tuple) -> DataFrame:
+    """A row for each character with n, kind, depth, ignored, max_depth and what
+    ``parts`` (``event``, ``top``) ask for: event, partner, fault; top, parent."""
+    b = _base(df, id_col, seq_col, keep).filter(F.length("seq") > 0)
+    kernel = F.arrow_udf(_walk_kernel(parts), WALK)
+    cols = ["seq_id", "n", *keep, "max_depth"]
+    short = (b.filter(F.length("seq") <= SEGMENT).withColumn("n", F.length("seq").cast("bigint"))
+             .withColumn("w", kernel("seq", F.lit(0).cast("bigint")))
+             .withColumn("max_depth", F.array_max("w.depth").cast("bigint")))
+    short = _zipped(short, cols, parts, F.lit(0).cast("bigint")).drop("_start")
+    return short.unionByName(_walk_long(b, keep, parts, kernel, cols).select(*short.columns))
+
+
+def _walk_long(b: DataFrame, keep, parts: tuple, kernel, cols) -> DataFrame:
+    segs = _long_segments(b, keep).withColumn("w", kernel("seq", "height"))
+    most = segs.groupBy("_key").agg(F.max(F.array_max("w.depth")).cast("bigint").alias("max_depth"))
+    segs = segs.join(most, "_key")
+    mine = ["_key", "_copies", "seg", *cols]
+    x = _zipped(segs, mine, parts, F.col("seg").cast("bigint") * SEGMENT)
+    is_open = F.col("kind") == OPEN
+    if "event" in parts:
+        # what segments leave open, one bracket and one closer a level each at most
+        level = F.when(is_open, F.col("depth")).otherwise(F.col("depth") + 1)
+        left = x.filter((is_open | ((F.col("kind") == CLOSE) & ~F.col("ignored"))) & F.col("partner").isNull())
+        wl = Window.partitionBy("_key", "level").orderBy("pos")
+        left = left.select("_key", "pos", "ch", "kind", level.alias("level"))
+        other = lambda c: F.when(is_open, F.lead(c).over(wl)).otherwise(F.lag(c).over(wl))
+        left = left.withColumn("_partner", other("pos")).withColumn("_ch", other("ch"))
+        matched = F.when(closer_of(F.col("_ch")) == F.col("ch"), F.lit("match")).otherwise(F.lit("mismatch"))
+        left = left.select("_key", "pos", "_partner", F.when(~is_open, matched).alias("_event"))
+        x = x.join(left, ["_key", "pos"], "left")
+        x = x.withColumn("event", F.coalesce("event", "_event")).withColumn("partner", F.coalesce("partner", "_partner"))
+        fault = (F.when(F.col("event").isin("mismatch", "ignored", "other"), F.col("event"))
+                 .when(is_open & F.col("partner").isNull(), F.lit("unclosed")))
+        x = x.withColumn("fault", fault).drop("_partner", "_event")
+    if "top" in parts:
+        # the bracket on top where a segment starts, or under what it closes: the last one of that level before it
+        last = x.filter(is_open).groupBy("_key", "seg", F.col("depth").alias("level")).agg(
+            F.max_by(closer_of(F.col("ch")), "pos").alias("_top"), F.max("pos").alias("_parent"))
+        asked = x.filter(F.col("parent").isNull() & (F.col("depth") > 0)).select(
+            "_key", "seg", F.col("depth").alias("level")).distinct()
+        both = last.select("_key", "seg", "level", F.struct("_parent", "_top").alias("o")).unionByName(
+            asked.select("_key", "seg", "level", F.lit(None).cast("struct<_parent: bigint, _top: string>").alias("o")))
+        wl = Window.partitionBy("_key", "level").orderBy("seg").rangeBetween(Window.unboundedPreceding, -1)
+        both = both.withColumn("b", F.max("o").over(wl)).filter("o is null").select(
+            "_key", "seg", F.col("level").alias("depth"), F.col("b._top").alias("_top"), F.col("b._parent").alias("_parent"))
+        x = x.join(both, ["_key", "seg", "depth"], "left")
+        x = (x.withColumn("top", F.coalesce("top", "_top"))
+             .withColumn("parent", F.coalesce("parent", "_parent")).drop("_top", "_parent"))
+    # one row for each of the equal rows
+    return x.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_copy", "_start")
 
 
 def bracket_depth(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq", keep=()) -> DataFrame:
-    """B2: depth after each character and whether a closer was ignored.
+    """B2: depth after each character, whether a closer was ignored, and the
+    sequence's ``max_depth``.
 
     Depth is a *reflected* running sum: with S the running sum of +1/-1 and M
     the running minimum of min(0, S), depth = S - M. A closer is ignored iff it
     lowers that minimum (the stack was empty)."""
-    x = explode_brackets(df, id_col, seq_col, partition=True, keep=keep)
-    step = F.when(F.col("kind") == OPEN, 1).when(F.col("kind") == CLOSE, -1).otherwise(0)
-    w = Window.partitionBy("seq_id").orderBy("pos")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    x = x.withColumn("_s", F.sum(step).over(run))
-    x = (x.withColumn("_m", F.least(F.lit(0), F.min("_s").over(run)))
-          .withColumn("_pm", F.least(F.lit(0), F.coalesce(F.min("_s").over(before), F.lit(0)))))
-    return (x.withColumn("depth", (F.col("_s") - F.col("_m")).cast("bigint"))
-             .withColumn("ignored", (F.col("kind") == CLOSE) & (F.col("_s") < F.col("_pm")))
-             .drop("_s", "_m", "_pm"))
-
-
-def max_depth(depth: DataFrame) -> DataFrame:
-    """:func:`bracket_depth` output with ``max_depth`` of each sequence; the
-    window reuses the sequence's partitioning, so nothing moves again."""
-    return depth.withColumn("max_depth", F.max("depth").over(Window.partitionBy("seq_id")))
+    return _walk(df, id_col, seq_col, keep, ()).select(
+        "seq_id", "n", *keep, "pos", "ch", "kind", "depth", "ignored", "max_depth")
 
 
 def bracket_events(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq", keep=()) -> DataFrame:
-    """Event per character (open / match / mismatch / ignored / other) and
-    the partner position.
+    """Event per character (open / match / mismatch / ignored / other), the
+    partner position, and ``fault`` (mismatch, ignored, other, unclosed).
 
-    Level = depth after an open, depth before an effective close. Within
-    (seq_id, level) opens and closes alternate by position, so an open's
-    partner is the next row of its level and a close's partner the previous."""
-    d = bracket_depth(df, id_col, seq_col, keep)
-    is_open = F.col("kind") == OPEN
-    eff_close = (F.col("kind") == CLOSE) & ~F.col("ignored")
-    d = d.withColumn("level", F.when(is_open, F.col("depth")).when(eff_close, F.col("depth") + 1))
-    wl = Window.partitionBy("seq_id", "level").orderBy("pos")
-    nxt, prv, prv_ch = F.lead("pos").over(wl), F.lag("pos").over(wl), F.lag("ch").over(wl)
-    d = d.withColumn("_nxt", nxt).withColumn("_prv", prv).withColumn("_prv_ch", prv_ch)
-    event = (F.when(F.col("kind") == OTHER, F.lit("other"))
-              .when(F.col("ignored"), F.lit("ignored"))
-              .when(is_open, F.lit("open"))
-              .when(closer_of(F.col("_prv_ch")) == F.col("ch"), F.lit("match"))
-              .otherwise(F.lit("mismatch")))
-    partner = F.when(is_open, F.col("_nxt")).when(eff_close, F.col("_prv"))
-    return (d.withColumn("event", event).withColumn("partner_pos", partner.cast("bigint"))
-             .drop("_nxt", "_prv", "_prv_ch"))
+    Level = depth after an open, depth before an effective close. Opens and
+    closes of a level alternate by position, so an open's partner is the next
+    character of its level and a close's partner the previous."""
+    return _walk(df, id_col, seq_col, keep, ("event",)).select(
+        "seq_id", "n", *keep, "pos", "ch", "kind", "depth", "ignored", "max_depth", "event",
+        F.col("partner").cast("bigint").alias("partner_pos"), "fault")
 
 
 def closers_needed(seq: Column) -> Column:
@@ -124,12 +296,15 @@ def complete_brackets(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq
         return b.select("seq_id", need.alias("completion"), F.concat("seq", need).alias("completed"))
     if method != "relational":
         raise ValueError(f"unknown method {method!r}")
-    e = bracket_events(df, id_col, seq_col)
-    unclosed = (F.col("event") == "open") & F.col("partner_pos").isNull()
-    g = e.filter(unclosed).groupBy("seq_id").agg(
+    # equal rows are completed once, as rows are told apart by id and text
+    rows = b.groupBy("seq_id", "seq").agg(F.count(F.lit(1)).alias("_copies"))
+    rows = rows.withColumn("_of", F.sha2(F.to_json(F.struct("seq_id", "seq")), 256))
+    e = bracket_events(rows, "seq_id", "seq", keep=("_of",))
+    g = e.filter("fault = 'unclosed'").groupBy("_of").agg(
         F.sort_array(F.collect_list(F.struct("pos", closer_of(F.col("ch")).alias("c"))), asc=False).alias("_u"))
     need = F.coalesce(F.array_join(F.transform("_u", lambda x: x["c"]), ""), F.when(F.col("seq").isNotNull(), ""))
-    return (b.join(g, "seq_id", "left").withColumn("completion", need)
+    return (rows.join(g, "_of", "left").withColumn("completion", need)
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
             .select("seq_id", "completion", F.concat("seq", "completion").alias("completed")))
 
 
@@ -140,14 +315,8 @@ def stack_states(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq") ->
     before ``parent_pos``, so any whole stack can be followed down, and the
     output is linear in the input. For the stack as text on short sequences, see
     :func:`stack_texts`."""
-    d = bracket_depth(df, id_col, seq_col)
-    level = Window.partitionBy("seq_id", "depth").orderBy("pos").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    is_open = F.col("kind") == OPEN
-    return d.select(
-        "seq_id", "pos", "depth",
-        F.last(F.when(is_open, closer_of(F.col("ch"))), ignorenulls=True).over(level).alias("top"),
-        F.last(F.when(is_open, F.col("pos")), ignorenulls=True).over(level).alias("parent_pos"))
+    return _walk(df, id_col, seq_col, (), ("top",)).select(
+        "seq_id", "pos", "depth", "top", F.col("parent").cast("bigint").alias("parent_pos"))
 
 
 def stack_texts(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq") -> DataFrame:
@@ -175,14 +344,26 @@ def check_brackets(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
 
     Faults: mismatch, ignored, other, unclosed (an open without partner). The
     empty sequence is balanced; a null one gives nulls."""
-    e = bracket_events(df, id_col, seq_col)
-    fault = (F.when(F.col("event").isin("mismatch", "ignored", "other"), F.col("event"))
-              .when((F.col("event") == "open") & F.col("partner_pos").isNull(), F.lit("unclosed")))
-    aggs = [F.max("n").alias("length"), F.max("depth").alias("max_depth"),
-            F.min(F.when(fault.isNotNull(), F.struct(F.col("pos"), fault.alias("f")))).alias("_first")]
-    if cut is not None:
-        aggs.append(F.coalesce(F.max(F.when(F.col("pos") == cut - 1, F.col("depth"))), F.lit(0)).alias("_dcut"))
-    g = e.groupBy("seq_id").agg(*aggs)
+    b = _base(df, id_col, seq_col).filter(F.length("seq") > 0)
+    kernel = F.arrow_udf(_walk_kernel(("event",)), WALK)
+    parts = ["seq_id", "length", "max_depth", "_first", "_dcut"]
+    short = b.filter(F.length("seq") <= SEGMENT).withColumn("w", kernel("seq", F.lit(0).cast("bigint")))
+    # the first fault, without exploding
+    at = F.array_position(F.transform("w.fault", lambda x: x.isNotNull()), True)
+    first = F.when(at > 0, F.struct((at - 1).alias("pos"), F.element_at("w.fault", at.cast("int")).alias("f")))
+    short = short.select("seq_id", F.length("seq").cast("bigint").alias("length"),
+                         F.array_max("w.depth").cast("bigint").alias("max_depth"), first.alias("_first"),
+                         F.coalesce(F.try_element_at("w.depth", F.lit(cut)), F.lit(0)).cast("bigint").alias("_dcut")
+                         if cut else F.lit(0).cast("bigint").alias("_dcut"))
+    e = _walk_long(b, (), ("event",), kernel, ["seq_id", "n", "max_depth"])
+    # each copy of a row gives every character once
+    long = e.groupBy("_key").agg(
+        F.first("seq_id").alias("seq_id"), F.max("n").alias("length"), F.max("max_depth").alias("max_depth"),
+        F.min(F.when(F.col("fault").isNotNull(), F.struct(F.col("pos"), F.col("fault").alias("f")))).alias("_first"),
+        F.coalesce(F.max(F.when(F.col("pos") == (cut or 0) - 1, F.col("depth"))), F.lit(0)).alias("_dcut"),
+        F.max("_copies").alias("_copies"))
+    long = long.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    g = short.select(*parts).unionByName(long.select(*parts))
     out = g.select(
         "seq_id", "length", "max_depth",
         F.col("_first").isNull().alias("balanced"),

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sftforge.functions.text import DEFAULT_TEMPLATE, ChatTemplate, tokens
+from sftforge.functions.text import DEFAULT_TEMPLATE, ChatTemplate, each, tokens
 
 PAD_ID, UNK_ID = 0, 1
 #: Tokens of one count are ranked in groups by so many leading characters.
@@ -36,7 +36,7 @@ def build_vocabulary(df: DataFrame, size: int | None = None, text_col: str = "te
     a table that grows with the vocabulary. Store the result and pass it on when
     several jobs encode with it."""
     markers = template.markers
-    toks = df.select(F.explode(tokens(F.col(text_col))).alias("token"))
+    toks = df.select(each(tokens(F.col(text_col))).alias("token")).filter("token is not null")
     if markers:
         toks = toks.filter(~F.col("token").isin(*markers))
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
@@ -45,6 +45,8 @@ def build_vocabulary(df: DataFrame, size: int | None = None, text_col: str = "te
     levels = [["doubling"], ["doubling", "cnt"], ["doubling", "cnt", "lead"]]
     counts = counts.withColumn("lead", F.substring("token", 1, RANK_PREFIX)).withColumn(
         "doubling", F.floor(F.log2("cnt")).cast("int"))
+    # what the joins below would infer, said to every branch, so that all reuse one exchange of counts
+    counts = counts.filter("lead is not null and doubling is not null")
     sizes = [counts.groupBy(*levels[2]).agg(F.count(F.lit(1)).alias("n"))]
     for level in (levels[1], levels[0]):
         sizes.insert(0, sizes[0].groupBy(*level).agg(F.sum("n").alias("n")))
@@ -86,7 +88,7 @@ def encode(df: DataFrame, vocab: DataFrame, max_length: int | None = None, id_co
     block = F.pmod(F.xxhash64(id_col, text_col), F.lit(n)).cast("int")
     rows = df.select(*kept, F.col(text_col).alias("_text"), block.alias("_block")).repartition("_block")
     rows = rows.select(*kept, "_block", t.alias("_tokens"))
-    seen = rows.select("_block", F.explode("_tokens").alias("token")).distinct()
+    seen = rows.select("_block", each(F.col("_tokens")).alias("token")).filter("token is not null").distinct()
     known = seen.join(vocab.select("token", F.col("id").cast("int").alias("_vid")), "token").select(
         F.col("_block").alias("_of"), "token", "_vid")
     schema = T.StructType([*[rows.schema[c] for c in kept], T.StructField(out, T.ArrayType(T.IntegerType()))])
@@ -146,7 +148,8 @@ def token_offsets(df: DataFrame, id_col: str = "id", text_col: str = "text") ->
 
     t = df.select(id_col, tokens(F.col(text_col)).alias("_tokens"))
     t = t.withColumn("_starts", starts(F.transform("_tokens", F.length)))
-    x = t.select(id_col, F.posexplode(F.arrays_zip("_tokens", "_starts")).alias("pos", "_t"))
+    x = t.select(id_col, F.posexplode_outer(F.arrays_zip("_tokens", "_starts")).alias("pos", "_t")).filter(
+        "pos is not null")  # as functions.text.each
     start = F.col("_t._starts").cast("bigint")
     return x.select(id_col, F.col("pos").cast("bigint").alias("pos"), F.col("_t._tokens").alias("token"),
                     start.alias("start"), (start + F.length("_t._tokens")).cast("bigint").alias("end"))

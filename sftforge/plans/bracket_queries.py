@@ -69,8 +69,7 @@ def q_bracket_explode(spark, d):
 WITH {DEPTH_SQL}
 SELECT seq_id, pos, depth, ignored, max(depth) OVER (PARTITION BY seq_id) AS max_depth FROM d""")
 def q_bracket_depth(spark, d):
-    dep = B.bracket_depth(doc_sequences(spark, d))
-    return B.max_depth(dep).select("seq_id", "pos", "depth", "ignored", "max_depth")
+    return B.bracket_depth(doc_sequences(spark, d)).select("seq_id", "pos", "depth", "ignored", "max_depth")
 
 
 @register("bracket_events", f"WITH {EVENTS_SQL} SELECT seq_id, pos, ch, event, partner_pos FROM e")

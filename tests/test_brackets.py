@@ -88,3 +88,42 @@ def test_empty_and_null_sequences_keep_their_row(spark):
     assert (v["x"].balanced, v["x"].length, v["x"].length_ok, v["x"].cut_ok) == (True, 0, True, True)
     assert v["y"].balanced is None and v["z"].fault == "unclosed"
     assert {r.seq_id for r in B.stack_states(df).collect()} == {"z"}
+
+
+def _all_forms(df):
+    return [sorted(map(str, f.collect())) for f in (
+        B.bracket_depth(df), B.bracket_events(df), B.stack_states(df), B.check_brackets(df, length=30, cut=12, min_depth=4),
+        B.complete_brackets(df, method="relational"), B.explode_brackets(df))]
+
+
+def test_segments_give_what_whole_sequences_give(spark, monkeypatch):
+    rows = _random_rows(40, 5) + [(i, s + s) for i, s in _random_rows(20, 6)]  # ids repeat
+    rows += [(1, "(["), (1, ")]"), (None, "(()"), (None, "(()"), (7, "((((((((((((" + "))))))))))))))"), (7, None), (7, "")]
+    df = spark.createDataFrame(rows, "seq_id long, seq string").repartition(3)
+    whole = _all_forms(df)
+    for size in (3, 10):
+        monkeypatch.setattr(B, "SEGMENT", size)
+        assert _all_forms(df) == whole
+
+
+def test_rows_that_share_an_id_stay_apart(spark):
+    df = spark.createDataFrame([(1, "(["), (1, ")]"), (1, ")]")], "seq_id long, seq string")
+    got = sorted((r.pos, r.ch, r.event, r.partner_pos) for r in B.bracket_events(df).collect())
+    assert got == [(0, "(", "open", None), (0, ")", "ignored", None), (0, ")", "ignored", None),
+                   (1, "[", "open", None), (1, "]", "ignored", None), (1, "]", "ignored", None)]
+    assert sorted((r.length, r.max_depth, r.fault) for r in B.check_brackets(df).collect()) == [
+        (2, 0, "ignored"), (2, 0, "ignored"), (2, 2, "unclosed")]
+
+
+def test_a_long_sequence_is_walked_by_many_tasks(spark):
+    n = 300_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    times = F.col("id").cast("int") + n  # no constant, which would be folded into the plan
+    df = spark.range(1).select(F.lit(5).alias("seq_id"), F.concat(
+        F.repeat(F.lit("(["), times), F.repeat(F.lit("])"), times), F.lit(">x")).alias("seq"))
+    e = B.bracket_events(df).withColumn("task", F.spark_partition_id()).agg(
+        F.count("*").alias("n"), F.count_if(F.col("event") == "match").alias("match"), F.max("depth").alias("depth"),
+        F.count_if((F.col("event") == "open") & (F.col("partner_pos") != 4 * n - 1 - F.col("pos"))).alias("wrong"),
+        F.countDistinct("task").alias("tasks")).first()
+    assert (e.n, e.match, e.depth, e.wrong) == (4 * n + 2, 2 * n, 2 * n, 0) and e.tasks > 1
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
