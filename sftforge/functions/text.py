@@ -124,6 +124,28 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
+def one_json_value(text: Column) -> Column:
+    """``text`` as a VARIANT if it is one JSON value and nothing else, else null.
+    The parser stops after a value, so the text is parsed as the one element of an
+    array and as the one field of an object: both end where they should only if
+    it is a value of its own."""
+    alone = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    field = F.try_parse_json(F.concat(F.lit('{"c":'), text, F.lit("}")))
+    items = F.try_variant_get(alone, "$", "array<variant>")
+    return F.when((F.size(items) == 1) & F.try_variant_get(field, "$.c", "variant").isNotNull(), items[0])
+
+
+def json_kind(value: Column) -> Column:
+    """The type of a VARIANT's value: OBJECT, ARRAY, STRING, BIGINT, DECIMAL, DOUBLE,
+    BOOLEAN, VOID (JSON null); null if there is no value."""
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+
+
+def last_key_wins(spark) -> None:
+    """JSON objects that repeat a key keep its last value, as Python's reader does."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def each(items: Column) -> Column:
     """A row for each item; also one null row for a null or empty array, which the
     caller filters out. Plain ``explode`` would make Spark infer a filter on the

@@ -28,7 +28,7 @@ def last_messages(df: DataFrame, id_col: str = "conv_id", reasoning: str = "none
         idx = F.transform("conversation", lambda m, i: F.struct(i.alias("i"), m.alias("m")))
         u = F.try_element_at(F.filter(idx, lambda x: x["m"]["role"] == "user"), F.lit(-1))
         a = F.try_element_at(F.filter(idx, lambda x: x["m"]["role"] == "assistant"), F.lit(-1))
-        extra = [c for c in ("malformed", "line_no") if c in df.columns]
+        extra = [c for c in ("malformed", "errors", "line_no") if c in df.columns]
         out = df.select(
             id_col, *extra,
             u["m"]["content"].alias("user"), u["i"].cast("bigint").alias("user_turn"),
@@ -61,7 +61,8 @@ def last_messages(df: DataFrame, id_col: str = "conv_id", reasoning: str = "none
 
 def reject_reason(df: DataFrame) -> DataFrame:
     """Add ``reason`` (null = usable): malformed, missing_user,
-    missing_assistant, null_text (an explicit JSON null where text is needed).
+    missing_assistant, wrong_type (a number, list or object where text is needed;
+    from the reader's ``errors``), null_text (an explicit JSON null there).
     The audit's skip rule, used for preparation too."""
     r = F.when(F.lit(False), F.lit(None))
     if "malformed" in df.columns:
@@ -69,10 +70,20 @@ def reject_reason(df: DataFrame) -> DataFrame:
     r = (r.when(F.col("user_turn").isNull(), F.lit("missing_user"))
           .when(F.col("assistant_turn").isNull(), F.lit("missing_assistant"))
           .when(F.col("user").isNull() | F.col("assistant").isNull() | F.col("reasoning").isNull(),
-                F.lit("null_text")))
+                wrong_type(df)))
     return df.withColumn("reason", r)
 
 
+def wrong_type(df: DataFrame):
+    """Why a text that the last messages need is null: one of their ``errors``, or a JSON null."""
+    if "errors" not in df.columns:
+        return F.lit("null_text")
+    def has(turn, field):
+        return F.exists("errors", lambda e: e.startswith(F.concat(F.col(turn).cast("string"), F.lit(f": {field} is "))))
+    return F.when(has("user_turn", "content") | has("assistant_turn", "content")
+                  | has("assistant_turn", "reasoning_content"), F.lit("wrong_type")).otherwise(F.lit("null_text"))
+
+
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable rows, rejected rows with reason) from one classified frame."""
     c = reject_reason(df)

@@ -28,7 +28,7 @@ from sftforge.plans.chat_queries import COMPOSED_SQL, TOKEN_SQL
 from sftforge.plans.registry import register
 from sftforge.session import scratch_path
 from sftforge.sources.conversations import (
-    conversation_json, fold_turns, parse_conversation, read_conversations, read_lines, write_conversations,
+    conversation_json, fold_turns, messages_of, parse_conversation, read_conversations, read_lines, write_conversations,
 )
 from sftforge.sources.tables import table
 from sftforge.sources.tasks import read_tasks, task_json
@@ -320,8 +320,8 @@ def q_conversation_jsonl_sink(spark, d):
     """Folded conversations written as JSONL; the raw lines parsed back."""
     path = scratch_path(spark, "conversations-jsonl")
     write_conversations(fold_turns(table(spark, d, "conversations"), reasoning="previous_assistant"), path)
-    conv, _ = parse_conversation(F.col("value"))
-    c = spark.read.text(path).select(conv.alias("c"))
+    conv, _, _ = parse_conversation(F.col("_messages"))
+    c = spark.read.text(path).withColumn("_messages", messages_of(F.col("value"))).select(conv.alias("c"))
     return c.select(
         F.array_join(F.transform("c", lambda m: m["role"]), ",").alias("roles"),
         F.md5(F.array_join(F.transform("c", lambda m: m["content"]), "\x01")).alias("content_md5"),
@@ -377,6 +377,32 @@ def q_conversation_jsonl_rejects(spark, d):
     return c.groupBy(F.coalesce("reason", F.lit("usable")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
+# One line for each conversation whose last assistant message is of one of four kinds by the id.
+def typed_lines(rows, id_col):
+    kind = F.pmod(F.col(id_col), F.lit(4))
+    last = (F.when(kind == 0, F.lit('"content":5')).when(kind == 1, F.lit('"content":"first","content":["b"]'))
+            .when(kind == 2, F.lit('"content":7,"content":"last"')).otherwise(F.lit('"content":null')))
+    return rows.select(F.concat(F.lit('[{"role":"user","content":{"not":"needed"}},{"role":"user","content":"u"},'
+                                      '{"role":"assistant",'), last, F.lit("}]")).alias("value"))
+
+
+@register("conversation_type_rejects", """
+WITH l AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT CASE conv_id % 4 WHEN 2 THEN 'usable' WHEN 3 THEN 'null_text' ELSE 'wrong_type' END AS reason,
+       CASE conv_id % 4 WHEN 2 THEN 'last' END AS assistant, min(CASE conv_id % 4 WHEN 0 THEN
+         '0: content is OBJECT; 2: content is BIGINT' WHEN 1 THEN '0: content is OBJECT; 2: content is ARRAY'
+         ELSE '0: content is OBJECT' END) AS errors, count(*)::BIGINT AS n
+FROM l GROUP BY conv_id % 4""")
+def q_conversation_type_rejects(spark, d):
+    """S1 + P2 over lines whose texts are numbers, lists, objects or null, or whose
+    keys repeat: the reason of each kind, and the text that is used."""
+    path = scratch_path(spark, "conversations-jsonl")
+    typed_lines(table(spark, d, "conversations").select("conv_id").distinct(), "conv_id").write.text(path)
+    c = chat.reject_reason(chat.last_messages(read_conversations(spark, path, numbered=True), "line_no"))
+    return c.groupBy(F.coalesce("reason", F.lit("usable")).alias("reason"), "assistant",
+                     F.array_join("errors", "; ").alias("errors")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def first_letter_tokenizer(token_pattern=TOKEN_PATTERN):
     """A caller's tokenizer for the query below (a closure, so it ships by
     value): the covering tokens, each with the code point of its first
@@ -423,7 +449,8 @@ def q_line_cap(spark, d):
     path = scratch_path(spark, "synthetic-conversations")
     write_conversations(synthesized(spark, d).orderBy("task_row"), path)
     lines = cap_lines(read_lines(spark, path))
-    conv, _ = parse_conversation(py_strip(F.col("value")))
+    conv, _, _ = parse_conversation(F.col("_messages"))
+    lines = lines.withColumn("_messages", messages_of(py_strip(F.col("value"))))
     return lines.select("line_no", in_sample().alias("in_sample"), conv[1]["content"].alias("full_sequence"))
 
 
@@ -464,3 +491,24 @@ def q_task_record_rejects(spark, d):
     """The lines that are no task record, counted by their text."""
     t = read_tasks(spark, task_lines(spark, d)).filter("malformed")
     return t.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+# A record for each task with one wrongly typed or repeated field, by its row number.
+TYPED_FIELDS = ['"difficulty":"hard"', '"difficulty":2.5', '"metadata":{"seed":"abc","n_types":2}',
+                '"difficulty":1,"difficulty":3', '"answer":["a"],"metadata":7']
+TYPED_REASONS = ["difficulty is STRING", "difficulty is DECIMAL", "metadata.seed is STRING", None,
+                 "answer is ARRAY; metadata is BIGINT"]
+
+
+@register("task_record_reasons", f"""
+WITH {SPLIT_SQL}
+SELECT CASE task_row % 5 {' '.join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(TYPED_REASONS) if r)} END AS reason,
+       CASE task_row % 5 WHEN 2 THEN 1 WHEN 3 THEN 3 WHEN 4 THEN 1 END AS difficulty, count(*)::BIGINT AS n
+FROM sp GROUP BY task_row % 5""")
+def q_task_record_reasons(spark, d):
+    """Records whose fields are of another type than the table's, by reason."""
+    path = scratch_path(spark, "task-records")
+    kind = F.pmod("task_row", F.lit(len(TYPED_FIELDS)))
+    fields = F.element_at(F.array(*map(F.lit, TYPED_FIELDS)), (kind + 1).cast("int"))
+    main_split(spark, d).select(F.concat(F.lit('{"question":"q",'), fields, F.lit("}")).alias("value")).write.text(path)
+    return read_tasks(spark, path).groupBy("reason", "difficulty").agg(F.count(F.lit(1)).alias("n"))

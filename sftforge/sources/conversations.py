@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sftforge.functions.text import py_strip
+from sftforge.functions.text import json_kind, last_key_wins, one_json_value, py_strip
 
 MESSAGE_TYPE = T.StructType([
     T.StructField("role", T.StringType()),
@@ -20,6 +20,8 @@ MESSAGE_TYPE = T.StructType([
     T.StructField("reasoning_content", T.StringType()),
 ])
 CONVERSATION_TYPE = T.ArrayType(MESSAGE_TYPE)
+TEXT_FIELDS = ("content", "reasoning_content")
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Physical lines of UTF-8 text files, with their file-order keys.
@@ -51,52 +53,62 @@ def number_lines(lines: DataFrame) -> DataFrame:
             .drop("_first_mid", "_offset"))
 
 
-def parse_conversation(value: Column) -> tuple[Column, Column]:
-    """(conversation, malformed) from one stripped text line.
+def messages_of(value: Column) -> Column:
+    """The messages of a line, as an array of VARIANT; null if it is no JSON array."""
+    return F.when(value.startswith("["), F.try_variant_get(one_json_value(value), "$", "array<variant>"))
 
-    A line must hold one JSON *array* of objects and nothing else; a bare
-    object, an array of non-objects, a null element, single quotes, text after
-    the array or bad JSON is malformed. The line is parsed as the one element
-    of an array and as the one field of an object: both succeed only if the line
-    is a JSON value of its own.
-    """
-    strict = {"allowSingleQuotes": "false"}
-    whole = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<array<map<string,string>>>", strict)
-    alone = F.from_json(F.concat(F.lit('{"c":'), value, F.lit("}")), "c array<map<string,string>>", strict)["c"]
-    maps = F.when((F.size(whole) == 1) & alone.isNotNull(), whole[0])
 
-    def field(m, k):
-        return F.when(F.map_contains_key(m, k), m[k]).otherwise(F.lit(""))
+def parse_conversation(messages: Column) -> tuple[Column, Column, Column]:
+    """(conversation, malformed, errors) from one stripped text line's
+    :func:`messages_of`, which should be a column of its own, so that it is
+    parsed once.
 
-    conv = F.transform(maps, lambda m: F.struct(
-        F.coalesce(m["role"], F.lit("")).alias("role"),
-        field(m, "content").alias("content"),
-        field(m, "reasoning_content").alias("reasoning_content")))
-    malformed = (~value.startswith("[")) | maps.isNull() | F.exists(maps, lambda m: m.isNull())
+    A line must hold one JSON *array* of objects and nothing else; a bare
+    object, an array of non-objects, a null element, single quotes, text after
+    the array or bad JSON is malformed. ``errors`` names texts that are no text
+    ("1: content is BIGINT"); they read as null, so a conversation that needs
+    one of them is rejected, and one that does not is used. Where an object repeats
+    a key, its last value holds (see ``functions.text.last_key_wins``)."""
+    def field(m, name):
+        return F.try_variant_get(m, f"$.{name}", "variant")
+
+    def text(m, name, missing=""):
+        kind = json_kind(field(m, name))
+        return (F.when(kind.isNull(), F.lit(missing)).when(kind == "STRING", F.try_variant_get(m, f"$.{name}", "string"))
+                .otherwise(F.lit(None).cast("string")))
+
+    conv = F.transform(messages, lambda m: F.struct(
+        F.coalesce(text(m, "role"), F.lit("")).alias("role"), text(m, "content").alias("content"),
+        text(m, "reasoning_content").alias("reasoning_content")))
+    malformed = messages.isNull() | F.exists(messages, lambda m: F.coalesce(json_kind(m), F.lit("")) != "OBJECT")
+    wrong = F.transform(messages, lambda m, i: F.array_compact(F.array(*[
+        F.when(~json_kind(field(m, name)).isin("STRING", "VOID"),
+               F.concat(i.cast("string"), F.lit(f": {name} is "), json_kind(field(m, name)))) for name in TEXT_FIELDS])))
     conv = F.when(~malformed, conv).cast(CONVERSATION_TYPE)
-    return conv, malformed
+    return conv, malformed, F.when(~malformed, F.flatten(wrong))
 
 
 def read_conversations(spark: SparkSession, path: str, max_lines: int | None = None,
                        numbered: bool = False) -> DataFrame:
-    """JSONL conversations -> DF(line_no?, value, conversation, malformed).
+    """JSONL conversations -> DF(line_no?, value, conversation, malformed, errors).
 
     Lines are stripped; blank lines are dropped. Bad lines are kept with
     ``malformed = true`` instead of failing the job. ``line_no`` (asked for with
     ``numbered``, or by the physical line cap ``max_lines``, which counts blank
     lines as the audit does) tells every line apart, equal ones too.
     """
+    last_key_wins(spark)
     lines = read_lines(spark, path)
     if numbered or max_lines is not None:
         lines = number_lines(lines)
     if max_lines is not None:
         lines = lines.filter(F.col("line_no") < max_lines)
     v = py_strip(F.col("value"))
-    conv, malformed = parse_conversation(v)
+    conv, malformed, errors = parse_conversation(F.col("_messages"))
     keep = [c for c in ("line_no",) if c in lines.columns]
     return (lines.withColumn("value", v)
-            .filter(F.col("value") != "")
-            .select(*keep, "value", conv.alias("conversation"), malformed.alias("malformed")))
+            .filter(F.col("value") != "").withColumn("_messages", messages_of(F.col("value")))
+            .select(*keep, "value", conv.alias("conversation"), malformed.alias("malformed"), errors.alias("errors")))
 
 
 def conversation_json(conv: Column) -> Column:

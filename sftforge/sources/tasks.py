@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sftforge.functions.text import py_strip
+from sftforge.functions.text import json_kind, one_json_value, last_key_wins, py_strip
 
 METADATA_TYPE = T.StructType([
     T.StructField("seed", T.LongType()),
@@ -33,23 +33,43 @@ def empty_metadata() -> Column:
     return F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in METADATA_TYPE.fields])
 
 
-def parse_task(value: Column) -> Column:
-    """JSON text -> task struct with defaults question "", answer "",
-    difficulty 1, metadata {} (all fields null), gpt_response "", and
-    ``metadata_json``, the metadata object's own text with all its keys. Null
-    unless the text is one JSON object and nothing else."""
-    strict = {"allowSingleQuotes": "false"}
-    whole = F.from_json(F.concat(F.lit("["), value, F.lit("]")), T.ArrayType(TASK_TYPE), strict)
-    alone = F.from_json(F.concat(F.lit('{"c":'), value, F.lit("}")), T.StructType([T.StructField("c", TASK_TYPE)]),
-                        strict)["c"]
-    t = F.when(value.startswith("{") & (F.size(whole) == 1) & alone.isNotNull(), whole[0])
-    return F.when(t.isNotNull(), F.struct(
-        F.coalesce(t["question"], F.lit("")).alias("question"),
-        F.coalesce(t["answer"], F.lit("")).alias("answer"),
-        F.coalesce(t["difficulty"], F.lit(1)).alias("difficulty"),
-        F.coalesce(t["metadata"], empty_metadata()).alias("metadata"),
-        F.coalesce(t["gpt_response"], F.lit("")).alias("gpt_response"),
-        F.coalesce(F.get_json_object(value, "$.metadata"), F.lit("{}")).alias("metadata_json")))
+#: JSON kinds that a column of each type takes.
+KINDS = {"string": ("STRING",), "int": ("BIGINT",), "bigint": ("BIGINT",)}
+
+
+def parse_task(v: Column) -> Column:
+    """The VARIANT of a line (a column of its own, so that it is parsed once) -> task struct with defaults question "", answer "",
+    difficulty 1, metadata {} (all fields null), gpt_response "" for what is
+    missing or null, ``metadata_json``, the metadata object's text with all its
+    keys, and ``errors``, which name the fields whose value is of another type
+    ("difficulty is STRING"; such a field reads as null). Null unless the text
+    is one JSON object and nothing else. Where an object repeats a key, its last
+    value holds (see ``functions.text.last_key_wins``)."""
+    def get(path, kind):
+        return F.try_variant_get(v, path, kind)
+
+    def wrong(name, kinds):
+        kind = json_kind(get(f"$.{name}", "variant"))
+        return F.when(~kind.isin(*kinds, "VOID"), F.concat(F.lit(f"{name} is "), kind))
+
+    def typed(name, kind, default=None):
+        found = json_kind(get(f"$.{name}", "variant"))
+        ok = F.when(found.isin(*KINDS[kind]), get(f"$.{name}", kind))
+        return ok if default is None else F.when(found.isNull() | (found == "VOID"), F.lit(default)).otherwise(ok)
+
+    inner = [(f.name, f.dataType.simpleString()) for f in METADATA_TYPE.fields]
+    is_object = json_kind(get("$.metadata", "variant")) == "OBJECT"
+    errors = [wrong(name, KINDS[kind]) for name, kind in
+              (("question", "string"), ("answer", "string"), ("difficulty", "int"), ("gpt_response", "string"))]
+    errors.append(wrong("metadata", ("OBJECT",)))
+    errors += [F.when(is_object, wrong(f"metadata.{name}", KINDS[kind])) for name, kind in inner]
+    metadata = F.struct(*[F.when(is_object, typed(f"metadata.{name}", kind)).alias(name) for name, kind in inner])
+    return F.when(json_kind(v) == "OBJECT", F.struct(
+        typed("question", "string", "").alias("question"), typed("answer", "string", "").alias("answer"),
+        typed("difficulty", "int", 1).alias("difficulty"), metadata.alias("metadata"),
+        typed("gpt_response", "string", "").alias("gpt_response"),
+        F.coalesce(F.when(is_object, F.to_json(get("$.metadata", "variant"))), F.lit("{}")).alias("metadata_json"),
+        F.array_compact(F.array(*errors)).alias("errors")))
 
 
 def task_json(df: DataFrame) -> Column:
@@ -73,10 +93,14 @@ def write_tasks(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_tasks(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines -> task table; unparsable lines get ``malformed = true`` (and
-    keep their text in ``value``)."""
+    """JSON lines -> task table; lines that are no record get ``malformed = true``
+    (and keep their text in ``value``). ``reason`` says why a row is a reject:
+    malformed, or its ``errors``; null for a good record."""
+    last_key_wins(spark)
     lines = spark.read.text(path).select(py_strip(F.col("value")).alias("value"))
-    t = parse_task(F.col("value"))
     return (lines.filter(F.col("value") != "")
-            .select("value", t.alias("_t"))
-            .select("value", F.col("_t.*"), F.col("_t").isNull().alias("malformed")))
+            .select("value", F.when(F.col("value").startswith("{"), one_json_value(F.col("value"))).alias("_v"))
+            .select("value", parse_task(F.col("_v")).alias("_t"))
+            .select("value", F.col("_t.*"), F.col("_t").isNull().alias("malformed"))
+            .withColumn("reason", F.when(F.col("malformed"), F.lit("malformed")).when(
+                F.size("errors") > 0, F.array_join("errors", "; "))))

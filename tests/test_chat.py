@@ -169,3 +169,18 @@ def test_round_trip_jsonl(spark, tmp_out):
     assert not back.malformed
     assert [(m.role, m.content, m.reasoning_content) for m in back.conversation] == [
         ("user", "é ü 😀", ""), ("assistant", 'x"y', "")]
+
+
+def test_wrongly_typed_texts_are_rejected_with_a_reason(spark, tmp_out):
+    lines = ['[{"role":"user","content":"a"},{"role":"assistant","content":5}]',
+             '[{"role":"user","content":{"x":1}},{"role":"user","content":"a"},{"role":"assistant","content":"b"}]',
+             '[{"role":"user","content":"a"},{"role":"assistant","content":"b","content":"c"}]',
+             '[{"role":"user","content":"a"},{"role":"assistant","content":"b","reasoning_content":[1]}]',
+             '[{"role":"user","content":null},{"role":"assistant","content":"b"}]', '[1]', '[{}] [{}]', '[{}],[{}]', "[null]"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmp_out}/lines")
+    back = read_conversations(spark, f"{tmp_out}/lines", numbered=True)
+    got = {r.line_no: (r.reason, r.assistant, r.errors)
+           for r in chat.reject_reason(chat.last_messages(back, "line_no")).collect()}
+    assert got == {0: ("wrong_type", None, ["1: content is BIGINT"]), 1: (None, "b", ["0: content is OBJECT"]),
+                   2: (None, "c", []), 3: ("wrong_type", "b", ["1: reasoning_content is ARRAY"]),
+                   4: ("null_text", "b", []), **{i: ("malformed", None, None) for i in range(5, 9)}}
