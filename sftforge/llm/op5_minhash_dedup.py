@@ -56,7 +56,7 @@ REGISTERS = 125
 #: A pair at the threshold shares a band, and agrees in enough registers, with this probability each.
 RECALL = 0.9999
 #: Rounds with hubs before the remaining pairs are tried.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 1
 #: Nodes of a bucket that tries all its remaining pairs.
 SMALL = 8
 CODE_LONGS = 8
