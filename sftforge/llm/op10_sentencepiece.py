@@ -13,7 +13,8 @@ Decoding joins the pieces' bytes: space marks turn into spaces, the added first
 one goes, byte pieces join to characters, and a byte that is part of none
 becomes U+FFFD.
 
-Defined results: a null or empty text has no ids and decodes to the empty text;
+Defined results: a very long text is worked on whole, by the task that holds it;
+a null or empty text has no ids and decodes to the empty text;
 null or control ids decode to nothing; ties cannot occur (the model orders its
 merges); repeated rows are encoded each; an empty table gives no rows; other
 columns are dropped.

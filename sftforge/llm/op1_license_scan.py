@@ -17,7 +17,8 @@ The templates are an argument, (license, text) pairs or a table of them whose
 size is checked (:func:`template_rows`); only they are sent to the tasks. The
 query takes :func:`production`. Texts never leave their task.
 
-Defined results: null, empty and very short texts match nothing; a text may
+Defined results: a very long text is worked on whole, by the task that holds it;
+null, empty and very short texts match nothing; a text may
 match several templates, and each several times (``occurrences`` counts spans
 that do not overlap; the best, first of equals, is reported); repeated rows are
 reported each; an empty table gives no rows; other columns are dropped.

@@ -8,7 +8,8 @@ hash of the document's statistics, alike for all rows). Everything that
 reaches the driver has a size that the parameters fix: one matrix for each of
 ``FIT_PARTS`` partitions, and a histogram of ``BINS`` bins for calibration.
 
-Defined results: a null text counts as empty and gets a score as any text; null
+Defined results: a very long text is worked on whole, by the task that holds it;
+a null text counts as empty and gets a score as any text; null
 labels teach nothing; a document with several label rows takes their mean;
 rows without doc_id are scored and never learned from; an empty table gives no
 rows; without training rows, or with one class only, the score is constant

@@ -28,7 +28,8 @@ Before its sets are fetched, a pair must agree in :func:`min_agree` registers,
 of which a few bits each are compared inside the join. A pair at the threshold
 has fewer with probability ``1 - RECALL`` at most, one above it more rarely.
 
-Defined results: texts without words (null, empty, white space) are alike to
+Defined results: a very long text is worked on whole, by the task that holds it;
+texts without words (null, empty, white space) are alike to
 nothing, each is a class of its own; fewer than five words make one shingle;
 repeated rows share a class; rows without doc_id get the class of their text;
 a class in which no row has a doc_id gets a negative number of its own from its

@@ -26,7 +26,8 @@ rows hold is repeated as a whole), so groups of copies do not grow any of this.
 For a reference of bounded size, :func:`remove_reference_spans` broadcasts the
 automata of its shards and streams all documents past them.
 
-Defined results: a null text has no words; texts shorter than a window lose
+Defined results: a very long text is worked on whole, by the task that holds it;
+a null text has no words; texts shorter than a window lose
 nothing; repeated rows are copies of each other; an empty table gives no rows;
 other columns are dropped or carried unchanged.
 """

@@ -6,7 +6,8 @@ estimated on a bounded sample; the rules then run in the order of rejections
 per cost, and a document's first rejection ends its cascade. The order changes
 the time only, never a verdict: a document is kept if no rule rejects it.
 
-Defined results: a null text counts as empty; an empty text has no words and
+Defined results: a very long text is worked on whole, by the task that holds it;
+a null text counts as empty; an empty text has no words and
 fails ``min_words``; other columns may be null; repeated rows get equal
 verdicts; an empty table gives an empty result and the rules' own order. Input
 columns named like an output column are replaced.

@@ -14,7 +14,8 @@ finds its place from its rank among the pieces of its length. Ranks come from
 counts by (length, salt), so a length that a third of all pieces share is
 numbered by many tasks, and token ids never move through a shuffle.
 
-Defined results: a null text is an empty document, which is one piece of the
+Defined results: a very long text is cut into as many pieces as it needs;
+a null text is an empty document, which is one piece of the
 single token 0; repeated rows are packed each; null ids stay null; an empty
 table gives no rows; other columns are dropped.
 """
