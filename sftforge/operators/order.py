@@ -65,6 +65,40 @@ def map_examples(df: DataFrame, fn: Callable, schema: T.StructType | str) -> Dat
     return df.mapInPandas(run, schema)
 
 
+def map_examples_safely(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
+    """P8 with an error for each row that fails: :func:`map_examples` with two more
+    columns, ``error`` (null for good rows) and ``failed_row`` (the input row as
+    JSON). A batch on which ``fn`` raises is cut in halves until the failing rows
+    stand alone, so the others' results are kept, and one bad row costs the
+    logarithm of a batch in further calls. ``fn`` must treat rows on their own."""
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    names = schema.names
+
+    def attempt(pdf):
+        import pandas as pd
+        try:
+            yield fn(pdf.copy())[names].assign(error=None, failed_row=None)
+        except Exception as e:  # any error of the caller's function is its row's
+            if len(pdf) == 1:
+                row = pdf.to_json(orient="records", date_format="iso", default_handler=str)[1:-1]
+                yield pd.DataFrame([{**dict.fromkeys(names), "error": f"{type(e).__name__}: {e}", "failed_row": row}])
+            else:
+                half = len(pdf) // 2
+                yield from attempt(pdf.iloc[:half])
+                yield from attempt(pdf.iloc[half:])
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield from attempt(pdf)
+
+    out = T.StructType([*schema.fields, T.StructField("error", T.StringType()),
+                        T.StructField("failed_row", T.StringType())])
+    for field in out.fields:
+        field.nullable = True
+    return df.mapInPandas(run, out)
+
+
 def batch_numbers(ids: DataFrame, batch_size: int, id_col: str = "conv_id",
                   seed: int = K.SHUFFLE_SEED) -> DataFrame:
     """(id, position, batch_no): places in P6's order, cut into batches of

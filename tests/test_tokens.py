@@ -228,3 +228,19 @@ def test_truncation_totals(spark):
                                "tokens array<string>, answer int")
     t = TK.truncation_totals(TK.truncate(df, 4, answer_token_col="answer")).first()
     assert (t["rows"], t.rows_truncated, t.tokens_lost, t.rows_lost_answer) == (3, 2, 3, 1)
+
+
+def test_one_bad_row_is_one_reject(spark):
+    import json
+
+    def upper(pdf):
+        import pandas as pd
+        return pd.DataFrame({"id": pdf["id"], "big": [t.upper() for t in pdf["text"]]})  # fails on null
+
+    df = spark.range(10_000).select("id", F.when(F.col("id") != 7_777, F.concat(F.lit("t"), "id")).alias("text"))
+    got = O.map_examples_safely(df.repartition(3), upper, "id long, big string")
+    bad = got.filter("error is not null").collect()
+    assert len(bad) == 1 and json.loads(bad[0].failed_row) == {"id": 7777, "text": None}
+    assert bad[0].error.startswith("AttributeError") and bad[0].id is None
+    good = got.filter("error is null").agg(F.count("*"), F.countDistinct("id"), F.min("big")).first()
+    assert tuple(good) == (9_999, 9_999, "T0")
