@@ -12,7 +12,8 @@ from sftforge.sources.conversations import number_lines
 
 def cap_lines(lines: DataFrame, n: int | None = None) -> DataFrame:
     """L1: every physical line (blank ones counted) with its ``line_no``, or
-    only the first ``n``. ``lines`` comes from :func:`sftforge.sources.read_lines`."""
+    only the first ``n``. ``lines`` comes from :func:`sftforge.sources.read_lines`,
+    which reads no file behind the cap if it is told of it (``first=n``)."""
     numbered = number_lines(lines)
     return numbered if n is None else numbered.filter(F.col("line_no") < n)
 

@@ -454,6 +454,18 @@ def q_line_cap(spark, d):
     return lines.select("line_no", in_sample().alias("in_sample"), conv[1]["content"].alias("full_sequence"))
 
 
+@register("line_cap_head", f"""
+WITH {SPLIT_SQL},
+l AS (SELECT row_number() OVER (ORDER BY task_row) - 1 AS line_no, full_sequence FROM sp)
+SELECT line_no::BIGINT AS line_no, full_sequence FROM l WHERE line_no < {K.AUDIT_MAX_LINES}""")
+def q_line_cap_head(spark, d):
+    """L1 with the audit's cap: only the files that hold the first lines are read."""
+    path = scratch_path(spark, "synthetic-conversations")
+    write_conversations(synthesized(spark, d).orderBy("task_row"), path)
+    lines = read_conversations(spark, path, max_lines=K.AUDIT_MAX_LINES)
+    return lines.select("line_no", F.col("conversation")[1]["content"].alias("full_sequence"))
+
+
 def task_lines(spark, d):
     """Path of task records as JSON lines, with a metadata key of the caller's
     own, and a bad line for each third task."""

@@ -23,19 +23,65 @@ CONVERSATION_TYPE = T.ArrayType(MESSAGE_TYPE)
 TEXT_FIELDS = ("content", "reasoning_content")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+#: Bytes of files that :func:`last_file_of` counts at first, and files that it lists at a time.
+FIRST_WAVE_BYTES = 64 << 20
+LISTED_FILES = 1024
+
+
+def read_lines(spark: SparkSession, path: str, first: int | None = None) -> DataFrame:
     """Physical lines of UTF-8 text files, with their file-order keys.
 
     ``_file``/``_block`` come from the file-source metadata; ``_mid`` increases
     by one per line inside a block, so (file, block, mid) is the physical order.
+    With ``first``, only the files that hold the first so many lines are read,
+    whole (see :func:`last_file_of`).
     """
-    return (spark.read.text(path)
+    files = spark.read.text(path)
+    if first is not None:
+        last = last_file_of(spark, path, first)
+        if last is not None:
+            files = files.filter(F.col("_metadata.file_path") <= last)  # prunes the list of files
+    return (files
             .select("value",
                     F.col("_metadata.file_path").alias("_file"),
                     F.col("_metadata.file_block_start").alias("_block"),
                     F.monotonically_increasing_id().alias("_mid")))
 
 
+def last_file_of(spark: SparkSession, path: str, n: int, first_bytes: int = FIRST_WAVE_BYTES) -> str | None:
+    """The file, in the order of paths, in which the first ``n`` lines under
+    ``path`` end; null if there are no more than those.
+
+    Files are counted in waves in their order: the first of ``first_bytes``, the
+    others as large as the lines still missing should need by the lines counted
+    so far. No file behind the last wave is opened. The driver holds at most
+    ``LISTED_FILES`` paths with their counts at a time. Jobs run when it is called.
+    """
+    name = F.col("_metadata.file_path")
+    listed = spark.read.format("binaryFile").load(path).select(
+        name.alias("file"), F.col("_metadata.file_size").alias("size"))  # the contents are not read
+    after, lines, size, budget = "", 0, 0, first_bytes
+    while True:
+        files = listed.filter(F.col("file") > after).orderBy("file").limit(LISTED_FILES).collect()
+        while files:
+            wave, total = 0, 0
+            while wave < len(files) and (wave == 0 or total + files[wave].size <= budget):
+                total += files[wave].size
+                wave += 1
+            upto = files[wave - 1].file
+            counts = dict(spark.read.text(path).filter((name > after) & (name <= upto))
+                          .groupBy(name.alias("file")).agg(F.count(F.lit(1))).collect())  # a row a file of the wave
+            for f in files[:wave]:
+                lines += counts.get(f.file, 0)
+                if lines >= n:
+                    return f.file
+            size += total
+            budget = max(first_bytes, int(1.25 * (n - lines) * size / max(lines, 1)))
+            after, files = upto, files[wave:]
+        if not listed.filter(F.col("file") > after).limit(1).collect():
+            return None
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``line_no`` (0-based, physical order: files by path, blank lines
     counted). Lines are counted by file block; running totals are taken inside
@@ -95,10 +141,11 @@ def read_conversations(spark: SparkSession, path: str, max_lines: int | None = N
     Lines are stripped; blank lines are dropped. Bad lines are kept with
     ``malformed = true`` instead of failing the job. ``line_no`` (asked for with
     ``numbered``, or by the physical line cap ``max_lines``, which counts blank
-    lines as the audit does) tells every line apart, equal ones too.
+    lines as the audit does) tells every line apart, equal ones too. With a cap,
+    only the files that hold its lines are read; finding them runs jobs.
     """
     last_key_wins(spark)
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, path, max_lines)
     if numbered or max_lines is not None:
         lines = number_lines(lines)
     if max_lines is not None:

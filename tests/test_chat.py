@@ -1,11 +1,12 @@
 """S1, S3, P1-P4, L1-L4 on hand-made rows."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from sftforge.operators import chat, lengths
-from sftforge.sources import read_conversations, read_lines, write_conversations, fold_turns
+from sftforge.sources import fold_turns, last_file_of, read_conversations, read_lines, write_conversations
 from sftforge.functions.text import py_strip
 
 
@@ -158,6 +159,32 @@ def test_line_cap_counts_blank_lines(spark, tmp_out):
     assert lengths.cap_lines(read_lines(spark, p), None).count() == 6
 
 
+def test_line_cap_reads_leading_files_only(spark, tmp_out):
+    sizes = [3, 0, 5, 1, 4, 7, 2]
+    names = ["a", "b c", "d[1]", "d{2}", "e*", "f%20", "g"]
+    for name, size in zip(names, sizes):
+        with open(f"{tmp_out}/{name}.txt", "w") as f:
+            f.writelines(f"{name}-{i}\n" if i % 2 else "\n" for i in range(size))
+    want = [f"{name}-{i}" if i % 2 else "" for name, size in sorted(zip(names, sizes)) for i in range(size)]
+    ends = dict(zip(range(1, 23), "aaa" + "ddddd" + "d" + "eeee" + "fffffff" + "gg"))
+    for n in (1, 3, 4, 8, 9, 10, 13, 20, 21, 22, 30):
+        lines = read_lines(spark, tmp_out, n)
+        got = lengths.cap_lines(lines, n).orderBy("line_no").collect()
+        assert [(r.line_no, r.value) for r in got] == list(enumerate(want))[:n], n
+        for first_bytes in (1, 20):
+            last = last_file_of(spark, tmp_out, n, first_bytes)
+            assert last is None if n > 22 else os.path.basename(last).startswith(ends[n]), (n, last)
+    back = read_conversations(spark, tmp_out, max_lines=22)
+    assert back.filter("malformed").count() == sum(x != "" for x in want)
+    few = read_lines(spark, tmp_out, 4)
+    assert len(few.select("_file").distinct().collect()) == 2
+    assert few.rdd.getNumPartitions() < spark.read.text(tmp_out).rdd.getNumPartitions()
+    # files behind the last wave are not opened: one that cannot be read does no harm
+    with open(f"{tmp_out}/z.txt.gz", "wb") as f:
+        f.write(b"no gzip file" * 100)
+    assert os.path.basename(last_file_of(spark, tmp_out, 13, 1)).startswith("e")
+
+
 def test_round_trip_jsonl(spark, tmp_out):
     t = spark.createDataFrame([(1, 0, "user", "é ü 😀"), (1, 1, "assistant", 'x"y')],
                               "conv_id long, turn long, role string, text string")
