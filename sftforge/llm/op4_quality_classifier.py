@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sftforge.llm.common import slim, stage
+from sftforge.llm.common import release, slim, stage
 from sftforge.llm.textstats import TextView
 
 MAX_TRAIN_ROWS = 1_000_000
@@ -179,8 +179,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents predicted to be of label 1, with their own columns."""
-    stats = stage(statistics(slim(docs, "doc_id", "text")), "op4-stats")
-    model = fit(stats, labels)
+    slimmed = slim(docs, "doc_id", "text")
+    teaching = stage(statistics(slimmed.filter(fold(slimmed["doc_id"]) != 1)), "op4-stats")  # held-out rows teach nothing
+    model = fit(teaching, labels)
+    release(teaching)
     return docs.filter(calibrated(model)(_stats_of(docs["text"])) >= 0.5)
 
 

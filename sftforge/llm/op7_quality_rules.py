@@ -8,7 +8,7 @@ the time only, never a verdict: a document is kept if no rule rejects it.
 
 Defined results: a very long text is worked on whole, by the task that holds it;
 a null text counts as empty; an empty text has no words and
-fails ``min_words``; other columns may be null; repeated rows get equal
+fails ``min_words`` or ``no_words``; other columns may be null; repeated rows get equal
 verdicts; an empty table gives an empty result and the rules' own order. Input
 columns named like an output column are replaced.
 """
@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from sftforge.llm.common import bounded_batches, slim, without
 from sftforge.llm.textstats import TextView
 
-#: Bound of the sample on which costs and selectivities are estimated.
+#: Bound of the sample on which costs and selectivities are estimated, and its seed.
 SAMPLE_ROWS = 200
 SAMPLE_CHARS = 50_000
+SAMPLE_SEED = 7
 
 
 @dataclass(frozen=True)
@@ -41,25 +42,39 @@ BASE_RULES = (
     Rule("min_words", lambda t: t.n_words < 50),
     Rule("repeat_words", lambda t: 100 * t.n_repeat_words > 50 * t.n_words),
 )
-#: Limits published for web-text filters: symbols to words, repeated lines,
-#: length of words, capitals, exclamation marks.
+#: Limits published for web-text filters: symbols to words, repeated lines and
+#: their share of the characters, bullets, ellipses, length of words, words
+#: without letters, capitals, exclamation marks, braces, broken characters.
 SHAPE_RULES = (
     Rule("symbols", lambda t: 10 * t.n_symbols > t.n_words),
     Rule("exclaims", lambda t: 10 * t.n_exclaims > 3 * t.n_words),
+    Rule("braces", lambda t: 10 * t.n_braces > t.n_words),
+    Rule("garbled", lambda t: 100 * t.n_garbled > t.word_chars),
     Rule("capitals", lambda t: 2 * t.n_upper > t.n_letters),
     Rule("dup_lines", lambda t: 2 * t.n_dup_lines > len(t.lines)),
+    Rule("dup_line_chars", lambda t: 2 * t.dup_line_chars > sum(map(len, t.lines))),
+    Rule("bullets", lambda t: len(t.lines) > 2 and 10 * t.n_bullet_lines > 9 * len(t.lines)),
+    Rule("ellipses", lambda t: 10 * t.n_ellipsis_lines > 3 * len(t.lines)),
     Rule("word_length", lambda t: not 2 * t.n_words <= t.word_chars <= 20 * t.n_words),
+    Rule("lettered_words", lambda t: 2 * t.n_lettered_words < t.n_words),
 )
 RULES = BASE_RULES + SHAPE_RULES
+#: Of a corpus that is packed afterwards, shortness alone rejects no document
+#: but one without words: short clean texts stay, and short junk has its shape.
+CORPUS_RULES = (Rule("no_words", lambda t: not t.n_words),) + BASE_RULES[1:] + SHAPE_RULES
 
 
 def estimate(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float]]:
-    """Rule name -> (seconds a document, share rejected), measured on the first
-    ``sample_rows`` documents of at most ``SAMPLE_CHARS`` characters: as few
-    partitions are read as hold them, and what reaches the driver is bounded."""
+    """Rule name -> (seconds a document, share rejected), measured on at most
+    ``sample_rows`` documents of at most ``SAMPLE_CHARS`` characters, drawn from
+    the whole table: each row with one chance, of those drawn the first in a
+    random order. One narrow scan; what reaches the driver is bounded."""
     bounded_batches(docs.sparkSession)
     text = docs["text"]
-    rows = docs.filter(F.length(text) <= SAMPLE_CHARS).select(text).limit(sample_rows).collect()
+    n = docs.count()  # of Parquet, from the files' footers
+    drawn = docs.select(text).sample(min(1.0, 2 * sample_rows / max(n, 1)), SAMPLE_SEED)
+    rows = (drawn.filter(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS)
+            .orderBy(F.rand(SAMPLE_SEED)).limit(sample_rows).collect())
     out = {}
     for rule in rules:
         began = time.perf_counter()
@@ -98,7 +113,7 @@ def apply_rules(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) ->
     return docs.withColumn("rejected_by", verdict(order)(docs["text"]))
 
 
-def keep_good(docs: DataFrame, rules=RULES) -> DataFrame:
+def keep_good(docs: DataFrame, rules=CORPUS_RULES) -> DataFrame:
     """The documents that no rule rejects, with their own columns."""
     order = cascade_order(rules, estimate(docs, rules))
     return docs.filter(verdict(order)(docs["text"]).isNull())

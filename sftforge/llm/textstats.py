@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from functools import cached_property
 
 from sftforge.llm.common import WHITE, words
 
-# The symbols that count as such.
+# The symbols that count as such, marks of list items.
 SYMBOLS = "#*$%&|<>"
+BULLETS = ("-", "*", "\u2022", "\u2023", "\u25cf", "\u00b7")
+#: Control characters other than white space, and the replacement character.
+GARBLED = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x9f\ufffd]")
 
 
 class TextView:
@@ -44,6 +48,19 @@ class TextView:
     def n_dup_lines(self) -> int:
         return len(self.lines) - len(set(self.lines))
 
+    @cached_property
+    def dup_line_chars(self) -> int:
+        """Characters of lines that equal an earlier one."""
+        return sum(map(len, self.lines)) - sum(map(len, set(self.lines)))
+
+    @cached_property
+    def n_bullet_lines(self) -> int:
+        return sum(x.lstrip(WHITE).startswith(BULLETS) for x in self.lines)
+
+    @cached_property
+    def n_ellipsis_lines(self) -> int:
+        return sum(x.rstrip(WHITE).endswith(("...", "\u2026")) for x in self.lines)
+
     @cached_property
     def n_repeat_words(self) -> int:
         """Words inside 3-word windows that the text holds twice or more."""
@@ -62,6 +79,19 @@ class TextView:
     def n_exclaims(self) -> int:
         return self.text.count("!")
 
+    @cached_property
+    def n_braces(self) -> int:
+        return self.text.count("{") + self.text.count("}")
+
+    @cached_property
+    def n_garbled(self) -> int:
+        return len(GARBLED.findall(self.text))
+
+    @cached_property
+    def n_lettered_words(self) -> int:
+        """Words that hold a letter."""
+        return sum(any(map(str.isalpha, x.decode())) for x in self.words)
+
     @cached_property
     def n_upper(self) -> int:
         return sum(map(str.isupper, self.text))

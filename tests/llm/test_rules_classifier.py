@@ -39,7 +39,7 @@ def test_cascade_order_never_changes_a_verdict(spark):
     for order in (op7.RULES, op7.RULES[::-1]):
         r = docs.withColumn("by", op7.verdict(order)(docs["text"])).collect()
         kept.append(sorted(str((x.doc_id, x.text)) for x in r if x.by is None))
-    out = op7.keep_good(docs)
+    out = op7.keep_good(docs, op7.RULES)
     assert out.columns == docs.columns
     assert kept[0] == kept[1] == sorted(str((x.doc_id, x.text)) for x in out.collect())
     assert kept[0] and len(kept[0]) < docs.count()
@@ -47,6 +47,34 @@ def test_cascade_order_never_changes_a_verdict(spark):
     assert {r[0] for r in by} <= {x.name for x in op7.RULES} | {None}
 
 
+def test_corpus_rules_keep_short_texts(spark):
+    long = prose(random.Random(1), 90, 5000)
+    rows = [(1, "A short clean line."), (2, None), (3, " \n\t"), (4, long), (5, "a b c a b c"), (6, "a###"), (7, long),
+            (None, "One more.")]
+    kept = sorted((x.doc_id or 0) for x in op7.keep_good(table(spark, rows)).collect())
+    assert kept == [0, 1, 4, 7]
+
+
+def test_each_shape_rule():
+    good = "plain words in a line\nand then another one\nthe last of three"
+    bad = {"symbols": "a # b", "exclaims": "hey! you!", "braces": "if (x) { y }", "garbled": "ab\ufffdc \x01 words",
+           "capitals": "ALL OF it", "dup_lines": "x y\nx y\nx y\nx y\nz", "dup_line_chars": "a\nb\nlong line of it\n" * 3,
+           "bullets": "- one\n* two\n\u2022 three", "ellipses": "and so on...\nmore", "word_length": "a" * 21,
+           "lettered_words": "1 2 3 four"}
+    rules = {x.name: x for x in op7.SHAPE_RULES}
+    assert set(rules) == set(bad)
+    for name, text in bad.items():
+        assert rules[name].rejects(op7.TextView(text)), name
+        assert not rules[name].rejects(op7.TextView(good)), name
+
+
+def test_sample_is_of_the_whole_table(spark):
+    docs = table(spark, [(i, "word " * 60 if i < 3000 else "too short") for i in range(4000)] + [(4000, None)])
+    measured = op7.estimate(docs, op7.RULES[:1])
+    assert 0.1 < measured["min_words"][1] < 0.45  # the first 200 rows would give 0
+    assert op7.estimate(table(spark, []))["min_words"][1] == 0
+
+
 def test_order_is_by_rejections_per_second():
     order = op7.cascade_order(op7.RULES[:3], {"min_words": (1.0, 0.1), "repeat_words": (0.1, 0.2), "symbols": (1.0, 0.9)})
     assert [x.name for x in order] == ["repeat_words", "symbols", "min_words"]
