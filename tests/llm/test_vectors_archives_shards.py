@@ -174,7 +174,7 @@ def test_pipeline_stages(spark):
         seen.append(len(after))
         if name == "quality rules":
             assert {r.doc_id for r in after} == {i for i, t in before
-                                                 if not any(x.rejects(op7.TextView(t)) for x in op7.RULES)}
+                                                 if not any(x.rejects(op7.TextView(t)) for x in op7.CORPUS_RULES)}
         if name == "MinHash near-dedup":
             want = brute_classes(before)
             assert {r.doc_id for r in after} == {i for i, t in before if want[i, t] == i}
