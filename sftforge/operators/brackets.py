@@ -6,9 +6,10 @@ the top, a *mismatch* otherwise -- it pops anyway); a closer on an empty stack
 is *ignored*; any other character is *other* and changes nothing.
 
 Physical plan. A sequence of up to ``SEGMENT`` characters is walked where it
-lies: an Arrow kernel takes all sequences of a batch at once (running sums,
-running minima and sorts in numpy, no loop over characters) and gives arrays
-that are exploded beside the row. Nothing moves, so rows may repeat an id.
+lies: an Arrow kernel takes the sequences of a batch in slices of up to ``SLICE``
+characters (running sums, running minima and sorts in numpy, no loop over
+characters) and gives a row a character, a batch a slice, so its memory does not
+follow the number or length of rows. Nothing moves, so rows may repeat an id.
 
 A longer sequence is cut into segments that Spark deals out. A segment reduces
 to a pair (closers that reach before it, openers left open behind it); these
@@ -24,12 +25,15 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sftforge.functions import constants as K
 
 OPEN, CLOSE, OTHER = "open", "close", "other"
 #: Characters that one task walks in a row.
 SEGMENT = 1 << 16
+#: Characters that a kernel holds at a time (or one text, of up to ``SEGMENT``).
+SLICE = 1 << 17
 
 
 def closer_of(ch: Column) -> Column:
@@ -54,21 +58,32 @@ def kind_of(ch: Column) -> Column:
     return (F.when(ch.isin(*K.OPENERS), F.lit(OPEN)).when(ch.isin(*K.CLOSERS), F.lit(CLOSE)).otherwise(F.lit(OTHER)))
 
 
-WALK = ("struct<depth: array<int>, ignored: array<boolean>, event: array<string>, partner: array<int>, "
-        "top: array<string>, parent: array<int>, fault: array<string>>")
 EVENTS = ["other", "ignored", "open", "match", "mismatch", None]
-
-
-def _walk_kernel(parts: tuple):
-    """Arrow kernel: texts and the height at which each starts -> :data:`WALK`,
-    of which ``parts`` are made. Positions count from the text's start. A closer
-    whose opening bracket lies before the text has event and partner null; a top
-    that lies before it has a null parent."""
-    openers, closers, events = K.OPENERS, K.CLOSERS, EVENTS
-
-    def run(texts, heights):
-        import pyarrow as pa
-        rows = [t or "" for t in texts.to_pylist()]
+FAULTS = [*EVENTS[:5], "unclosed", None]
+
+
+def _walker(parts: tuple):
+    """``(walk, slices)`` for kernels. ``walk`` takes texts and the height at
+    which each starts to flat arrays with a value a character, of which ``parts``
+    (``event``, ``top``) are made: depth, ignored, event and fault (places in
+    ``EVENTS`` and ``FAULTS``), partner, top (the bracket's kind) and parent (-1:
+    none). Positions count from the text's start. A closer whose opening bracket
+    lies before the text has neither event nor partner; a top that lies before
+    it has no parent. ``slices`` cuts texts into runs of up to ``SLICE``
+    characters, so that memory does not follow the number of texts in a batch."""
+    openers, closers, most = K.OPENERS, K.CLOSERS, SLICE
+
+    def slices(sizes):
+        lo, total = 0, 0
+        for i, size in enumerate(sizes):
+            if i > lo and total + size > most:
+                yield lo, i
+                lo, total = i, 0
+            total += size
+        if lo < len(sizes):
+            yield lo, len(sizes)
+
+    def walk(rows, start):
         size = np.array([len(t) for t in rows], np.int64)
         edge = np.concatenate([[0], np.cumsum(size)])
         total, n = int(edge[-1]), len(rows)
@@ -78,8 +93,6 @@ def _walk_kernel(parts: tuple):
             kind[code == ord(c)] = k
         is_open, is_close = (kind >= 0) & (kind < 4), kind >= 4
         row = np.repeat(np.arange(n), size)
-        place = np.arange(total) - edge[row]
-        start = heights.to_numpy(zero_copy_only=False).astype(np.int64)
         # one line for all rows, each far below the one before, with its start height in front
         step = is_open.astype(np.int64) - is_close
         far = int(start.max(initial=0) + size.max(initial=0) + 1) * 2
@@ -93,15 +106,7 @@ def _walk_kernel(parts: tuple):
         low += np.repeat(np.arange(n), size + 1) * far
         depth = (height - low)[at]
         ignored = is_close & (low[at] < low[at - 1])
-
-        def lists(values, kind_of_value):
-            values = values if isinstance(values, pa.Array) else pa.array(values, kind_of_value)
-            return pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), values, mask=texts.is_null())
-
-        nothing = pa.nulls(n, pa.list_(pa.int32()))
-        no_text = pa.nulls(n, pa.list_(pa.string()))
-        out = {"depth": lists(depth, pa.int32()), "ignored": lists(ignored, pa.bool_()), "event": no_text,
-               "partner": nothing, "top": no_text, "parent": nothing, "fault": no_text}
+        out = {"size": size, "row": row, "code": code, "place": np.arange(total) - edge[row], "depth": depth, "ignored": ignored}
         if "event" in parts:
             effective = is_close & ~ignored
             level = np.where(is_open, depth, np.where(effective, depth + 1, -1))
@@ -114,12 +119,9 @@ def _walk_kernel(parts: tuple):
             met = effective & (partner >= 0)
             event[effective] = 5
             event[met] = np.where(kind[met] - 4 == kind[partner[met]], 3, 4)
-            names = pa.array(events)
             unclosed = is_open & (partner < 0)
-            out["event"] = lists(names.take(pa.array(event)), None)
-            out["partner"] = lists(pa.array(np.where(partner >= 0, partner - edge[row], 0), pa.int32(), mask=partner < 0), None)
-            fault = np.where(unclosed, 5, np.where((event == 2) | (event == 3) | (event == 5), 6, event))
-            out["fault"] = lists(pa.array([*events[:5], "unclosed", None]).take(pa.array(fault)), None)
+            out["event"], out["partner"] = event, np.where(partner >= 0, partner - edge[row], -1)
+            out["fault"] = np.where(unclosed, 5, np.where((event == 2) | (event == 3) | (event == 5), 6, event))
         if "top" in parts:
             order = np.lexsort((np.arange(total), depth, row))
             last = np.maximum.accumulate(np.where(is_open[order], np.arange(total), -1))
@@ -128,42 +130,114 @@ def _walk_kernel(parts: tuple):
             top = np.full(total, -1, np.int64)
             found = (last >= group) & (depth[order] > 0)
             top[order[found]] = order[last[found]]
-            none = top < 0
-            out["top"] = lists(pa.array(list(closers)).take(pa.array(np.where(none, 0, kind[top]), mask=none)), None)
-            out["parent"] = lists(pa.array(np.where(none, 0, top - edge[row]), pa.int32(), mask=none), None)
-        return pa.StructArray.from_arrays(list(out.values()), list(out), mask=texts.is_null())
+            out["top"], out["parent"] = np.where(top < 0, -1, kind[top]), np.where(top < 0, -1, top - edge[row])
+        return out
 
-    return run
+    return walk, slices
 
 
 def _reduce_kernel():
-    """Arrow kernel: closers that reach before each text, and openers that it leaves open."""
+    """Arrow kernel: closers that reach before each text, openers that it leaves
+    open, its highest height over the start, and its greatest depth on an empty stack."""
     openers, closers = [ord(c) for c in K.OPENERS], [ord(c) for c in K.CLOSERS]
 
     def run(texts):
         import pyarrow as pa
-        down, up = [], []
-        for t in texts.to_pylist():
-            code = np.frombuffer(t.encode("utf-32-le"), np.uint32)
+        out = []
+        for t in texts:
+            code = np.frombuffer(t.as_py().encode("utf-32-le"), np.uint32)
             height = np.cumsum(np.isin(code, openers).astype(np.int64) - np.isin(code, closers))
-            down.append(-min(int(height.min(initial=0)), 0))
-            up.append(int(height[-1]) + down[-1] if len(height) else 0)
-        return pa.StructArray.from_arrays([pa.array(down, pa.int64()), pa.array(up, pa.int64())], ["down", "up"])
+            low = np.minimum.accumulate(np.minimum(height, 0))
+            down = -int(low[-1]) if len(low) else 0
+            out.append((down, int(height[-1]) + down if len(height) else 0, int(height.max(initial=0)),
+                        int((height - low).max(initial=0))))
+        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] or [pa.array([], pa.int64())] * 4,
+                                          ["down", "up", "high", "peak"])
 
     return run
 
 
-def _zipped(rows: DataFrame, cols, parts: tuple, start: Column) -> DataFrame:
-    """``rows`` with ``seq`` and ``w`` (:data:`WALK`) -> a row a character, ``pos`` from ``start``."""
-    fields = [F.split("seq", "").alias("ch"), F.col("w.depth"), F.col("w.ignored")]
-    fields += [F.col(f"w.{c}") for c in ("event", "partner", "fault")] if "event" in parts else []
-    fields += [F.col(f"w.{c}") for c in ("top", "parent")] if "top" in parts else []
-    x = rows.select(*cols, start.alias("_start"), F.posexplode_outer(F.arrays_zip(*fields)).alias("_pos", "_x"))
-    x = x.filter("_pos is not null").select(*cols, "_start", (F.col("_start") + F.col("_pos")).alias("pos"), "_x.*")
-    for c in ("partner", "parent"):
-        if c in x.columns:
-            x = x.withColumn(c, F.col(c) + F.col("_start"))
-    return x.withColumn("kind", kind_of(F.col("ch"))).withColumn("depth", F.col("depth").cast("bigint"))
+def _characters(rows: DataFrame, cols, parts: tuple) -> DataFrame:
+    """``rows`` with ``seq`` (none null) -> ``cols`` and a row a character: pos,
+    ch, depth, ignored, what ``parts`` ask for, kind. Of segments, ``_height`` is
+    the height and ``_start`` the position at which they start, and ``max_depth``
+    is among their columns. Batches come out as they are walked, a slice each."""
+    whole = "_height" not in rows.columns
+    given = [c for c in cols if not (whole and c == "max_depth")]
+    rows = rows.select(*given, "seq", *([] if whole else ["_height", "_start"]))
+    walk, slices = _walker(parts)
+    events, faults, closers = EVENTS, FAULTS, K.CLOSERS
+    fields = [*rows.select(*given).schema.fields, *([T.StructField("max_depth", T.LongType())] if whole else [])]
+    text, number = T.StringType(), T.LongType()
+    made = [("pos", number), ("ch", text), ("depth", number), ("ignored", T.BooleanType())]
+    made += [("event", text), ("partner", number), ("fault", text)] if "event" in parts else []
+    made += [("top", text), ("parent", number)] if "top" in parts else []
+    schema = T.StructType(fields + [T.StructField(c, t) for c, t in made])
+    names = schema.names
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def texts(values, at):
+            return pa.array(values, pa.string()).take(pa.array(at, mask=at < 0))
+
+        for batch in batches:
+            for lo, hi in slices(pc.utf8_length(batch.column("seq")).to_pylist()):
+                b = batch.slice(lo, hi - lo)
+                rows = b.column("seq").to_pylist()
+                height, start = (np.zeros(hi - lo, np.int64) if whole else b.column(c).to_numpy(zero_copy_only=False)
+                                 for c in ("_height", "_start"))
+                w = walk(rows, height)
+                row, code, pos = w["row"], w["code"], w["place"] + start[w["row"]]
+                ends = np.zeros(len(code) + 1, np.int32)
+                np.cumsum(1 + (code >= 1 << 7).astype(np.int32) + (code >= 1 << 11) + (code >= 1 << 16), out=ends[1:])
+                out = {c: b.column(c).take(pa.array(row)) for c in given}
+                if whole:
+                    edge = np.cumsum(w["size"]) - w["size"]
+                    out["max_depth"] = pa.array(np.maximum.reduceat(w["depth"], edge)[row], pa.int64())
+                out |= {"pos": pa.array(pos, pa.int64()), "depth": pa.array(w["depth"], pa.int64()),
+                        "ch": pa.StringArray.from_buffers(len(code), pa.py_buffer(ends), pa.py_buffer("".join(rows).encode())),
+                        "ignored": pa.array(w["ignored"])}
+                for c in ("partner", "parent"):
+                    if c in w:
+                        out[c] = pa.array(w[c] + start[row], pa.int64(), mask=w[c] < 0)
+                for c, values in (("event", events), ("fault", faults), ("top", list(closers))):
+                    if c in w:
+                        out[c] = texts(values, w[c])
+                yield pa.RecordBatch.from_arrays([out[c] for c in names], names)
+
+    return rows.mapInArrow(run, schema).withColumn("kind", kind_of(F.col("ch")))
+
+
+CHECKED = "struct<max_depth: bigint, pos: bigint, fault: string, dcut: bigint>"
+
+
+def _check_kernel(cut: int):
+    """Arrow kernel: texts, none empty -> :data:`CHECKED`: greatest depth, position and reason
+    of the first fault (null: none), and the depth after ``cut`` characters (0: shorter texts)."""
+    walk, slices = _walker(("event",))
+    faults = FAULTS
+
+    def run(texts):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        out = []
+        for lo, hi in slices(pc.utf8_length(texts).fill_null(0).to_pylist()):
+            w = walk([t or "" for t in texts.slice(lo, hi - lo).to_pylist()], np.zeros(hi - lo, np.int64))
+            edge = np.cumsum(w["size"]) - w["size"]
+            bad = np.flatnonzero(w["fault"] < 6)
+            at, first = np.unique(w["row"][bad], return_index=True)
+            where = dict(zip(at.tolist(), bad[first].tolist()))
+            for i, (e, size) in enumerate(zip(edge.tolist(), w["size"].tolist())):
+                f = where.get(i)
+                out.append({"max_depth": int(w["depth"][e:e + size].max(initial=0)),
+                            "pos": None if f is None else f - e, "fault": None if f is None else faults[w["fault"][f]],
+                            "dcut": int(w["depth"][e + cut - 1]) if 0 < cut <= size else 0})
+        return pa.array(out, pa.struct([("max_depth", pa.int64()), ("pos", pa.int64()), ("fault", pa.string()),
+                                        ("dcut", pa.int64())]))
+
+    return run
 
 
 def _long_segments(b: DataFrame, keep) -> DataFrame:
@@ -182,34 +256,31 @@ def _long_segments(b: DataFrame, keep) -> DataFrame:
     segs = rows.select("_key", "seq_id", *keep, "_copies", F.length("seq").cast("bigint").alias("n"),
                        F.posexplode(cut("seq")).alias("seg", "seq"))
     segs = segs.repartition("_key", "seg")
-    pairs = segs.select("_key", "seg", F.arrow_udf(_reduce_kernel(), "struct<down: bigint, up: bigint>")("seq").alias("r"))
+    pairs = segs.select("_key", "seg", F.arrow_udf(
+        _reduce_kernel(), "struct<down: bigint, up: bigint, high: bigint, peak: bigint>")("seq").alias("r"))
     w = Window.partitionBy("_key").orderBy("seg")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     pairs = pairs.select("_key", "seg", "r.*").withColumn(
         "_sum", F.coalesce(F.sum(F.col("up") - F.col("down")).over(before), F.lit(0)))
     pairs = pairs.withColumn("_low", F.least(F.lit(0), F.coalesce(F.min(F.col("_sum") - F.col("down")).over(before), F.lit(0))))
-    return segs.join(pairs.select("_key", "seg", (F.col("_sum") - F.col("_low")).alias("height")), ["_key", "seg"])
+    pairs = pairs.withColumn("_height", F.col("_sum") - F.col("_low"))
+    most = F.max(F.greatest(F.col("_height") + F.col("high"), F.col("peak"))).over(Window.partitionBy("_key"))
+    return segs.join(pairs.select("_key", "seg", "_height", most.alias("max_depth")), ["_key", "seg"])
 
 
 def _walk(df: DataFrame, id_col: str, seq_col: str, keep, parts: tuple) -> DataFrame:
     """A row for each character with n, kind, depth, ignored, max_depth and what
     ``parts`` (``event``, ``top``) ask for: event, partner, fault; top, parent."""
     b = _base(df, id_col, seq_col, keep).filter(F.length("seq") > 0)
-    kernel = F.arrow_udf(_walk_kernel(parts), WALK)
     cols = ["seq_id", "n", *keep, "max_depth"]
-    short = (b.filter(F.length("seq") <= SEGMENT).withColumn("n", F.length("seq").cast("bigint"))
-             .withColumn("w", kernel("seq", F.lit(0).cast("bigint")))
-             .withColumn("max_depth", F.array_max("w.depth").cast("bigint")))
-    short = _zipped(short, cols, parts, F.lit(0).cast("bigint")).drop("_start")
-    return short.unionByName(_walk_long(b, keep, parts, kernel, cols).select(*short.columns))
-
-
-def _walk_long(b: DataFrame, keep, parts: tuple, kernel, cols) -> DataFrame:
-    segs = _long_segments(b, keep).withColumn("w", kernel("seq", "height"))
-    most = segs.groupBy("_key").agg(F.max(F.array_max("w.depth")).cast("bigint").alias("max_depth"))
-    segs = segs.join(most, "_key")
-    mine = ["_key", "_copies", "seg", *cols]
-    x = _zipped(segs, mine, parts, F.col("seg").cast("bigint") * SEGMENT)
+    short = b.filter(F.length("seq") <= SEGMENT).withColumn("n", F.length("seq").cast("bigint"))
+    short = _characters(short, cols, parts)
+    return short.unionByName(_walk_long(b, keep, parts, cols).select(*short.columns))
+
+
+def _walk_long(b: DataFrame, keep, parts: tuple, cols) -> DataFrame:
+    segs = _long_segments(b, keep).withColumn("_start", F.col("seg").cast("bigint") * SEGMENT)
+    x = _characters(segs, ["_key", "_copies", "seg", *cols], parts)
     is_open = F.col("kind") == OPEN
     if "event" in parts:
         # what segments leave open, one bracket and one closer a level each at most
@@ -241,7 +312,7 @@ def _walk_long(b: DataFrame, keep, parts: tuple, kernel, cols) -> DataFrame:
         x = (x.withColumn("top", F.coalesce("top", "_top"))
              .withColumn("parent", F.coalesce("parent", "_parent")).drop("_top", "_parent"))
     # one row for each of the equal rows
-    return x.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_copy", "_start")
+    return x.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_copy")
 
 
 def bracket_depth(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq", keep=()) -> DataFrame:
@@ -264,7 +335,7 @@ def bracket_events(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
     character of its level and a close's partner the previous."""
     return _walk(df, id_col, seq_col, keep, ("event",)).select(
         "seq_id", "n", *keep, "pos", "ch", "kind", "depth", "ignored", "max_depth", "event",
-        F.col("partner").cast("bigint").alias("partner_pos"), "fault")
+        F.col("partner").alias("partner_pos"), "fault")
 
 
 def closers_needed(seq: Column) -> Column:
@@ -316,7 +387,7 @@ def stack_states(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq") ->
     output is linear in the input. For the stack as text on short sequences, see
     :func:`stack_texts`."""
     return _walk(df, id_col, seq_col, (), ("top",)).select(
-        "seq_id", "pos", "depth", "top", F.col("parent").cast("bigint").alias("parent_pos"))
+        "seq_id", "pos", "depth", "top", F.col("parent").alias("parent_pos"))
 
 
 def stack_texts(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq") -> DataFrame:
@@ -345,17 +416,12 @@ def check_brackets(df: DataFrame, id_col: str = "seq_id", seq_col: str = "seq",
     Faults: mismatch, ignored, other, unclosed (an open without partner). The
     empty sequence is balanced; a null one gives nulls."""
     b = _base(df, id_col, seq_col).filter(F.length("seq") > 0)
-    kernel = F.arrow_udf(_walk_kernel(("event",)), WALK)
     parts = ["seq_id", "length", "max_depth", "_first", "_dcut"]
-    short = b.filter(F.length("seq") <= SEGMENT).withColumn("w", kernel("seq", F.lit(0).cast("bigint")))
-    # the first fault, without exploding
-    at = F.array_position(F.transform("w.fault", lambda x: x.isNotNull()), True)
-    first = F.when(at > 0, F.struct((at - 1).alias("pos"), F.element_at("w.fault", at.cast("int")).alias("f")))
-    short = short.select("seq_id", F.length("seq").cast("bigint").alias("length"),
-                         F.array_max("w.depth").cast("bigint").alias("max_depth"), first.alias("_first"),
-                         F.coalesce(F.try_element_at("w.depth", F.lit(cut)), F.lit(0)).cast("bigint").alias("_dcut")
-                         if cut else F.lit(0).cast("bigint").alias("_dcut"))
-    e = _walk_long(b, (), ("event",), kernel, ["seq_id", "n", "max_depth"])
+    short = b.filter(F.length("seq") <= SEGMENT).withColumn("w", F.arrow_udf(_check_kernel(cut or 0), CHECKED)("seq"))
+    first = F.when(F.col("w.fault").isNotNull(), F.struct(F.col("w.pos").alias("pos"), F.col("w.fault").alias("f")))
+    short = short.select("seq_id", F.length("seq").cast("bigint").alias("length"), F.col("w.max_depth").alias("max_depth"),
+                         first.alias("_first"), F.col("w.dcut").alias("_dcut"))
+    e = _walk_long(b, (), ("event",), ["seq_id", "n", "max_depth"])
     # each copy of a row gives every character once
     long = e.groupBy("_key").agg(
         F.first("seq_id").alias("seq_id"), F.max("n").alias("length"), F.max("max_depth").alias("max_depth"),

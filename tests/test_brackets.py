@@ -127,3 +127,21 @@ def test_a_long_sequence_is_walked_by_many_tasks(spark):
         F.countDistinct("task").alias("tasks")).first()
     assert (e.n, e.match, e.depth, e.wrong) == (4 * n + 2, 2 * n, 2 * n, 0) and e.tasks > 1
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_batch_is_walked_in_slices(spark, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+    df = spark.createDataFrame(_random_rows(60, 9) + [(3, ""), (4, None), (None, ")(")], "seq_id long, seq string").repartition(2)
+    whole = _all_forms(df)
+    monkeypatch.setattr(B, "SLICE", 70)
+    assert _all_forms(df) == whole
+    monkeypatch.undo()
+    # the memory of a batch of 10 million characters does not follow their number
+    batch = pa.array(["([{<>x)]" * 625] * 2000)
+    tracemalloc.start()
+    found = B._check_kernel(3)(batch)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    assert set(map(str, found.to_pylist())) == {str({"max_depth": 628, "pos": 5, "fault": "other", "dcut": 3})}
