@@ -37,8 +37,15 @@ CORPUS_SEED = 0
 N = len(K.BRACKET_PAIRS)
 
 
-def order_tasks(spark, d):
-    rows = spread(table(spark, d, "orders").select(F.col("o_orderkey").alias("task_row")))
+def order_tasks(spark, d, in_order=False):
+    """Tasks, ``in_order`` sorted by row: the rows are dealt in ranges and sorted
+    before anything is made of them, and all that follows keeps their order."""
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("task_row"))
+    if in_order:
+        ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartitionByRange(ranges, "task_row").sortWithinPartitions("task_row")
+    else:
+        rows = spread(rows)
     return synth.assign_task_ids(rows, "task_row", CORPUS_SEED)
 
 
@@ -264,8 +271,8 @@ SELECT {train_prompt_sql('sp.q')} AS user_content, sp.full_sequence AS assistant
 FROM sp JOIN tr ON sp.task_row = tr.task_row"""
 
 
-def synthesized(spark, d):
-    return synth.split_rejects(synth.synthesize_tasks(order_tasks(spark, d)))[0]
+def synthesized(spark, d, in_order=False):
+    return synth.split_rejects(synth.synthesize_tasks(order_tasks(spark, d, in_order)))[0]
 
 
 @register("synthesis_rejects", f"""
@@ -447,7 +454,7 @@ def q_line_cap(spark, d):
     """L1: every physical line of the generated JSONL, written in the order of
     the tasks, numbered, and whether the audit's cap would read it."""
     path = scratch_path(spark, "synthetic-conversations")
-    write_conversations(synthesized(spark, d).orderBy("task_row"), path)
+    write_conversations(synthesized(spark, d, in_order=True), path, compression="gzip")
     lines = cap_lines(read_lines(spark, path))
     conv, _, _ = parse_conversation(F.col("_messages"))
     lines = lines.withColumn("_messages", messages_of(py_strip(F.col("value"))))
@@ -461,7 +468,7 @@ SELECT line_no::BIGINT AS line_no, full_sequence FROM l WHERE line_no < {K.AUDIT
 def q_line_cap_head(spark, d):
     """L1 with the audit's cap: only the files that hold the first lines are read."""
     path = scratch_path(spark, "synthetic-conversations")
-    write_conversations(synthesized(spark, d).orderBy("task_row"), path)
+    write_conversations(synthesized(spark, d, in_order=True), path, compression="gzip")
     lines = read_conversations(spark, path, max_lines=K.AUDIT_MAX_LINES)
     return lines.select("line_no", F.col("conversation")[1]["content"].alias("full_sequence"))
 

@@ -85,7 +85,7 @@ def last_file_of(spark: SparkSession, path: str, n: int, first_bytes: int = FIRS
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``line_no`` (0-based, physical order: files by path, blank lines
     counted). Lines are counted by file block; running totals are taken inside
-    each file and over one row a file."""
+    each file and over one row a file, and go to the lines by a broadcast."""
     blocks = lines.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first_mid"))
     before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -94,7 +94,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
     offsets = (blocks.withColumn("_own", before(Window.partitionBy("_file").orderBy("_block")))
                .join(files, "_file").select("_file", "_block", "_first_mid",
                                             (F.col("_base") + F.col("_own")).alias("_offset")))
-    return (lines.join(offsets, ["_file", "_block"])
+    return (lines.join(F.broadcast(offsets), ["_file", "_block"])  # one row a block; the lines stay where they are
             .withColumn("line_no", F.col("_offset") + F.col("_mid") - F.col("_first_mid"))
             .drop("_first_mid", "_offset"))
 
@@ -167,10 +167,15 @@ def conversation_json(conv: Column) -> Column:
         F.coalesce(m["reasoning_content"], F.lit("")).alias("reasoning_content"))))
 
 
-def write_conversations(df: DataFrame, path: str, mode: str = "overwrite",
-                        col: str = "conversation") -> None:
-    """Write one JSON array per line (overwrite = truncate first)."""
-    df.select(conversation_json(F.col(col)).alias("value")).write.mode(mode).text(path)
+def write_conversations(df: DataFrame, path: str, mode: str = "overwrite", col: str = "conversation",
+                        compression: str | None = None, file_lines: int = 0) -> None:
+    """Write one JSON array per line (overwrite = truncate first), as plain
+    text or with a ``compression`` of Spark's text writer (``gzip``: the readers
+    tell it by the files' names). A file ends after ``file_lines`` lines, if that
+    is given; leave it out where the order of the files counts, as the number of
+    a task's files is no part of their names' order beyond 1,000."""
+    lines = df.select(conversation_json(F.col(col)).alias("value"))
+    lines.write.mode(mode).option("maxRecordsPerFile", file_lines).text(path, compression=compression)
 
 
 def fold_turns(turns: DataFrame, reasoning: str = "none") -> DataFrame:

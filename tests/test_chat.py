@@ -185,6 +185,43 @@ def test_line_cap_reads_leading_files_only(spark, tmp_out):
     assert os.path.basename(last_file_of(spark, tmp_out, 13, 1)).startswith("e")
 
 
+def test_numbered_lines_stay_where_they_are(spark, tmp_out):
+    for name in "ab":
+        _write(f"{tmp_out}/{name}.txt", [f"{name}{i}" for i in range(4)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if no table were small
+    try:
+        lines = lengths.cap_lines(read_lines(spark, tmp_out))
+        moved = [x for x in lines._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x and "broadcast" in x]
+        assert len(moved) == 1 and "rightHint=(strategy=broadcast)" in moved[0]
+        assert [(r.line_no, r.value) for r in lines.orderBy("line_no").collect()] == list(
+            enumerate([f"{name}{i}" for name in "ab" for i in range(4)]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_line_cap_sorts_rows_before_texts_are_made(spark, tmp_out):
+    from sftforge.plans import QUERIES, synth_queries
+    keys = [5, 3, 900, 3, 17, 250, 1, 44, 44, 8] * 4
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").repartition(3).write.parquet(f"{tmp_out}/orders.parquet")
+    made = synth_queries.synthesized(spark, tmp_out, in_order=True)
+    plan = made.select("conversation")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("ArrowEvalPython") < plan.index("Exchange")
+    want = [r.full_sequence for r in made.select("task_row", "full_sequence").orderBy("task_row").collect()]
+    for name in ("line_cap", "line_cap_head"):
+        got = QUERIES[name](spark, tmp_out).orderBy("line_no").collect()
+        assert [(r.line_no, r.full_sequence) for r in got] == list(enumerate(want)), name
+
+
+def test_compressed_files_of_few_lines_hold_all(spark, tmp_out):
+    t = spark.createDataFrame([(i, 0, "user", f"{i} é") for i in range(10)], "conv_id long, turn long, role string, text string")
+    folded = fold_turns(t).coalesce(1)
+    write_conversations(folded, f"{tmp_out}/few", compression="gzip", file_lines=4)
+    files = [x for x in os.listdir(f"{tmp_out}/few") if x.startswith("part-")]
+    assert len(files) == 3 and all(x.endswith(".txt.gz") for x in files)
+    back = read_conversations(spark, f"{tmp_out}/few")
+    assert sorted(r.conversation[0].content for r in back.collect()) == [f"{i} é" for i in range(10)]
+
+
 def test_round_trip_jsonl(spark, tmp_out):
     t = spark.createDataFrame([(1, 0, "user", "é ü 😀"), (1, 1, "assistant", 'x"y')],
                               "conv_id long, turn long, role string, text string")
