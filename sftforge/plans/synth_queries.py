@@ -37,6 +37,10 @@ CORPUS_SEED = 0
 N = len(K.BRACKET_PAIRS)
 
 
+#: Lines of a compressed file, which one task reads whole.
+FILE_LINES = 100_000
+
+
 def order_tasks(spark, d, in_order=False):
     """Tasks, ``in_order`` sorted by row: the rows are dealt in ranges and sorted
     before anything is made of them, and all that follows keeps their order."""
@@ -307,7 +311,7 @@ def flatten_pair(conv_col):
 def q_synthetic_conversations(spark, d):
     """The generation job, written as JSONL (S2) and read back."""
     path = scratch_path(spark, "synthetic-conversations")
-    write_conversations(synthesized(spark, d), path)
+    write_conversations(synthesized(spark, d), path, compression="gzip", file_lines=FILE_LINES)
     back = read_conversations(spark, path)
     return back.select(*flatten_pair("conversation"))
 
