@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from sftforge.functions import constants as K
 from sftforge.functions.hashing import draw_sql
 from sftforge.functions.text import DEFAULT_TEMPLATE as TPL
-from sftforge.functions.text import TOKEN_PATTERN, py_strip, sql_fmt, sql_str
+from sftforge.functions.text import TOKEN_PATTERN, each, py_strip, sql_fmt, sql_str
 from sftforge.operators import chat, synth
 from sftforge.operators import brackets as B
 from sftforge.operators import examples as X
@@ -485,7 +485,9 @@ def task_lines(spark, d):
         "metadata_json", F.to_json(F.struct("metadata.*", F.col("task_row").alias("custom"))))
     bad = F.when(F.pmod("task_row", F.lit(3)) == 0, F.lit("not json")).when(
         F.pmod("task_row", F.lit(3)) == 1, F.lit("[1,2]")).otherwise(F.lit('{"question":"q"} trailing'))
-    tasks.select(task_json(tasks).alias("value")).union(tasks.select(bad.alias("value"))).write.text(path)
+    # both lines of a task in one pass, so that tasks are made once
+    lines = tasks.select(each(F.array(task_json(tasks), bad)).alias("value"))
+    lines.write.option("maxRecordsPerFile", FILE_LINES).text(path, compression="gzip")
     return path
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sftforge.functions.text import json_kind, one_json_value, last_key_wins, py_strip
+from sftforge.functions.text import each, json_kind, last_key_wins, one_json_value, py_strip
 
 METADATA_TYPE = T.StructType([
     T.StructField("seed", T.LongType()),
@@ -37,6 +37,11 @@ def empty_metadata() -> Column:
 KINDS = {"string": ("STRING",), "int": ("BIGINT",), "bigint": ("BIGINT",)}
 
 
+def is_record(v: Column) -> Column:
+    """Whether a line's VARIANT is an object."""
+    return F.coalesce(json_kind(v) == "OBJECT", F.lit(False))
+
+
 def parse_task(v: Column) -> Column:
     """The VARIANT of a line (a column of its own, so that it is parsed once) -> task struct with defaults question "", answer "",
     difficulty 1, metadata {} (all fields null), gpt_response "" for what is
@@ -45,6 +50,12 @@ def parse_task(v: Column) -> Column:
     ("difficulty is STRING"; such a field reads as null). Null unless the text
     is one JSON object and nothing else. Where an object repeats a key, its last
     value holds (see ``functions.text.last_key_wins``)."""
+    return F.when(is_record(v), F.struct(*[c.alias(name) for name, c in task_fields(v).items()]))
+
+
+def task_fields(v: Column) -> dict[str, Column]:
+    """The fields of :func:`parse_task` by name, each an expression of its own, so
+    that a reader of some of them computes no others."""
     def get(path, kind):
         return F.try_variant_get(v, path, kind)
 
@@ -64,12 +75,11 @@ def parse_task(v: Column) -> Column:
     errors.append(wrong("metadata", ("OBJECT",)))
     errors += [F.when(is_object, wrong(f"metadata.{name}", KINDS[kind])) for name, kind in inner]
     metadata = F.struct(*[F.when(is_object, typed(f"metadata.{name}", kind)).alias(name) for name, kind in inner])
-    return F.when(json_kind(v) == "OBJECT", F.struct(
-        typed("question", "string", "").alias("question"), typed("answer", "string", "").alias("answer"),
-        typed("difficulty", "int", 1).alias("difficulty"), metadata.alias("metadata"),
-        typed("gpt_response", "string", "").alias("gpt_response"),
-        F.coalesce(F.when(is_object, F.to_json(get("$.metadata", "variant"))), F.lit("{}")).alias("metadata_json"),
-        F.array_compact(F.array(*errors)).alias("errors")))
+    return {"question": typed("question", "string", ""), "answer": typed("answer", "string", ""),
+            "difficulty": typed("difficulty", "int", 1), "metadata": metadata,
+            "gpt_response": typed("gpt_response", "string", ""),
+            "metadata_json": F.coalesce(F.when(is_object, F.to_json(get("$.metadata", "variant"))), F.lit("{}")),
+            "errors": F.array_compact(F.array(*errors))}
 
 
 def task_json(df: DataFrame) -> Column:
@@ -95,12 +105,14 @@ def write_tasks(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def read_tasks(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines -> task table; lines that are no record get ``malformed = true``
     (and keep their text in ``value``). ``reason`` says why a row is a reject:
-    malformed, or its ``errors``; null for a good record."""
+    malformed, or its ``errors``; null for a good record. Lines are parsed below a
+    generator, so that no filter on the result parses them again."""
     last_key_wins(spark)
+    v, good = F.col("_v"), ~F.col("malformed")
     lines = spark.read.text(path).select(py_strip(F.col("value")).alias("value"))
     return (lines.filter(F.col("value") != "")
-            .select("value", F.when(F.col("value").startswith("{"), one_json_value(F.col("value"))).alias("_v"))
-            .select("value", parse_task(F.col("_v")).alias("_t"))
-            .select("value", F.col("_t.*"), F.col("_t").isNull().alias("malformed"))
+            .select("value", each(F.array(F.when(F.col("value").startswith("{"), one_json_value(F.col("value"))))).alias("_v"))
+            .select("value", "_v", (~is_record(v)).alias("malformed"))
+            .select("value", *[F.when(good, c).alias(name) for name, c in task_fields(v).items()], "malformed")
             .withColumn("reason", F.when(F.col("malformed"), F.lit("malformed")).when(
                 F.size("errors") > 0, F.array_join("errors", "; "))))
