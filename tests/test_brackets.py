@@ -144,4 +144,4 @@ def test_a_batch_is_walked_in_slices(spark, monkeypatch):
     found = B._check_kernel(3)(batch)
     assert tracemalloc.get_traced_memory()[1] < 100 << 20
     tracemalloc.stop()
-    assert set(map(str, found.to_pylist())) == {str({"max_depth": 628, "pos": 5, "fault": "other", "dcut": 3})}
+    assert set(map(str, found.to_pylist())) == {str({"max_depth": 628, "pos": 0, "fault": "unclosed", "dcut": 3})}
